@@ -6,32 +6,30 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-DEFAULT_LIMIT = 100
-
 
 def _bounded(df: DataFrame, limit: int) -> DataFrame:
     return df.limit(limit) if limit > 0 else df
 
 
-def rows(df: DataFrame, limit: int = DEFAULT_LIMIT) -> list[dict]:
-    """Row dictionaries; ``limit=0`` asks for all of them, as the caller's own choice."""
+def rows(df: DataFrame, limit: int = 0) -> list[dict]:
+    """Row dictionaries; ``limit=0`` asks for all of them."""
     return [row.asDict(recursive=True) for row in _bounded(df, limit).collect()]
 
 
-def to_pandas(df: DataFrame, limit: int = DEFAULT_LIMIT) -> pd.DataFrame:
+def to_pandas(df: DataFrame, limit: int = 0) -> pd.DataFrame:
     return _bounded(df, limit).toPandas()
 
 
-def to_arrow(df: DataFrame, limit: int = DEFAULT_LIMIT) -> pa.Table:
+def to_arrow(df: DataFrame, limit: int = 0) -> pa.Table:
     return _bounded(df, limit).toArrow()
 
 
-def json_text(df: DataFrame, limit: int = DEFAULT_LIMIT) -> str:
+def json_text(df: DataFrame, limit: int = 0) -> str:
     """JSON array of the rows."""
     return "[" + ",\n ".join(_bounded(df, limit).toJSON().collect()) + "]"
 
 
-def csv_text(df: DataFrame, limit: int = DEFAULT_LIMIT) -> str:
+def csv_text(df: DataFrame, limit: int = 0) -> str:
     """CSV with header, cells quoted where needed."""
     return to_pandas(df, limit).to_csv(index=False)
 
