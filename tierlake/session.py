@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,14 +29,25 @@ def build_session(app: str = "tierlake", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint, so that a lost executor costs no recompute.
+def shared_folder(spark: SparkSession) -> str:
+    """The reliable folder named by ``spark.checkpoint.dir``.
 
-    The folder is the shared one named by ``spark.checkpoint.dir``. Only where neither the
-    session nor the context names one (a laptop, a test) is a temporary folder taken.
+    Only where neither the session nor the context names one (a laptop, a test) is a temporary
+    folder taken.
     """
-    context = df.sparkSession.sparkContext
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        shared = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        shared = spark.conf.get("spark.checkpoint.dir", None)
         context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="tierlake-checkpoint-"))
+    return context.getCheckpointDir()
+
+
+def scratch_root(spark: SparkSession) -> str:
+    """A new empty lake root inside the shared folder."""
+    return f"{shared_folder(spark)}/lake-{uuid.uuid4().hex}"
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Cut lineage with a reliable checkpoint, so that a lost executor costs no recompute."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)

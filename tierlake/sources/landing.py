@@ -209,6 +209,11 @@ def _landed(spark: SparkSession, root: str, table: str, source: str, at: datetim
     return today.select("_source_file", "_content_md5").distinct()
 
 
+def not_landed(files: DataFrame, landed: DataFrame) -> DataFrame:
+    """Files whose key and content are not there yet."""
+    return files.join(landed, ["_source_file", "_content_md5"], "left_anti")
+
+
 def _result(spark: SparkSession, files: DataFrame, root: str, table: str, source: str, at: datetime,
             version: str) -> DataFrame:
     counts = (
@@ -254,7 +259,7 @@ def ingest_files(
     file = F.concat("_stem", F.lit("_"), F.substring("_content_md5", 1, 8), F.lit("."), "_format")
     keyed = facts.withColumn("_source_file", object_key("bronze", table, file, _wall_clock(moment), F.lit(source)))
     files = keyed.groupBy("_source_file", "_content_md5", "_format").agg(F.min("_path").alias("_path"))
-    fresh = materialize(files.join(_landed(spark, root, table, source, moment), ["_source_file", "_content_md5"], "left_anti"))
+    fresh = materialize(not_landed(files, _landed(spark, root, table, source, moment)))
     _land_files(spark, fresh, root, table, source, moment, schema_version)
     return _result(spark, files, root, table, source, moment, schema_version)
 
@@ -323,7 +328,7 @@ def ingest_payloads(
         object_key("bronze", table, file, _wall_clock(moment), F.lit(source)).alias("_source_file"))
     # equal key and MD5 mean equal content: one copy per key, picked before the shuffle
     files = keyed.groupBy("_source_file", "_content_md5", "_format").agg(F.max("payload").alias("payload"))
-    fresh = files.join(_landed(spark, root, table, source, moment), ["_source_file", "_content_md5"], "left_anti")
+    fresh = not_landed(files, _landed(spark, root, table, source, moment))
     records = payload_records(fresh, file_format).select(
         "payload", "_source_file", "_content_md5", F.substring("_content_md5", 1, 8).alias("_file_hash"),
         F.lit(0).cast("long").alias("_block_pos"), "_row_pos", F.col("_format").alias("_original_format"),

@@ -15,7 +15,9 @@ from tierlake.sources.landing import BRONZE_SCHEMA, FILE_ORDER, bronze_path
 from tierlake.sources.records import parse_records
 from tierlake.sources.snapshots import write_snapshot
 
-BATCH = "batch_id="
+# folder names without "=", so that Spark sees no partition column in them
+BATCH = "batch-"
+COMPACTED = "compacted-"
 
 
 def arrivals_path(root: str, table: str) -> str:
@@ -56,17 +58,44 @@ def start(
     )
 
 
-def merged(spark: SparkSession, root: str, table: str, dedup_columns: list[str] | None) -> DataFrame:
-    """All batches, the last row per key kept, order columns included."""
+def _complete(spark: SparkSession, base: str, prefix: str) -> list[str]:
+    names = [n for n in subfolders(spark, base) if n.startswith(prefix)]
+    return [n for n in names if exists(spark, f"{base}/{n}/_SUCCESS")]
+
+
+def _live_folders(spark: SparkSession, root: str, table: str) -> list[str]:
+    """The newest compacted folder and the batches after it."""
     base = arrivals_path(root, table)
-    batches = [f"{base}/{b}" for b in subfolders(spark, base)
-               if b.startswith(BATCH) and exists(spark, f"{base}/{b}/_SUCCESS")]
-    if not batches:
+    compacted = _complete(spark, base, COMPACTED)[-1:]
+    last = compacted[0].removeprefix(COMPACTED) if compacted else ""
+    batches = [n for n in _complete(spark, base, BATCH) if n.removeprefix(BATCH) > last]
+    return compacted + batches
+
+
+def merged(spark: SparkSession, root: str, table: str, dedup_columns: list[str] | None) -> DataFrame:
+    """All arrivals, the last row per key kept, order columns included."""
+    folders = _live_folders(spark, root, table)
+    if not folders:
         raise ValueError(f"No silver data found for {table}")
-    rows = spark.read.parquet(*batches)
+    rows = spark.read.parquet(*[f"{arrivals_path(root, table)}/{f}" for f in folders])
     return keep_last(rows, dedup_columns, list(FILE_ORDER)) if dedup_columns else rows
 
 
+def compact(spark: SparkSession, root: str, table: str, dedup_columns: list[str] | None) -> str:
+    """Merge all arrivals so far into one folder; readers then skip the batches inside it.
+
+    Run it now and then between streams: it bounds what ``current`` has to merge. The result
+    of ``current`` does not change.
+    """
+    last = _live_folders(spark, root, table)[-1:]
+    rows = merged(spark, root, table, dedup_columns)
+    through = last[0].removeprefix(BATCH).removeprefix(COMPACTED)
+    if last[0].startswith(COMPACTED):
+        return last[0]
+    rows.write.mode("overwrite").parquet(f"{arrivals_path(root, table)}/{COMPACTED}{through}")
+    return f"{COMPACTED}{through}"
+
+
 def current(spark: SparkSession, root: str, table: str, dedup_columns: list[str] | None = None) -> DataFrame:
     """The table as a batch run over all arrivals would write it."""
     return merged(spark, root, table, dedup_columns).drop(*FILE_ORDER)
