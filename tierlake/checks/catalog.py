@@ -21,7 +21,7 @@ def _column_log(spark, folder):
         F.concat(F.lit("line_"), F.col("l_linenumber").cast("string")).alias("column_name"),
         F.col("l_returnflag").alias("data_type"), F.col("l_linestatus").alias("description"),
         (F.col("l_linestatus") == "O").alias("is_nullable"), (F.col("l_returnflag") == "A").alias("is_partition_key"),
-        (F.col("l_partkey") * 100000 + F.col("l_suppkey")).alias("seq"))
+        (F.round(F.col("l_extendedprice") * 100).cast("long") * 1000000 + F.col("l_partkey")).alias("seq"))
 
 
 def tables(spark, folder):
@@ -131,7 +131,7 @@ CHECKS = {
         SELECT 'order_' || l_orderkey AS table_name, 'silver' AS layer, 'line_' || l_linenumber AS column_name,
                arg_max(l_returnflag, seq) AS data_type, arg_max(l_linestatus, seq) AS description,
                arg_min(l_linestatus = 'O', seq) AS is_nullable, arg_min(l_returnflag = 'A', seq) AS is_partition_key
-        FROM (SELECT *, l_partkey * 100000 + l_suppkey AS seq FROM lineitem) GROUP BY l_orderkey, l_linenumber"""),
+        FROM (SELECT *, CAST(round(l_extendedprice * 100) AS BIGINT) * 1000000 + l_partkey AS seq FROM lineitem) GROUP BY l_orderkey, l_linenumber"""),
     "k3_column_statistics": Check(statistics, """
         SELECT 'l_orderkey' AS column_name, count(*) AS row_count, count(*) - count(l_orderkey) AS null_count,
                count(DISTINCT l_orderkey) AS distinct_count, CAST(min(l_orderkey) AS VARCHAR) AS min_value,

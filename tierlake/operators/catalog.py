@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from string import ascii_lowercase, ascii_uppercase
+import re
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tierlake.functions.columns import missing, named, present
 
+DIGEST_BYTES = 32
 TABLE_KEY = ("name", "layer")
 COLUMN_KEY = ("table_name", "layer", "column_name")
 VERSION_KEY = ("table_name", "layer")
@@ -34,25 +36,45 @@ def current_columns(log: DataFrame) -> DataFrame:
     ).select(*COLUMN_KEY, "_now.*", "_first.*")
 
 
+def _is_long_text(df: DataFrame, name: str) -> bool:
+    """Whether a look at the first rows shows values longer than their digest."""
+    if not isinstance(df.schema[name].dataType, (T.StringType, T.BinaryType)):
+        return False
+    head = df.select(named(name).alias("v")).where("v IS NOT NULL").limit(1000)
+    return (head.agg(F.avg(F.octet_length("v"))).first()[0] or 0) > 2 * DIGEST_BYTES
+
+
 def column_statistics(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Rows, nulls (NaN included), distinct values, least and greatest value of each column.
 
     Every column is scanned on its own, which for Parquet reads the table once in total, and
     counted per value first: one shuffle of distinct values, no copy of the rows per column
-    as several ``count_distinct`` in one aggregate would make.
+    as several ``count_distinct`` in one aggregate would make. Long texts are shuffled as
+    their SHA-256, their bounds come from a second, shuffle-free pass.
     """
     result = None
     for name in columns or df.columns:
-        values = df.select(present(df, name).alias("v"), missing(df, name).alias("gap"))
-        counts = values.groupBy("v", "gap").agg(F.count(F.lit(1)).alias("n"))
-        bounds = {"min_value": F.min("v"), "max_value": F.max("v")}
-        nested = dict(counts.dtypes)["v"].startswith(("array", "struct", "map"))
-        stats = counts.agg(
-            F.lit(name).alias("column_name"),
+        value = present(df, name)
+        nested = isinstance(df.schema[name].dataType, (T.ArrayType, T.StructType, T.MapType))
+
+        def shown(c: Column) -> Column:
+            return F.to_json(c) if nested else c.cast("string")
+
+        long_text = _is_long_text(df, name)
+        unit = F.unhex(F.sha2(value.cast("binary"), 256)) if long_text else value
+        counts = df.select(unit.alias("v"), missing(df, name).alias("gap")).groupBy("v", "gap").agg(
+            F.count(F.lit(1)).alias("n"))
+        ends = {"low": F.min, "high": F.max}
+        totals = counts.agg(
             F.coalesce(F.sum("n"), F.lit(0)).alias("row_count"),
             F.coalesce(F.sum(F.when(F.col("gap"), F.col("n"))), F.lit(0)).alias("null_count"),
             F.count("v").alias("distinct_count"),
-            *[(F.to_json(b) if nested else b.cast("string")).alias(alias) for alias, b in bounds.items()])
+            *[end("v").alias(k) for k, end in ends.items() if not long_text])
+        if long_text:
+            totals = totals.select("*", *[df.agg(end(value)).scalar().alias(k) for k, end in ends.items()])
+        stats = totals.select(
+            F.lit(name).alias("column_name"), "row_count", "null_count", "distinct_count",
+            shown(F.col("low")).alias("min_value"), shown(F.col("high")).alias("max_value"))
         result = stats if result is None else result.unionByName(stats)
     return result
 
@@ -101,9 +123,13 @@ def compatibility(changes: DataFrame) -> DataFrame:
 
 
 def _contains(c: Column, term: str) -> Column:
-    """LIKE %term%, ASCII letters in either case; ``%`` and ``_`` in the term are wildcards."""
-    pattern = term.translate(str.maketrans(ascii_uppercase, ascii_lowercase)).replace("\\", "\\\\")
-    return F.translate(c, ascii_uppercase, ascii_lowercase).like(f"%{pattern}%")
+    """LIKE %term%, ASCII letters in either case; ``%`` and ``_`` in the term are wildcards.
+
+    As a regular expression: its case folding is ASCII only, and no lowered copy of a long
+    description is made.
+    """
+    wildcards = {"%": ".*", "_": "."}
+    return c.rlike("(?is)" + "".join(wildcards.get(ch) or re.escape(ch) for ch in term.strip("%")))
 
 
 def search(tables: DataFrame, columns: DataFrame, term: str) -> DataFrame:
