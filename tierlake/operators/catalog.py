@@ -36,12 +36,14 @@ def current_columns(log: DataFrame) -> DataFrame:
     ).select(*COLUMN_KEY, "_now.*", "_first.*")
 
 
-def _is_long_text(df: DataFrame, name: str) -> bool:
-    """Whether a look at the first rows shows values longer than their digest."""
-    if not isinstance(df.schema[name].dataType, (T.StringType, T.BinaryType)):
-        return False
-    head = df.select(named(name).alias("v")).where("v IS NOT NULL").limit(1000)
-    return (head.agg(F.avg(F.octet_length("v"))).first()[0] or 0) > 2 * DIGEST_BYTES
+def _long_texts(df: DataFrame, columns: list[str]) -> set[str]:
+    """Text columns whose first rows are longer than a digest on average."""
+    texts = [c for c in columns if isinstance(df.schema[c].dataType, (T.StringType, T.BinaryType))]
+    if not texts:
+        return set()
+    head = df.select(*map(named, texts)).limit(1000)
+    mean = head.agg(*[F.avg(F.octet_length(named(c))).alias(f"m{i}") for i, c in enumerate(texts)]).first()
+    return {c for c, length in zip(texts, mean) if (length or 0) > 2 * DIGEST_BYTES}
 
 
 def column_statistics(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
@@ -52,29 +54,29 @@ def column_statistics(df: DataFrame, columns: list[str] | None = None) -> DataFr
     as several ``count_distinct`` in one aggregate would make. Long texts are shuffled as
     their SHA-256, their bounds come from a second, shuffle-free pass.
     """
+    wanted = columns or df.columns
+    long_texts = _long_texts(df, wanted)
     result = None
-    for name in columns or df.columns:
-        value = present(df, name)
-        nested = isinstance(df.schema[name].dataType, (T.ArrayType, T.StructType, T.MapType))
-
-        def shown(c: Column) -> Column:
-            return F.to_json(c) if nested else c.cast("string")
-
-        long_text = _is_long_text(df, name)
-        unit = F.unhex(F.sha2(value.cast("binary"), 256)) if long_text else value
+    for name in wanted:
+        dtype = df.schema[name].dataType
+        value = F.to_json(named(name)) if isinstance(dtype, T.MapType) else present(df, name)
+        as_json = isinstance(dtype, (T.ArrayType, T.StructType))
+        unit = F.unhex(F.sha2(value.cast("binary"), 256)) if name in long_texts else value
         counts = df.select(unit.alias("v"), missing(df, name).alias("gap")).groupBy("v", "gap").agg(
             F.count(F.lit(1)).alias("n"))
-        ends = {"low": F.min, "high": F.max}
+        bounded = value if name in long_texts else F.col("v")
+        bounds = F.struct(F.min(bounded).alias("low"), F.max(bounded).alias("high")).alias("bounds")
         totals = counts.agg(
             F.coalesce(F.sum("n"), F.lit(0)).alias("row_count"),
             F.coalesce(F.sum(F.when(F.col("gap"), F.col("n"))), F.lit(0)).alias("null_count"),
             F.count("v").alias("distinct_count"),
-            *[end("v").alias(k) for k, end in ends.items() if not long_text])
-        if long_text:
-            totals = totals.select("*", *[df.agg(end(value)).scalar().alias(k) for k, end in ends.items()])
+            *([] if name in long_texts else [bounds]))
+        if name in long_texts:
+            totals = totals.select("*", df.agg(bounds).scalar().alias("bounds"))
+        shown = F.to_json if as_json else lambda c: c.cast("string")
         stats = totals.select(
             F.lit(name).alias("column_name"), "row_count", "null_count", "distinct_count",
-            shown(F.col("low")).alias("min_value"), shown(F.col("high")).alias("max_value"))
+            shown(F.col("bounds.low")).alias("min_value"), shown(F.col("bounds.high")).alias("max_value"))
         result = stats if result is None else result.unionByName(stats)
     return result
 
