@@ -92,12 +92,27 @@ def test_small_dimension_is_broadcast_and_a_big_one_salted(spark):
         assert broadcast_limit(spark) == 100 and not fits_broadcast(dim)
         big = lookup_key(fact, dim, "c", "fk")
         text = final_plan(big)
-        assert "BroadcastHashJoin" not in text and "_salt" in text
+        assert "SortMergeJoin" in text and "_salt" in text
         assert big.exceptAll(small).count() == 0 and small.exceptAll(big).count() == 0
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
+def test_salted_join_with_few_hot_keys(spark):
+    left = spark.range(0, 3000, 1, 7).select(
+        "id", F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 10 == 1, None).otherwise((F.col("id") % 90).cast("string")).alias("k"))
+    right = spark.range(95).select(F.when(F.col("id") == 94, "hot").otherwise(F.col("id").cast("string")).alias("k"), F.col("id").alias("v"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert not fits_broadcast(right)
+        for how in ("left", "inner"):
+            ours = salted_join(left, right, ["k"], how, 5, hot_keys=2).select("id", "k", "v")
+            plain = left.join(right, ["k"], how).select("id", "k", "v")
+            assert ours.exceptAll(plain).count() == 0 and plain.exceptAll(ours).count() == 0
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760")
+
+
 def test_salted_semi_and_anti_joins(spark):
     left = spark.range(100).repartition(5).select((F.col("id") % 10).alias("k"))
     right = spark.range(4).select(F.col("id").alias("k"))

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from tierlake.functions.columns import named
 
 SALT = "_salt"
+HOT_KEYS = 1000
 _UNITS = {"": 1, "b": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
 
 
@@ -52,21 +53,43 @@ def lookup_join(
     """Join a large left side to ``right``; ``how`` is left, inner, left_semi or left_anti.
 
     A right side whose *measured* size is within the broadcast limit is broadcast: the left
-    rows do not move. A larger one is copied ``salt_buckets`` times and joined on key plus
-    salt. The salt of a left row is the number of its input partition, so a key holding a
-    third of the rows is spread over all salts, and a retried task salts its rows the same.
+    rows do not move. A larger one takes part in a shuffle join with its hot keys salted.
     """
     if fits_broadcast(right):
         return left.join(F.broadcast(right), on, how)
     return salted_join(left, right, on, how, salt_buckets)
 
 
+def heaviest_keys(df: DataFrame, on: list[str], keys: int = HOT_KEYS) -> DataFrame:
+    """The ``keys`` most frequent keys, marked ``_hot``, as fixed local rows.
+
+    Any other key holds less than one in ``keys`` of the rows. The counts are exact and
+    combined on the map side, the collected rows are bounded by ``keys``.
+    """
+    counts = df.select(*map(named, on)).dropna().groupBy(*map(named, on)).agg(F.count(F.lit(1)).alias("_n"))
+    top = counts.orderBy(F.desc("_n")).limit(keys).drop("_n")
+    return df.sparkSession.createDataFrame(top.collect(), top.schema).withColumn("_hot", F.lit(True))
+
+
 def salted_join(
-    left: DataFrame, right: DataFrame, on: list[str], how: str, salt_buckets: int
+    left: DataFrame, right: DataFrame, on: list[str], how: str, salt_buckets: int, hot_keys: int = HOT_KEYS
 ) -> DataFrame:
-    salted_left = left.withColumn(SALT, F.spark_partition_id() % salt_buckets)
-    copies = F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1)))
-    salted_right = right.withColumn(SALT, copies)
+    """Shuffle join on key plus salt, which spreads each hot key over ``salt_buckets`` tasks.
+
+    Only the right rows of the heaviest keys are copied, once per salt. The salt of a left row
+    is the number of its input partition, so that a retried task salts its rows the same. Left
+    rows without a key match nothing and are spread as well.
+    """
+    hot = F.broadcast(heaviest_keys(left, on, hot_keys))  # at most ``hot_keys`` rows
+    no_key = F.lit(False)
+    for name in on:
+        no_key = no_key | named(name).isNull()
+    spread = (F.spark_partition_id() % salt_buckets).cast("int")
+    salted_left = left.join(hot, on, "left").withColumn(
+        SALT, F.when(F.col("_hot").isNotNull() | no_key, spread).otherwise(F.lit(0))).drop("_hot")
+    every = F.sequence(F.lit(0), F.lit(salt_buckets - 1))
+    salted_right = right.join(hot, on, "left").withColumn(
+        SALT, F.explode(F.when(F.col("_hot"), every).otherwise(F.array(F.lit(0))))).drop("_hot")
     return salted_left.join(salted_right, [*on, SALT], how).drop(SALT)
 
 
