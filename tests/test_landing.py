@@ -30,6 +30,9 @@ def write(folder, name, text):
     ("h.JSONL", '{"id": 1}\r\n{"id": 2}\r\n', 2),
     ("i j+k.csv", "id,name\n1,a\n", 1),
     ("k.json", "[]", 0),
+    ("l[1]{x}.csv", '\r\n"id, no",name\r\n1,"a\r\nb"\r\n2,c\r\n', 2),
+    ("m.jsonl", "", 0),
+    ("n.csv", "", 0),
 ])
 def test_record_counts_of_files_and_payloads(spark, tmp_path, name, text, count):
     root = str(tmp_path / "lake")

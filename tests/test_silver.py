@@ -135,3 +135,26 @@ def test_unfinished_snapshot_is_not_read(spark, tmp_path):
     write_snapshot(spark.range(3), root, "silver", "t")
     spark.range(9).write.parquet(f"{root}/silver/t/snapshot_ts=99990101T000000_000000Z")
     assert read_latest(spark, root, "silver", "t").count() == 3
+
+
+def test_odd_column_names_and_values(spark, tmp_path):
+    root = str(tmp_path / "lake")
+    (tmp_path / "a.jsonl").write_text(
+        '{"a b": 1, "a.b": "x", "ünï": [], "select": {"1x": 1.5, "VARIANT": true}, "mix": 1, "twice": 1, "twice": 2}\n'
+        '{"mix": "text", "ünï": [1, 2.5]}\n', encoding="utf-8")
+    ingest_files(spark, root, "t", "s", str(tmp_path / "a.jsonl"), at=DAY)
+    process_table(spark, root, "t", dedup_columns=["a b"])
+    silver = read_latest(spark, root, "silver", "t")
+    assert dict(silver.dtypes)["select"] == "struct<1x:double,VARIANT:boolean>"
+    first = [r for r in silver.collect() if r["a b"] == 1][0].asDict(recursive=True)
+    assert first == {"a b": 1, "a.b": "x", "ünï": [], "select": {"1x": 1.5, "VARIANT": True}, "mix": "1", "twice": 2}
+
+
+def test_csv_cells_with_commas_quotes_and_line_breaks(spark, tmp_path):
+    root = str(tmp_path / "lake")
+    (tmp_path / "a.csv").write_text('id,note,id\r\n1,"a, ""b""\r\nc",x\r\n 2 ,N/A\r\n', newline="")
+    (tmp_path / "b.csv").write_text("id,note\n3,+7\n4,07\n")
+    ingest_files(spark, root, "t", "s", [str(tmp_path / "a.csv"), str(tmp_path / "b.csv")], at=DAY)
+    rows_ = {r["id"]: r.asDict() for r in parse_records(read_bronze(spark, root, "t")).collect()}
+    assert rows_[1]["note"].replace("\r\n", "\n") == 'a, "b"\nc' and rows_[1]["id.1"] == "x"
+    assert rows_[2]["note"] is None and rows_[2]["id.1"] is None and rows_[3]["note"] == "+7"

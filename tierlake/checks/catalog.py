@@ -4,6 +4,9 @@ from pyspark.sql import functions as F
 
 from tierlake.checks import Check, table
 from tierlake.operators import catalog as C
+from tierlake.session import scratch_root
+from tierlake.sources.catalogstore import Catalog
+from tierlake.sources.snapshots import write_snapshot
 
 
 def _table_log(spark, folder):
@@ -121,6 +124,17 @@ def found(spark, folder):
     return hits.select("name", "table_name", "layer", "match_type", F.md5("description").alias("description"))
 
 
+def published(spark, folder):
+    """Customers published from a silver snapshot; what the catalog then knows of each column."""
+    root = scratch_root(spark)
+    write_snapshot(table(spark, folder, "customer"), root, "silver", "customer")
+    catalog = Catalog(spark, root)
+    catalog.register_table("customer", "bronze", "inbox")
+    catalog.publish("silver", "customer", [("customer", "bronze")], "Customers")
+    columns = catalog.columns().select("table_name", "layer", "column_name", "data_type")
+    return columns.join(catalog.column_stats(), ["table_name", "layer", "column_name"])
+
+
 CHECKS = {
     "k1_current_tables": Check(tables, """
         SELECT 'user_' || user_id AS name, event_type AS layer, arg_max(props, event_id) AS location,
@@ -181,4 +195,10 @@ CHECKS = {
                                         FROM t GROUP BY table_name, version)
         SELECT table_name, version, CAST(columns AS INTEGER) AS columns, click
         FROM (SELECT *, row_number() OVER (PARTITION BY table_name ORDER BY seq DESC) AS rn FROM v) WHERE rn = 1"""),
+    "k4_k9_publish": Check(published, """
+        SELECT 'customer' AS table_name, 'silver' AS layer, 'c_custkey' AS column_name, 'bigint' AS data_type, count(*) AS row_count, CAST(0 AS BIGINT) AS null_count, count(DISTINCT c_custkey) AS distinct_count, CAST(min(c_custkey) AS VARCHAR) AS min_value, CAST(max(c_custkey) AS VARCHAR) AS max_value FROM customer
+        UNION ALL SELECT 'customer', 'silver', 'c_name', 'string', count(*), 0, count(DISTINCT c_name), CAST(min(c_name) AS VARCHAR), CAST(max(c_name) AS VARCHAR) FROM customer
+        UNION ALL SELECT 'customer', 'silver', 'c_nationkey', 'int', count(*), 0, count(DISTINCT c_nationkey), CAST(min(c_nationkey) AS VARCHAR), CAST(max(c_nationkey) AS VARCHAR) FROM customer
+        UNION ALL SELECT 'customer', 'silver', 'c_acctbal', 'double', count(*), 0, count(DISTINCT c_acctbal), CAST(min(c_acctbal) AS VARCHAR), CAST(max(c_acctbal) AS VARCHAR) FROM customer
+        UNION ALL SELECT 'customer', 'silver', 'c_mktsegment', 'string', count(*), 0, count(DISTINCT c_mktsegment), CAST(min(c_mktsegment) AS VARCHAR), CAST(max(c_mktsegment) AS VARCHAR) FROM customer"""),
 }

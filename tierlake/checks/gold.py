@@ -6,6 +6,9 @@ from tierlake.checks import Check, table
 from tierlake.operators.cleaning import keep_last
 from tierlake.operators.dimension import dimension, distinct_tuples
 from tierlake.operators.fact import aggregate, fact, lookup_key
+from tierlake.plans.gold import create_dimension_table, create_fact_table
+from tierlake.session import scratch_root
+from tierlake.sources.snapshots import read_latest, write_snapshot
 
 
 def distinct(spark, folder):
@@ -84,6 +87,18 @@ def pass_through(spark, folder):
     return fact(table(spark, folder, "customer"), {"dim_segment": (segments, "c_mktsegment", "segment_fk")})
 
 
+def gold_tables(spark, folder):
+    """Silver snapshot, gold dimension, gold fact: written, then read back."""
+    root = scratch_root(spark)
+    write_snapshot(table(spark, folder, "orders"), root, "silver", "orders")
+    create_dimension_table(spark, root, "dim_priority", "orders", ["o_orderpriority"], "priority_sk")
+    create_fact_table(
+        spark, root, "fact_orders", "orders", ["o_totalprice", "o_orderkey"],
+        {"dim_priority": ("o_orderpriority", "priority_fk")}, {"o_totalprice": "max", "o_orderkey": "count"},
+        ["priority_fk", "o_custkey"])
+    return read_latest(spark, root, "gold", "fact_orders")
+
+
 _DIM = """
     SELECT row_number() OVER (ORDER BY o_custkey, o_orderpriority) AS order_sk, o_custkey, o_orderpriority
     FROM (SELECT DISTINCT o_custkey, o_orderpriority FROM orders)"""
@@ -142,4 +157,9 @@ CHECKS = {
         SELECT c.*, segment_fk FROM customer c
         JOIN (SELECT c_mktsegment, row_number() OVER (ORDER BY c_mktsegment) AS segment_fk
               FROM (SELECT DISTINCT c_mktsegment FROM customer)) USING (c_mktsegment)"""),
+    "w2_gold_tables": Check(gold_tables, """
+        SELECT priority_fk, o_custkey, max(o_totalprice) AS o_totalprice, count(o_orderkey) AS o_orderkey
+        FROM orders JOIN (SELECT o_orderpriority, row_number() OVER (ORDER BY o_orderpriority) AS priority_fk
+                          FROM (SELECT DISTINCT o_orderpriority FROM orders)) USING (o_orderpriority)
+        GROUP BY priority_fk, o_custkey"""),
 }

@@ -11,7 +11,9 @@ from tierlake.functions.typing import blank_tokens, cast_text, text_types
 from tierlake.operators.cleaning import keep_last
 from tierlake.plans.silver import process_table
 from tierlake.session import scratch_root
-from tierlake.sources.landing import ingest_files, ingest_payloads, not_landed, payload_records, read_bronze
+from tierlake.sources.landing import (
+    ingest_files, ingest_payloads, ingested_files, list_ingested, not_landed, payload_records, read_bronze,
+)
 from tierlake.sources.records import parse_records, union_records
 from tierlake.sources.snapshots import latest_rows, read_latest, write_snapshot
 
@@ -137,6 +139,21 @@ def files_to_bronze(spark, folder):
     return parse_records(read_bronze(spark, root, "events")).drop("_source_file", "_block_pos", "_row_pos")
 
 
+def listed(spark, folder):
+    """Documents landed by language; what a listing of one date range shows per source and day."""
+    root = scratch_root(spark)
+    documents = table(spark, folder, "documents").select("lang", F.to_json(F.struct("doc_id", "text")).alias("payload"))
+    for lang, day in (("en", 15), ("de", 16), ("fr", 20)):
+        part = documents.where(F.col("lang") == lang).select("payload", F.concat(F.md5("payload"), F.lit(".json")).alias("filename"))
+        ingest_payloads(part, root, "texts", lang, "json", at=_DAY.replace(day=day))
+    objects = list_ingested(spark, root, "texts", start=date(2024, 1, 15), end=date(2024, 1, 16))
+    files = ingested_files(spark, root, "texts", start=date(2024, 1, 15), end=date(2024, 1, 16))
+    stored = objects.groupBy("source", "year", "month", "day").agg((F.sum("size") > 0).alias("stored"))
+    counted = files.withColumn("source", parse_key(F.col("_source_file"))["source"]).groupBy("source").agg(
+        F.count(F.lit(1)).alias("files"), F.sum("record_count").alias("records"))
+    return stored.join(counted, "source")
+
+
 _KEY_SQL = """
     SELECT o_orderkey, o_orderdate,
            'bronze/orders/' || coalesce('source=' || lower(nullif(o_orderstatus, 'P')) || '/', '')
@@ -200,4 +217,9 @@ CHECKS = {
         WHERE rn = 1"""),
     "b1_land_csv_files": Check(files_to_bronze, """
         SELECT event_id, user_id, nullif(event_type, 'error') AS event_type, value, props FROM events"""),
+    "b6_list_ingested": Check(listed, """
+        SELECT lang AS source, CAST(2024 AS INTEGER) AS year, CAST(1 AS INTEGER) AS month,
+               CAST(CASE lang WHEN 'en' THEN 15 ELSE 16 END AS INTEGER) AS day, true AS stored,
+               count(*) AS files, count(*) AS records
+        FROM documents WHERE lang IN ('en', 'de') GROUP BY lang"""),
 }

@@ -21,3 +21,17 @@ def subfolders(spark: SparkSession, path: str) -> list[str]:
     if not system.exists(target):
         return []
     return sorted(s.getPath().getName() for s in system.listStatus(target) if s.isDirectory())
+
+
+def empty_files(spark: SparkSession, paths: list[str]) -> list[str]:
+    """URIs of the zero-length files that paths, globs or folders name; Spark's readers skip those."""
+    found = []
+    for path in paths:
+        system, target = _open(spark, path)
+        for status in system.globStatus(target) or []:
+            listed = system.listStatus(status.getPath()) if status.isDirectory() else [status]
+            found += [
+                s.getPath().toUri().toString() for s in listed
+                if s.isFile() and s.getLen() == 0 and not s.getPath().getName().startswith(("_", "."))
+            ]
+    return found

@@ -10,6 +10,7 @@ import csv
 import hashlib
 from collections.abc import Iterable, Iterator
 from datetime import date, datetime, timezone
+from urllib.parse import unquote
 
 import pandas as pd
 from pyspark.errors import AnalysisException
@@ -22,7 +23,7 @@ from tierlake.functions.columns import named
 from tierlake.functions.paths import PARTITIONS, object_key, parse_key, partition_filter, partition_values
 from tierlake.operators.joins import lookup_join
 from tierlake.session import materialize
-from tierlake.sources.folders import exists
+from tierlake.sources.folders import empty_files, exists
 
 BRONZE_SCHEMA = (
     T.StructType()
@@ -42,6 +43,7 @@ BRONZE_SCHEMA = (
 )
 FILE_ORDER = ("_source_file", "_block_pos", "_row_pos")
 WHOLE_FILE_BYTES = 256 << 20
+EMPTY_MD5 = hashlib.md5(b"", usedforsecurity=False).hexdigest()
 _RECORD = ("payload", "_path", "_block_pos", "_row_pos")
 
 
@@ -97,7 +99,9 @@ def hash_files(spark: SparkSession, paths: list[str], whole_file_bytes: int = WH
     files = spark.read.format("binaryFile").load(paths).withColumn("_path", F.col("_metadata.file_path"))
     small = files.where(F.col("length") <= whole_file_bytes).select("_path", F.md5("content").alias("_content_md5"))
     large = files.where(F.col("length") > whole_file_bytes).select("_path")
-    return small.unionByName(large.mapInPandas(_md5_in_chunks, "_path string, _content_md5 string"))
+    hashed = small.unionByName(large.mapInPandas(_md5_in_chunks, "_path string, _content_md5 string"))
+    empty = [(path, EMPTY_MD5) for path in empty_files(spark, paths)]
+    return hashed.unionByName(spark.createDataFrame(empty, hashed.schema)) if empty else hashed
 
 
 def _file_name(path: Column) -> Column:
@@ -187,11 +191,13 @@ def _csv_records(spark: SparkSession, paths: list[str]) -> list[DataFrame]:
     return frames
 
 
-def _decoded(uri: str) -> str:
-    """Reader argument for a file URI: readers take plain paths and treat some signs as globs."""
-    from urllib.parse import unquote
+def _literal(path: str) -> str:
+    """Reader argument that names exactly this path: readers treat some signs as globs."""
+    return "".join(f"\\{ch}" if ch in "{}[]*?\\" else ch for ch in path)
+
 
-    return "".join(f"\\{ch}" if ch in "{}[]*?\\" else ch for ch in unquote(uri))
+def _decoded(uri: str) -> str:
+    return _literal(unquote(uri))
 
 
 def _empty_records(spark: SparkSession) -> DataFrame:
@@ -287,8 +293,8 @@ def _land_files(spark, fresh: DataFrame, root, table, source, moment, schema_ver
 
 def ingest_file(spark: SparkSession, root: str, table: str, source: str, path: str,
                 schema_version: str = "1.0", at: datetime | None = None) -> dict:
-    """Land one file; its result as a dictionary."""
-    return ingest_files(spark, root, table, source, path, schema_version, at).first().asDict()
+    """Land one file, its path taken literally; its result as a dictionary."""
+    return ingest_files(spark, root, table, source, _literal(path), schema_version, at).first().asDict()
 
 
 def payload_records(payloads: DataFrame, file_format: str) -> DataFrame:
