@@ -140,17 +140,19 @@ def files_to_bronze(spark, folder):
 
 
 def listed(spark, folder):
-    """Documents landed by language; what a listing of one date range shows per source and day."""
+    """Documents with labels landed on one day, the others on a later one; a listing of the first day."""
     root = scratch_root(spark)
-    documents = table(spark, folder, "documents").select("lang", F.to_json(F.struct("doc_id", "text")).alias("payload"))
-    for lang, day in (("en", 15), ("de", 16), ("fr", 20)):
-        part = documents.where(F.col("lang") == lang).select("payload", F.concat(F.md5("payload"), F.lit(".json")).alias("filename"))
-        ingest_payloads(part, root, "texts", lang, "json", at=_DAY.replace(day=day))
-    objects = list_ingested(spark, root, "texts", start=date(2024, 1, 15), end=date(2024, 1, 16))
-    files = ingested_files(spark, root, "texts", start=date(2024, 1, 15), end=date(2024, 1, 16))
-    stored = objects.groupBy("source", "year", "month", "day").agg((F.sum("size") > 0).alias("stored"))
-    counted = files.withColumn("source", parse_key(F.col("_source_file"))["source"]).groupBy("source").agg(
-        F.count(F.lit(1)).alias("files"), F.sum("record_count").alias("records"))
+    documents, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    for how, source, day in (("left_semi", "labelled", 15), ("left_anti", "plain", 20)):
+        part = documents.join(labels, "doc_id", how).select(
+            F.to_json(F.struct("doc_id", "text")).alias("payload"),
+            F.concat(F.col("doc_id").cast("string"), F.lit(".json")).alias("filename"))
+        ingest_payloads(part, root, "texts", source, "json", at=_DAY.replace(day=day))
+    span = {"start": date(2024, 1, 10), "end": date(2024, 1, 16)}
+    stored = list_ingested(spark, root, "texts", **span).groupBy("source", "year", "month", "day").agg(
+        (F.sum("size") > 0).alias("stored"))
+    files = ingested_files(spark, root, "texts", **span).withColumn("source", parse_key(F.col("_source_file"))["source"])
+    counted = files.groupBy("source").agg(F.count(F.lit(1)).alias("files"), F.sum("record_count").alias("records"))
     return stored.join(counted, "source")
 
 
@@ -218,8 +220,7 @@ CHECKS = {
     "b1_land_csv_files": Check(files_to_bronze, """
         SELECT event_id, user_id, nullif(event_type, 'error') AS event_type, value, props FROM events"""),
     "b6_list_ingested": Check(listed, """
-        SELECT lang AS source, CAST(2024 AS INTEGER) AS year, CAST(1 AS INTEGER) AS month,
-               CAST(CASE lang WHEN 'en' THEN 15 ELSE 16 END AS INTEGER) AS day, true AS stored,
-               count(*) AS files, count(*) AS records
-        FROM documents WHERE lang IN ('en', 'de') GROUP BY lang"""),
+        SELECT 'labelled' AS source, CAST(2024 AS INTEGER) AS year, CAST(1 AS INTEGER) AS month,
+               CAST(15 AS INTEGER) AS day, true AS stored, count(*) AS files, count(*) AS records
+        FROM documents SEMI JOIN labels USING (doc_id)"""),
 }

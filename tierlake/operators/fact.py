@@ -6,6 +6,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tierlake.functions.columns import missing, named, present, require
 from tierlake.operators.joins import lookup_join
@@ -34,10 +35,10 @@ def lookup_key(
     that of the last row, wins. The key must be the dimension's first column.
     """
     key = surrogate_key or dim.columns[0]
-    if key == lookup:
-        raise ValueError("the dimension needs a surrogate key in its first column")
     require(fact, lookup)
     require(dim, lookup, key)
+    if key == lookup or not isinstance(dim.schema[key].dataType, T.IntegralType):
+        raise ValueError("the dimension needs an integer surrogate key in its first column")
     table = (
         dim.where(named(lookup).isNotNull())
         .groupBy(named(lookup).alias("_lookup")).agg(F.max(named(key)).alias("_found"))
