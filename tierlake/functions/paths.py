@@ -55,7 +55,7 @@ def parse_key(key: Column) -> dict[str, Column]:
     }
 
 
-def _as_date(value: date | datetime) -> date:
+def as_date(value: date | datetime | None) -> date | None:
     return value.date() if isinstance(value, datetime) else value
 
 
@@ -73,7 +73,7 @@ def partition_filter(
     if source:
         keep = keep & (F.col("source") == source)
     if start is not None:
-        keep = keep & (F.col("year") >= _as_date(start).year) & (day >= F.lit(_as_date(start)))
+        keep = keep & (F.col("year") >= as_date(start).year) & (day >= F.lit(as_date(start)))
     if end is not None:
-        keep = keep & (F.col("year") <= _as_date(end).year) & (day <= F.lit(_as_date(end)))
+        keep = keep & (F.col("year") <= as_date(end).year) & (day <= F.lit(as_date(end)))
     return keep

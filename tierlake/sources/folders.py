@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import SparkSession
 
 
@@ -35,3 +37,25 @@ def empty_files(spark: SparkSession, paths: list[str]) -> list[str]:
                 if s.isFile() and s.getLen() == 0 and not s.getPath().getName().startswith(("_", "."))
             ]
     return found
+
+
+def source_folders(spark: SparkSession, base: str, source: str, start: date | None, end: date | None) -> list[str]:
+    """Day folders of one source within the inclusive range, found by walking its folders only.
+
+    Without this a read lists every partition of the table before it prunes.
+    """
+    escape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    level = [(f"{base}/source={escape(source)}", ())]
+    for name in ("year", "month", "day"):
+        deeper = []
+        for folder, parts in level:
+            for child in subfolders(spark, folder):
+                if not child.startswith(f"{name}="):
+                    continue
+                grown = (*parts, int(child.split("=")[1]))
+                low = (start.year, start.month, start.day)[:len(grown)] if start else grown
+                high = (end.year, end.month, end.day)[:len(grown)] if end else grown
+                if low <= grown <= high:
+                    deeper.append((f"{folder}/{child}", grown))
+        level = deeper
+    return [folder for folder, _ in level]

@@ -20,10 +20,10 @@ from pyspark.sql import types as T
 
 from tierlake.functions import payload as P
 from tierlake.functions.columns import named
-from tierlake.functions.paths import PARTITIONS, object_key, parse_key, partition_filter, partition_values
+from tierlake.functions.paths import PARTITIONS, as_date, object_key, parse_key, partition_filter, partition_values
 from tierlake.operators.joins import lookup_join
 from tierlake.session import materialize
-from tierlake.sources.folders import empty_files, exists
+from tierlake.sources.folders import empty_files, exists, source_folders
 
 BRONZE_SCHEMA = (
     T.StructType()
@@ -72,11 +72,19 @@ def read_bronze(
     source: str | None = None,
 ) -> DataFrame:
     """Landed records; date range and source prune partitions."""
-    path = bronze_path(root, table)
-    if not exists(spark, path):
+    folders = _folders(spark, root, table, start, end, source)
+    if not folders:
         return spark.createDataFrame([], BRONZE_SCHEMA)
     # the declared schema keeps a source such as "007" text
-    return spark.read.schema(BRONZE_SCHEMA).parquet(path).where(partition_filter(start, end, source))
+    reader = spark.read.schema(BRONZE_SCHEMA).option("basePath", bronze_path(root, table))
+    return reader.parquet(*map(_literal, folders)).where(partition_filter(start, end, source))
+
+
+def _folders(spark, root, table, start, end, source) -> list[str]:
+    base = bronze_path(root, table)
+    if source:
+        return source_folders(spark, base, source, as_date(start), as_date(end))
+    return [base] if exists(spark, base) else []
 
 
 def _md5_in_chunks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -356,10 +364,11 @@ def list_ingested(
 
     Only file metadata is read: the content column is pruned.
     """
-    base = bronze_path(root, table)
-    if not exists(spark, base):
+    folders = _folders(spark, root, table, start, end, source)
+    if not folders:
         return spark.createDataFrame([], "key string, size bigint, modified timestamp, source string, year int, month int, day int")
-    listed = spark.read.format("binaryFile").options(recursiveFileLookup=True, pathGlobFilter="*.parquet").load(base)
+    listed = spark.read.format("binaryFile").options(recursiveFileLookup=True, pathGlobFilter="*.parquet").load(
+        [_literal(f) for f in folders])
     key = F.concat(F.lit(f"bronze/{table}/"), F.substring_index("path", f"/bronze/{table}/", -1))
     objects = listed.select(key.alias("key"), F.col("length").alias("size"), F.col("modificationTime").alias("modified"))
     parts = parse_key(F.col("key"))
