@@ -173,3 +173,32 @@ def test_range_join_matches_nested_loop(spark):
     ours = range_join(points, ranges, "p", "lo", "hi", 10.0).select("p", "r")
     brute = points.join(ranges, (F.col("p") >= F.col("lo")) & (F.col("p") < F.col("hi"))).select("p", "r")
     assert ours.exceptAll(brute).count() == 0 and brute.exceptAll(ours).count() == 0
+
+
+def test_empty_tables(spark):
+    from tierlake.operators.cleaning import keep_last
+    from tierlake.operators.fact import fact
+
+    empty = spark.createDataFrame([], "c string, v double, at long")
+    dim = dimension(empty, ["c"], "sk")
+    assert dim.columns == ["sk", "c"] and dim.count() == 0
+    assert keep_last(empty, ["c"], ["at"]).count() == 0
+    assert aggregate(empty, ["c"], {"v": "median"}).count() == 0
+    some = spark.createDataFrame([("a", 1.0, 1)], "c string, v double, at long")
+    assert [r.asDict() for r in fact(some, {"d": (dim, "c", "fk")}).collect()] == [{"c": "a", "v": 1.0, "at": 1, "fk": None}]
+    assert salted_join(some, dim, ["c"], "left", 3).count() == 1
+
+
+def test_hot_key_is_split_over_tasks(spark):
+    """A key with a third of the rows, clustered in the input, ends up in several join tasks."""
+    left = spark.range(0, 30_000, 1, 12).select("id", F.when(F.col("id") < 10_000, -1).otherwise(F.col("id")).alias("k"))
+    right = spark.range(0, 30_000, 1, 3).select(F.when(F.col("id") == 5, -1).otherwise(F.col("id")).alias("k"), F.col("id").alias("v"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        joined = salted_join(left, right, ["k"], "inner", 8, hot_keys=3)
+        tasks = joined.where("k = -1").groupBy(F.spark_partition_id().alias("task")).count().collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert sum(r["count"] for r in tasks) == 10_000 and len(tasks) > 1

@@ -12,8 +12,8 @@ from tierlake.operators.fact import fact
 from tierlake.sources.snapshots import GOLD_ROW_GROUP, read_latest, write_snapshot
 
 
-def _write(df: DataFrame, root: str, table: str, table_type: str, at: datetime | None) -> dict:
-    written = write_snapshot(df, root, "gold", table, {"table_type": table_type}, at, row_group_rows=GOLD_ROW_GROUP)
+def _write(df: DataFrame, root: str, table: str, table_type: str, at: datetime | None, row_group_rows: int) -> dict:
+    written = write_snapshot(df, root, "gold", table, {"table_type": table_type}, at, row_group_rows)
     return {"location": written["location"], "row_count": written["row_count"], "table_type": table_type}
 
 
@@ -26,10 +26,11 @@ def create_dimension_table(
     surrogate_key: str | None = None,
     first_seen_by: str | None = None,
     at: datetime | None = None,
+    row_group_rows: int = GOLD_ROW_GROUP,
 ) -> dict:
     """Distinct tuples of a silver table, numbered 1..N when a surrogate key is named."""
     silver = read_latest(spark, root, "silver", source_table)
-    return _write(dimension(silver, columns, surrogate_key, first_seen_by), root, dim_name, "dimension", at)
+    return _write(dimension(silver, columns, surrogate_key, first_seen_by), root, dim_name, "dimension", at, row_group_rows)
 
 
 def create_fact_table(
@@ -42,11 +43,13 @@ def create_fact_table(
     aggregations: Mapping[str, str] | None = None,
     group_by: list[str] | None = None,
     at: datetime | None = None,
+    row_group_rows: int = GOLD_ROW_GROUP,
 ) -> dict:
     """Silver rows with foreign keys, grouped when aggregations and group keys are given.
 
     ``dimension_keys`` maps a gold dimension to (lookup column, foreign key column). ``measures``
-    is a list to validate only: columns named there must be aggregated when it is given.
+    is a list to validate only: columns named there must be aggregated when it is given. Raise
+    ``row_group_rows`` (0: sized by bytes) for narrow tables of billions of rows.
     """
     if measures and aggregations:
         unlisted = sorted(set(aggregations) - set(measures))
@@ -57,4 +60,4 @@ def create_fact_table(
         dim: (read_latest(spark, root, "gold", dim), lookup, foreign_key)
         for dim, (lookup, foreign_key) in (dimension_keys or {}).items()
     }
-    return _write(fact(silver, lookups, aggregations, group_by), root, fact_name, "fact", at)
+    return _write(fact(silver, lookups, aggregations, group_by), root, fact_name, "fact", at, row_group_rows)

@@ -89,7 +89,7 @@ class Catalog:
             raise ValueError(f"Column {', '.join(absent)} not found in {layer}.{table}")
         stats = C.column_statistics(df, wanted).withColumns({
             "table_name": F.lit(table), "layer": F.lit(layer), "seq": F.lit(self._seq())})
-        self.append("column_stats", stats)
+        self.append("column_stats", stats.coalesce(1))  # one row per column
 
     def column_stats(self) -> DataFrame:
         """The latest statistics of each column."""

@@ -267,9 +267,10 @@ def ingest_files(
         raise FileNotFoundError(str(error)) from error
     name = _file_name(F.col("_path"))
     facts = materialize(hashed.select("_path", "_content_md5", _stem(name).alias("_stem"), _suffix(name).alias("_format")))
-    unknown = [r["_format"] for r in facts.select("_format").distinct().collect() if r["_format"] not in P.FORMATS]
+    others = facts.where(~F.col("_format").isin(*P.FORMATS)).select("_format").distinct().limit(10)
+    unknown = sorted(r["_format"] for r in others.collect())
     if unknown:
-        raise ValueError(f"Unsupported format: {', '.join(sorted(unknown))}; supported: {', '.join(P.FORMATS)}")
+        raise ValueError(f"Unsupported format: {', '.join(unknown)}; supported: {', '.join(P.FORMATS)}")
     file = F.concat("_stem", F.lit("_"), F.substring("_content_md5", 1, 8), F.lit("."), "_format")
     keyed = facts.withColumn("_source_file", object_key("bronze", table, file, _wall_clock(moment), F.lit(source)))
     files = keyed.groupBy("_source_file", "_content_md5", "_format").agg(F.min("_path").alias("_path"))

@@ -12,6 +12,8 @@ from tierlake.sources.landing import FILE_ORDER
 
 
 def _expanded(records: DataFrame, schema: T.StructType) -> DataFrame:
+    if not schema.fields:  # records without any member
+        return records.select(*FILE_ORDER)
     parsed = F.from_json("payload", schema, {"mode": "FAILFAST"})
     return records.select(*FILE_ORDER, parsed.alias("_record")).select("_record.*", *FILE_ORDER)
 
