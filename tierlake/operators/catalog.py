@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tierlake.functions.columns import missing, named, present
+from tierlake.operators.joins import lookup_join
 
 DIGEST_BYTES = 32
 TABLE_KEY = ("name", "layer")
@@ -156,8 +157,8 @@ def neighbours(edges: DataFrame, name: str, layer: str) -> DataFrame:
 
 def known_edges(edges: DataFrame, tables: DataFrame) -> DataFrame:
     """Edges with both ends registered."""
-    ends = tables.select("name", "layer")
+    ends = tables.select("name", "layer").distinct()
     for end in ("source", "target"):
-        renamed = ends.toDF(f"{end}_table", f"{end}_layer")
-        edges = edges.join(renamed, [f"{end}_table", f"{end}_layer"], "left_semi")
+        key = [f"{end}_table", f"{end}_layer"]
+        edges = lookup_join(edges, ends.toDF(*key), key, "left_semi")
     return edges
