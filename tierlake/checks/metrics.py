@@ -37,7 +37,7 @@ def matrix(spark, folder):
 
 def throughput(spark, folder):
     daily = M.daily_throughput(table(spark, folder, "events"), "ts", F.octet_length("props"))
-    return daily
+    return daily.withColumn("date", F.col("date").cast("string"))
 
 
 def dashboard(spark, folder):
@@ -71,7 +71,7 @@ CHECKS = {
                CAST(NULL AS DOUBLE) AS freshness, CAST(NULL AS DOUBLE) AS referential_integrity
         FROM events GROUP BY event_type"""),
     "d3_daily_throughput": Check(throughput, """
-        SELECT CAST(ts AS DATE) AS date, count(*) AS records_ingested, CAST(sum(strlen(props)) AS BIGINT) AS size
+        SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS date, count(*) AS records_ingested, CAST(sum(strlen(props)) AS BIGINT) AS size
         FROM events GROUP BY 1"""),
     "d4_summary": Check(dashboard, f"""
         SELECT (SELECT count(*) FROM lineitem) AS gold_records, CAST(3 AS BIGINT) AS tables_tracked,

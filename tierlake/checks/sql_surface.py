@@ -131,17 +131,17 @@ CHECKS = {
         WHERE place <= 3"""),
     # windows over pre-aggregated rows: a user has one row a day, however many events
     "s16_analytic": _same(f"""
-        {_DAILY} SELECT user_id, d, CAST(rank() OVER w AS BIGINT) AS r, CAST(dense_rank() OVER w AS BIGINT) AS dr,
+        {_DAILY} SELECT user_id, CAST(d AS STRING) AS day, CAST(rank() OVER w AS BIGINT) AS r, CAST(dense_rank() OVER w AS BIGINT) AS dr,
                CAST(ntile(4) OVER t AS BIGINT) AS quarter, lag(events) OVER t AS previous, lead(events, 2) OVER t AS later,
                first_value(events) OVER t AS first_day
         FROM daily WINDOW w AS (PARTITION BY user_id ORDER BY events DESC), t AS (PARTITION BY user_id ORDER BY d)"""),
     "s17_rows_frame": _same(f"""
-        {_DAILY} SELECT user_id, d, CAST(sum(events) OVER (PARTITION BY user_id ORDER BY d
+        {_DAILY} SELECT user_id, CAST(d AS STRING) AS day, CAST(sum(events) OVER (PARTITION BY user_id ORDER BY d
                                                         ROWS BETWEEN 3 PRECEDING AND CURRENT ROW) AS BIGINT) AS recent,
                max(largest) OVER (PARTITION BY user_id ORDER BY d ROWS BETWEEN 1 FOLLOWING AND 2 FOLLOWING) AS ahead
         FROM daily"""),
     "s17_range_frame": _same(f"""
-        {_DAILY} SELECT user_id, d, CAST(sum(events) OVER (PARTITION BY user_id ORDER BY d
+        {_DAILY} SELECT user_id, CAST(d AS STRING) AS day, CAST(sum(events) OVER (PARTITION BY user_id ORDER BY d
             RANGE BETWEEN INTERVAL '2' DAY PRECEDING AND CURRENT ROW) AS BIGINT) AS in_three_days
         FROM daily"""),
     "s18_top_k": _same("""
@@ -176,15 +176,17 @@ CHECKS = {
                text ILIKE '%license%' AS licensed
         FROM documents"""),
     "s22_dates": Check(_ask("""
-        SELECT o_orderkey, CAST(date_trunc('MONTH', o_orderdate) AS DATE) AS month, CAST(year(o_orderdate) AS BIGINT) AS y,
+        SELECT o_orderkey, CAST(CAST(date_trunc('MONTH', o_orderdate) AS DATE) AS STRING) AS month, CAST(year(o_orderdate) AS BIGINT) AS y,
                CAST(quarter(o_orderdate) AS BIGINT) AS q, CAST(datediff(DATE '2000-01-01', o_orderdate) AS BIGINT) AS days,
-               to_date(o_orderdate) AS d, date_format(o_orderdate, 'yyyy/MM/dd') AS text, last_day(o_orderdate) AS month_end,
-               date_add(to_date(o_orderdate), 10) AS due
+               CAST(to_date(o_orderdate) AS STRING) AS d, date_format(o_orderdate, 'yyyy/MM/dd') AS text,
+               CAST(last_day(o_orderdate) AS STRING) AS month_end,
+               CAST(date_add(to_date(o_orderdate), 10) AS STRING) AS due
         FROM orders"""), """
-        SELECT o_orderkey, CAST(date_trunc('month', o_orderdate) AS DATE) AS month, year(o_orderdate) AS y,
+        SELECT o_orderkey, CAST(CAST(date_trunc('month', o_orderdate) AS DATE) AS VARCHAR) AS month, year(o_orderdate) AS y,
                quarter(o_orderdate) AS q, date_diff('day', CAST(o_orderdate AS DATE), DATE '2000-01-01') AS days,
-               CAST(o_orderdate AS DATE) AS d, strftime(o_orderdate, '%Y/%m/%d') AS text, last_day(o_orderdate) AS month_end,
-               CAST(CAST(o_orderdate AS DATE) + INTERVAL 10 DAY AS DATE) AS due
+               CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS d, strftime(o_orderdate, '%Y/%m/%d') AS text,
+               CAST(last_day(o_orderdate) AS VARCHAR) AS month_end,
+               CAST(CAST(CAST(o_orderdate AS DATE) + INTERVAL 10 DAY AS DATE) AS VARCHAR) AS due
         FROM orders"""),
     "s23_math": _same("""
         SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, round(l_extendedprice / 7, 3) AS seventh, abs(l_discount - l_tax) AS gap,
