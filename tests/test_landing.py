@@ -148,3 +148,19 @@ def test_date_range_prunes_partitions(spark, tmp_path):
     filters = plan.split("PartitionFilters: [")[1].split("], PushedFilters")[0]
     assert "make_date" in filters and "source" in filters
     assert read_bronze(spark, root, "t", start=datetime(2024, 2, 1)).count() == 2
+
+
+@pytest.mark.parametrize("text", ['{"id": 1}\n{"id": 2}\n', '{"id": 1} {"id": 2}', '\n{"id": {"x": 1}}\n\n[1]'])
+def test_several_documents_in_a_json_file_are_refused(spark, tmp_path, text):
+    with pytest.raises(ValueError, match="not one JSON document"):
+        ingest_file(spark, str(tmp_path / "lake"), "t", "s", write(tmp_path, "a.json", text), at=DAY)
+
+
+def test_json_documents_over_several_lines(spark, tmp_path):
+    root = str(tmp_path / "lake")
+    pretty = json.dumps([{"id": i, "n": {"x": i}} for i in range(3)], indent=1)
+    assert ingest_file(spark, root, "t", "s", write(tmp_path, "a.json", pretty), at=DAY)["record_count"] == 3
+    odd = '{"id": 1, "n": {"x": 2}\n, "m": {"y": 3}\n}'
+    assert ingest_file(spark, root, "t", "s", write(tmp_path, "b.json", odd), at=DAY)["record_count"] == 1
+    lines = '[\n{"id": 1},\n{"id": 2}\n]'
+    assert ingest_file(spark, root, "t", "s", write(tmp_path, "c.json", lines), at=DAY)["record_count"] == 2

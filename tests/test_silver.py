@@ -158,3 +158,14 @@ def test_csv_cells_with_commas_quotes_and_line_breaks(spark, tmp_path):
     rows_ = {r["id"]: r.asDict() for r in parse_records(read_bronze(spark, root, "t")).collect()}
     assert rows_[1]["note"].replace("\r\n", "\n") == 'a, "b"\nc' and rows_[1]["id.1"] == "x"
     assert rows_[2]["note"] is None and rows_[2]["id.1"] is None and rows_[3]["note"] == "+7"
+
+
+@pytest.mark.parametrize("line", ['{"id": 2} {"id": 3}', '{"id": 2}, {"id": 3}', '{"id": 2', 'text'])
+def test_malformed_lines_raise(spark, tmp_path, line):
+    root = str(tmp_path / "lake")
+    (tmp_path / "a.jsonl").write_text(f'{{"id": 1}}\n{line}\n')
+    ingest_files(spark, root, "t", "s", str(tmp_path / "a.jsonl"), at=DAY)
+    from pyspark.sql import types as T
+
+    with pytest.raises(Exception, match="JSON|MALFORMED"):
+        process_table(spark, root, "t", read_schema=T.StructType().add("id", T.LongType()))

@@ -20,6 +20,14 @@ def short_hash(content: Column) -> Column:
     return F.substring(F.md5(content), 1, 8)
 
 
+def is_one_document(content: Column) -> Column:
+    """Whether the text is exactly one JSON value; Spark's parsers ignore what follows the first.
+
+    Inside brackets a second value is either a syntax error or a second element.
+    """
+    return F.coalesce(F.json_array_length(F.concat(F.lit("["), content, F.lit("]"))) == 1, F.lit(False))
+
+
 def lines(content: Column) -> Column:
     """Non-blank lines."""
     return F.filter(F.split(content, "\n"), lambda line: F.trim(F.translate(line, "\r\t", "  ")) != "")

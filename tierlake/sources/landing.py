@@ -140,8 +140,27 @@ def _jsonl_records(spark: SparkSession, paths: list[str]) -> DataFrame:
     return _positioned(lines, F.col("value")).where(F.trim(F.translate("payload", "\r\t", "  ")) != "")
 
 
+def _require_one_document(spark: SparkSession, paths: list[str]) -> None:
+    """Refuse JSON files that hold several documents: a reader would take only the first.
+
+    Such a file shows either a whole document on its first line with more lines after it, or
+    one line that looks like a document and is none.
+    """
+    text = _positioned(spark.read.text(paths, lineSep="\n"), F.trim(F.translate("value", "\r\t", "  ")))
+    text = text.where(F.col("payload") != "")
+    closed = F.col("payload").rlike(r"^\{.*\}$|^\[.*\]$")
+    valid = F.when(closed, P.is_one_document(F.col("payload")))
+    files = text.groupBy("_path").agg(
+        F.count(F.lit(1)).alias("lines"), F.min_by(valid, F.struct("_block_pos", "_row_pos")).alias("first"))
+    several = F.when(F.col("lines") > 1, F.col("first")).otherwise(~F.col("first"))
+    found = [r["_path"] for r in files.where(several).limit(5).collect()]
+    if found:
+        raise ValueError(f"not one JSON document (name JSON lines .jsonl): {', '.join(found)}")
+
+
 def _json_records(spark: SparkSession, paths: list[str]) -> DataFrame | None:
     """Arrays or single objects. Such a file cannot be split: one file is one task."""
+    _require_one_document(spark, paths)
     parsed = spark.read.option("multiLine", True).option("mode", "FAILFAST").json(paths)
     if not parsed.columns:
         return None

@@ -14,8 +14,13 @@ from tierlake.sources.landing import FILE_ORDER
 def _expanded(records: DataFrame, schema: T.StructType) -> DataFrame:
     if not schema.fields:  # records without any member
         return records.select(*FILE_ORDER)
-    parsed = F.from_json("payload", schema, {"mode": "FAILFAST"})
-    return records.select(*FILE_ORDER, parsed.alias("_record")).select("_record.*", *FILE_ORDER)
+    # read as an array of one: text after the first value is then an error, not ignored
+    wrapped = F.concat(F.lit("["), "payload", F.lit("]"))
+    values = F.from_json(wrapped, T.ArrayType(schema), {"mode": "FAILFAST"})
+    several = F.raise_error(F.concat(F.lit("not one JSON value: "), F.substring("payload", 1, 200)))
+    one = F.when(F.size("_values") == 1, F.get("_values", 0)).otherwise(several)
+    parsed = records.select(*FILE_ORDER, "payload", values.alias("_values"))
+    return parsed.select(*FILE_ORDER, one.alias("_record")).select("_record.*", *FILE_ORDER)
 
 
 def _from_json(records: DataFrame) -> DataFrame:
