@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -35,16 +37,36 @@ def build_session(app: str = "tierlake", master: str | None = None, **conf: str)
 def shared_folder(spark: SparkSession) -> str:
     """The reliable folder named by ``spark.checkpoint.dir``.
 
-    Only where neither the session nor the context names one (a laptop, a test) is a temporary
-    folder taken.
+    Only in local mode, where one machine does all the work, is a temporary folder taken when
+    neither the session nor the context names one; elsewhere that is an error, since executors
+    would each write to a disk of their own.
     """
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         shared = spark.conf.get("spark.checkpoint.dir", None)
+        if shared is None and not is_local(context.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="tierlake-checkpoint-"))
     return context.getCheckpointDir()
 
 
+def is_local(master: str) -> bool:
+    return master == "local" or master.startswith("local[")
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers of all executors, once for each context."""
+    context = spark.sparkContext
+    if getattr(context, "_tierlake_shipped", False):
+        return
+    package = Path(__file__).resolve().parent
+    with tempfile.TemporaryDirectory() as folder:
+        staged = Path(folder) / "staged"
+        shutil.copytree(package, staged / package.name, ignore=shutil.ignore_patterns("__pycache__"))
+        context.addPyFile(shutil.make_archive(f"{folder}/{package.name}", "zip", staged))
+    context._tierlake_shipped = True
+
+
 def scratch_root(spark: SparkSession) -> str:
     """A new empty lake root inside the shared folder."""
     return f"{shared_folder(spark)}/lake-{uuid.uuid4().hex}"
