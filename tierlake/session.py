@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import shutil
 import tempfile
 import uuid
@@ -60,10 +61,11 @@ def ship_package(spark: SparkSession) -> None:
     if getattr(context, "_tierlake_shipped", False):
         return
     package = Path(__file__).resolve().parent
-    with tempfile.TemporaryDirectory() as folder:
-        staged = Path(folder) / "staged"
-        shutil.copytree(package, staged / package.name, ignore=shutil.ignore_patterns("__pycache__"))
-        context.addPyFile(shutil.make_archive(f"{folder}/{package.name}", "zip", staged))
+    folder = tempfile.mkdtemp(prefix="tierlake-package-")  # the driver hands it out until it ends
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    staged = Path(folder) / "staged"
+    shutil.copytree(package, staged / package.name, ignore=shutil.ignore_patterns("__pycache__"))
+    context.addPyFile(shutil.make_archive(f"{folder}/{package.name}", "zip", staged))
     context._tierlake_shipped = True
 
 
