@@ -15,3 +15,13 @@ def op1_simhash(spark, folder):
 
 
 CHECKS["op1_simhash"] = Check(op1_simhash)
+
+
+def op6_best_fit_packing(spark, folder):
+    import public_tokenizers
+    from tierlake.llm.packing import pack_documents
+    packed = pack_documents(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
+    return packed.withColumnRenamed("id", "doc_id")
+
+
+CHECKS["op6_best_fit_packing"] = Check(op6_best_fit_packing)
