@@ -141,3 +141,45 @@ SELECT conv_id, count(*)::BIGINT AS n_turns,
        sum(12 + length(role) + 1 + length(escaped) + 11)::BIGINT AS formatted_chars
 FROM e GROUP BY conv_id
 """)
+
+
+def op10_top_k(spark, folder):
+    from tierlake.llm.search import nearest
+    vectors = table(spark, folder, "embeddings")
+    return nearest(vectors, vectors.filter("vec_id % 50 = 0"), k=5).withColumnRenamed("id", "vec_id")
+
+
+CHECKS["op10_top_k"] = Check(op10_top_k, """
+WITH e AS (SELECT vec_id, list_transform(embedding, lambda v: floor(256 * v::DOUBLE)) AS x FROM embeddings
+           WHERE embedding IS NOT NULL AND list_bool_and(list_transform(embedding, lambda v: coalesce(isfinite(v), false)))),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.x, c.x)::BIGINT AS score
+      FROM e q JOIN e c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id)
+SELECT query_id, rank, vec_id, score FROM (
+    SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM s) WHERE rank <= 5
+""")
+
+
+def op2_line_dedup(spark, folder):
+    from tierlake.llm.lines import dedup_lines
+    return dedup_lines(table(spark, folder, "documents")).select(
+        "doc.doc_id", "n_lines", "n_removed", F.length("doc.text").cast("long").alias("kept_chars"),
+        F.sha2("doc.text", 256).alias("kept_sha256"))
+
+
+#: Pairs come from shared halves and a full edit distance here, not from deletions.
+CHECKS["op2_line_dedup"] = Check(op2_line_dedup, """
+WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
+                  unnest(range(len(string_split(text, chr(10))))) AS at_line FROM documents),
+c AS (SELECT line, length(line) AS n, min((doc_id, at_line)) AS first FROM l WHERE length(line) >= 20 GROUP BY line),
+k AS (SELECT *, n - less AS m, (n - less) // 2 AS p FROM c, (VALUES (0), (1)) AS v(less)),
+h AS (SELECT line, first, m, 'a' || left(line, p) AS half FROM k UNION ALL
+      SELECT line, first, m, 'b' || right(line, m - p) AS half FROM k),
+near AS (SELECT DISTINCT a.line FROM h a JOIN h b ON a.m = b.m AND a.half = b.half AND a.line <> b.line
+         WHERE a.first > b.first AND abs(length(a.line) - length(b.line)) <= 1 AND levenshtein(a.line, b.line) <= 1),
+d AS (SELECT l.*, length(l.line) >= 20 AND (near.line IS NOT NULL OR (doc_id, at_line) > first) AS gone
+      FROM l LEFT JOIN c USING (line) LEFT JOIN near ON near.line = l.line)
+SELECT doc_id, count(*)::BIGINT AS n_lines, (count(*) FILTER (gone))::BIGINT AS n_removed,
+       length(coalesce(string_agg(line, chr(10) ORDER BY at_line) FILTER (NOT gone), ''))::BIGINT AS kept_chars,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY at_line) FILTER (NOT gone), '')) AS kept_sha256
+FROM d GROUP BY doc_id
+""")
