@@ -183,3 +183,24 @@ SELECT doc_id, count(*)::BIGINT AS n_lines, (count(*) FILTER (gone))::BIGINT AS
        sha256(coalesce(string_agg(line, chr(10) ORDER BY at_line) FILTER (NOT gone), '')) AS kept_sha256
 FROM d GROUP BY doc_id
 """)
+
+
+def op5_decontamination(spark, folder):
+    from tierlake.llm.decontaminate import find_leaks
+    leaks = find_leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return leaks.withColumnsRenamed({"id": "doc_id", "item": "item_id"})
+
+
+#: Shingles of five words of both sides joined as texts; items of fewer words are one shingle.
+CHECKS["op5_decontamination"] = Check(op5_decontamination, """
+WITH d AS (SELECT doc_id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}_]+') AS w FROM documents),
+b AS (SELECT item_id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}_]+') AS w FROM benchmark),
+bs AS (SELECT DISTINCT item_id, least(5, len(w)) AS k, unnest(list_transform(range(1, len(w) - least(5, len(w)) + 2),
+           lambda i: array_to_string(w[i:i + least(5, len(w)) - 1], ' '))) AS s FROM b WHERE len(w) > 0),
+ds AS (SELECT DISTINCT doc_id, k, unnest(list_transform(range(1, len(w) - k + 2),
+           lambda i: array_to_string(w[i:i + k - 1], ' '))) AS s FROM d, (SELECT DISTINCT k FROM bs) WHERE len(w) >= k),
+n AS (SELECT item_id, count(*) AS item_shingles FROM bs GROUP BY item_id)
+SELECT doc_id, item_id, item_shingles, count(*) AS shared, count(*) / item_shingles::DOUBLE AS containment
+FROM ds JOIN bs USING (k, s) JOIN n USING (item_id) GROUP BY doc_id, item_id, item_shingles
+HAVING count(*) >= 0.8 * item_shingles - 1e-9
+""")
