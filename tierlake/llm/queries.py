@@ -31,13 +31,13 @@ def _held_out(id_column):
     return F.coalesce(F.crc32(F.col(id_column).cast("string")) % 4 == 2, F.lit(False))
 
 
-def _learnable(spark, folder):
+def learnable_labels(spark, folder):
     return table(spark, folder, "labels").filter(~_held_out("doc_id"))
 
 
 def op9_quality(spark, folder):
     from tierlake.llm.quality import quality_scores
-    scores = quality_scores(table(spark, folder, "documents"), _learnable(spark, folder))
+    scores = quality_scores(table(spark, folder, "documents"), learnable_labels(spark, folder))
     return scores.select(F.col("id").alias("doc_id"), _held_out("id").alias("held_out"), "score",
                          (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
@@ -46,8 +46,9 @@ CHECKS["op9_quality"] = Check(op9_quality)
 
 
 def op7_toxicity(spark, folder):
-    from tierlake.llm.toxicity import toxicity_scores
-    scores = toxicity_scores(table(spark, folder, "documents"), _learnable(spark, folder))
+    from tierlake.llm.toxicity import fit_toxicity, toxicity_scores
+    docs = table(spark, folder, "documents")
+    scores = toxicity_scores(docs, fit_toxicity(docs, learnable_labels(spark, folder)))
     return scores.select(F.col("id").alias("doc_id"), _held_out("id").alias("held_out"), "score",
                          (F.col("score") >= 0.3).cast("int").alias("predicted"))
 

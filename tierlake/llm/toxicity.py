@@ -14,11 +14,9 @@ from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
-from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from tierlake.session import materialize
@@ -43,6 +41,8 @@ _WORDS = re.compile(r"[^\W_]+")
 _SPACED = re.compile(r"(?<!\S)\S(?:[ \t._*-]{1,3}[^\s._*-]){3,}(?!\S)")
 _LEET = "".join(map(re.escape, STANDS_FOR))
 _MIXED = re.compile(rf"[{_LEET}*._-]")
+_TRIPLE = re.compile(r"(.)\1\1")
+_TAIL = re.compile(r"([^\w\s])\1+$")
 
 
 @dataclass(frozen=True)
@@ -159,13 +159,19 @@ def decode(stretch: str, model: LanguageModel) -> str:
     return "".join(reversed(read)).strip()
 
 
-def _suspicious(token: str) -> bool:
-    """A token with letters that also has marks or digits inside, or a letter three times in a row."""
-    core = token.strip(".,;:!?\"'()[]{}")
+def _core(token: str) -> str:
+    """The token without marks around it and without a repeated mark behind it."""
+    return _TAIL.sub("", token.strip(".,;:!?\"'()[]{}"))
+
+
+def _suspicious(core: str) -> bool:
+    """Letters with marks or digits among them, or a character three times in a row."""
+    if core.isalpha():
+        return _TRIPLE.search(core) is not None
     letters = sum(map(str.isalpha, core))
-    if letters * 2 < len(core) and not (letters and core[:1].isalnum() and letters * 3 >= len(core)):
+    if letters * 2 < len(core) and not (core[:1].isalnum() and 0 < letters * 3 >= len(core)):
         return False
-    return bool(_MIXED.search(core)) or any(len(list(run)) > 2 for _, run in groupby(core))
+    return bool(_MIXED.search(core) or _TRIPLE.search(core))
 
 
 class Restorer:
@@ -174,32 +180,62 @@ class Restorer:
     def __init__(self, model: LanguageModel):
         self.model, self.known = model, {}
 
+    def read(self, token: str) -> tuple[str, ...]:
+        words, core = _WORDS.findall(token), _core(token)
+        if _suspicious(core):
+            words += self.stretch(core)
+        return tuple(dict.fromkeys(w for w in words if not w.isdigit()))
+
     def token(self, token: str) -> tuple[str, ...]:
         found = self.known.get(token)
         if found is None:
             if len(self.known) >= REMEMBERED:
                 self.known.clear()
-            words = _WORDS.findall(token)
-            if _suspicious(token):
-                words += self.stretch(token.strip(".,;:!?\"'()[]{}"))
-            found = self.known[token] = tuple(dict.fromkeys(w for w in words if not w.isdigit()))
+            found = self.known[token] = self.read(token)
         return found
 
     def stretch(self, text: str) -> list[str]:
         parts = (text[low:low + _STRETCH] for low in range(0, len(text), _STRETCH))
         return _WORDS.findall(" ".join(decode(part, self.model) for part in parts))
 
-    def words(self, text: str) -> tuple[set[str], int]:
-        """Distinct words of the text, as written and as decoded, and the number of its tokens."""
+    def spaced(self, text: str) -> list[str]:
+        """Words read from stretches of single characters."""
+        return [word for found in _SPACED.finditer(text) if len(set(found[0])) > 3 for word in self.stretch(found[0])]
+
+    def words(self, text: str) -> set[str]:
+        """Distinct words of the whole text, as written and as decoded."""
         text = text.lower()
-        tokens = text.split()
-        found: set[str] = set()
-        for token in set(tokens):
+        found = set(self.spaced(text))
+        for token in set(text.split()):
             found.update(self.token(token))
-        for spaced in _SPACED.finditer(text):
-            if len(set(spaced[0])) > 3:
-                found.update(self.stretch(spaced[0]))
-        return found, len(tokens)
+        return found
+
+
+class Weigher(dict):
+    """The weight of the most telling evidence in a token, remembered."""
+
+    def __init__(self, restorer: Restorer, weights: dict[str, float]):
+        super().__init__()
+        self.restorer, self.weights = restorer, weights
+
+    def __missing__(self, token: str) -> float:
+        if len(self) >= REMEMBERED:
+            self.clear()
+        found = self[token] = max((self.word(w) for w in self.restorer.read(token)), default=0.0)
+        return found
+
+    def word(self, word: str) -> float:
+        return max((self.weights.get(e, 0.0) for e in evidence_of(word)), default=0.0)
+
+    def signals(self, text: str) -> list[float]:
+        """What the score is made from: sums, counts and the largest of the weights, and the text's length."""
+        text = text.lower()
+        tokens = text.split()
+        found = [w for w in map(self.__getitem__, set(tokens)) if w]
+        found += [w for w in map(self.word, set(self.restorer.spaced(text))) if w]
+        total, n = sum(sorted(found)), len(found)
+        return [1.0, total / 5, np.log1p(total), np.log1p(len(tokens)), max(found, default=0.0), np.log1p(n),
+                total / np.sqrt(len(tokens) + 1)]
 
 
 def evidence_of(word: str) -> list[str]:
@@ -207,19 +243,6 @@ def evidence_of(word: str) -> list[str]:
     return [word] + [word[:k] + "*" for k in (3, 4, 5, 6, 7) if len(word) > k]
 
 
-def _signals(words: set[str], tokens: int, weights: dict[str, float], known: dict[str, float]) -> list[float]:
-    found = []
-    for word in words:
-        weight = known.get(word)
-        if weight is None:
-            weight = known[word] = max((weights.get(e, 0.0) for e in evidence_of(word)), default=0.0)
-        if weight:
-            found.append(weight)
-    total, n = sum(sorted(found)), len(found)
-    return [1.0, total / 5, np.log1p(total), np.log1p(tokens), max(found, default=0.0), np.log1p(n),
-            total / np.sqrt(tokens + 1)]
-
-
 def _fit_logistic(rows: np.ndarray, labels: np.ndarray) -> np.ndarray:
     """Newton's method with a ridge; the ridge keeps separable rows finite."""
     weights = np.zeros(rows.shape[1])
@@ -240,7 +263,7 @@ def _count_evidence(samples: DataFrame, model: LanguageModel) -> DataFrame:
         for batch in batches:
             seen: Counter = Counter()
             for text, label, half in zip(batch.column(0), *(batch.column(k).to_pylist() for k in (1, 2))):
-                words, _ = restorer.words(text.as_py() or "")
+                words = restorer.words(text.as_py() or "")
                 seen.update((e, half, label) for e in {e for w in words for e in evidence_of(w)} | {""})
             names = [pa.array([k[i] for k in seen], kind) for i, kind in enumerate((pa.string(), pa.int32(), pa.int32()))]
             yield pa.RecordBatch.from_arrays([*names, pa.array(list(seen.values()), pa.int64())], ["e", "half", "label", "n"])
@@ -265,17 +288,35 @@ def _weigh(counts: DataFrame) -> dict[str, float]:
     return {r["e"]: r["w"] for r in telling.orderBy(F.desc("z"), "e").limit(EVIDENCE).collect()}
 
 
-def toxicity_scores(
+@dataclass(frozen=True)
+class ToxicityModel:
+    """What scoring needs; ``fitted`` is None where there was too little to learn from, see ``share``."""
+
+    language: LanguageModel
+    weights: dict[str, float]
+    fitted: np.ndarray | None
+    share: float
+
+    def scores(self, texts: pa.Array, weigher: Weigher) -> np.ndarray:
+        if self.fitted is None:
+            return np.full(len(texts), self.share)
+        rows = np.array([weigher.signals(t.as_py() or "") for t in texts]).reshape(-1, len(self.fitted))
+        return 1 / (1 + np.exp(-np.clip(rows @ self.fitted, -500, 500)))
+
+    def weigher(self) -> Weigher:
+        return Weigher(Restorer(self.language), self.weights)
+
+
+def fit_toxicity(
     docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text",
     label_column: str = "toxic", labelled: int = LABELLED,
-) -> DataFrame:
-    """(id, score) of every row of ``docs``: how likely label 1 is, from the whole text alone.
+) -> ToxicityModel:
+    """Learn from ``labels``; the language model counts every character of ``docs``.
 
-    The language model counts every character of ``docs``. ``labels`` holds the rows to learn from;
-    at most ``labelled`` of them are used, to weigh the evidence and to fit how its sum becomes a score
-    (with weights from the other half of the rows, so that the fit isn't too sure). Null labels and ids that ``docs`` lacks are passed over. Without rows of
-    both labels every score is the share of label 1 learnt, or 0. Null and empty texts are scored
-    like others; repeated rows alike.
+    At most ``labelled`` rows of ``labels`` are used, to weigh the evidence and to fit how its sum
+    becomes a score (with weights from the other half of the rows, so that the fit isn't too sure).
+    Null ids and labels and ids that ``docs`` lacks are passed over; of an id's labels the largest
+    counts. Without rows of both labels every score will be the share of label 1 learnt, or 0.
     """
     rows = docs.select(F.col(id_column).alias("id"), F.col(text_column).cast("string").alias("text"))
     known = labels.select(F.col(id_column).alias("_id"), F.col(label_column).alias("label")).filter(
@@ -283,37 +324,50 @@ def toxicity_scores(
     chosen = known.withColumn("part", F.xxhash64("_id", F.lit("part"))).orderBy("part", "_id").limit(labelled)
     samples = materialize(rows.join(chosen, F.col("id") == F.col("_id")).select(
         "text", F.col("label").cast("int").alias("label"), F.pmod("part", F.lit(2)).cast("int").alias("half")))
-    model = fit_language_model(rows)
-    counts = materialize(_count_evidence(samples, model))
+    language = fit_language_model(rows)
+    counts = materialize(_count_evidence(samples, language))
     both = counts.groupBy("e").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other"))
     weights = _weigh(both)
     halves = [_weigh(counts.filter(F.col("half") == 1 - half)) for half in (0, 1)]  # learnt on the other half
 
-    def signals(batches: Iterator[pa.RecordBatch], by_half: bool = True) -> Iterator[pa.RecordBatch]:
-        restorer, remembered = Restorer(model), ({}, {}, {})
+    def signals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        restorer = Restorer(language)
+        weighers = [Weigher(restorer, w) for w in halves]
         for batch in batches:
-            found = []
-            for key, text in zip(batch.column(0), batch.column(1)):
-                words, tokens = restorer.words(text.as_py() or "")
-                which = key.as_py() % 2 if by_half else 2
-                if len(remembered[which]) > REMEMBERED:
-                    remembered[which].clear()
-                found.append(_signals(words, tokens, (*halves, weights)[which], remembered[which]))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.float64()))], ["id", "x"])
-
-    fitting = samples.select((F.col("label") * 2 + F.col("half")).alias("id"), "text").mapInArrow(
-        signals, "id int, x array<double>")
-    pairs = fitting.collect() if weights else []  # at most `labelled` rows of seven numbers
-    seen = np.array([r["id"] // 2 for r in pairs])
+            found = [weighers[half].signals(text.as_py() or "")
+                     for text, half in zip(batch.column(0), batch.column(2).to_pylist())]
+            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(found, pa.list_(pa.float64()))], ["label", "x"])
+
+    # at most `labelled` rows of seven numbers
+    pairs = samples.mapInArrow(signals, "label int, x array<double>").collect() if weights else []
+    seen = np.array([r["label"] for r in pairs])
     if len(set(seen.tolist())) < 2:
-        share = samples.agg(F.avg("label")).first()[0]
-        return rows.select("id", F.lit(float(share or 0)).alias("score"))
-    fitted = _fit_logistic(np.array([r["x"] for r in pairs]), seen)
+        return ToxicityModel(language, weights, None, float(samples.agg(F.avg("label")).first()[0] or 0))
+    return ToxicityModel(language, weights, _fit_logistic(np.array([r["x"] for r in pairs]), seen), 0.0)
+
+
+def toxicity_scores(docs: DataFrame, model: ToxicityModel, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """(id, score) of every row of ``docs``: how likely label 1 is, from the whole text alone.
 
+    Null and empty texts are scored like others; repeated rows alike. Other columns are not looked at.
+    """
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in signals(batches, by_half=False):
-            x = np.array(batch.column(1).to_pylist(), np.float64).reshape(-1, len(fitted))
-            odds = np.clip(x @ fitted, -500, 500)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(1 / (1 + np.exp(-odds)))], ["id", "score"])
+        weigher = model.weigher()
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(model.scores(batch.column(1), weigher))], ["id", "score"])
 
+    rows = docs.select(F.col(id_column).alias("id"), F.col(text_column).cast("string").alias("text"))
     return rows.mapInArrow(score, f"id {rows.schema['id'].dataType.simpleString()}, score double")
+
+
+def without_toxic(docs: DataFrame, model: ToxicityModel, text_column: str = "text", threshold: float = 0.3) -> DataFrame:
+    """The rows of ``docs``, all columns, that score below ``threshold``."""
+    at = docs.columns.index(text_column)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        weigher = model.weigher()
+        for batch in batches:
+            yield batch.filter(pa.array(model.scores(batch.column(at), weigher) < threshold, pa.bool_()))
+
+    return docs.mapInArrow(keep, docs.schema)
