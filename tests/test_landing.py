@@ -33,6 +33,11 @@ def write(folder, name, text):
     ("l[1]{x}.csv", '\r\n"id, no",name\r\n1,"a\r\nb"\r\n2,c\r\n', 2),
     ("m.jsonl", "", 0),
     ("n.csv", "", 0),
+    ("o.csv", 'h\n5" a\n6" b\n', 2),
+    ("p.csv", 'a,b,c\n5" x,"m\nn",6" y\n7,8,9\n', 2),
+    ("q.csv", 'a,"b\nc",d\n1,2,3\n', 1),
+    ("r.csv", "a,b\n1,2\n,\n3,4\n", 3),
+    ("s.csv", "a,a,\n1,2,3\n", 1),
 ])
 def test_record_counts_of_files_and_payloads(spark, tmp_path, name, text, count):
     root = str(tmp_path / "lake")
@@ -150,7 +155,8 @@ def test_date_range_prunes_partitions(spark, tmp_path):
     assert read_bronze(spark, root, "t", start=datetime(2024, 2, 1)).count() == 2
 
 
-@pytest.mark.parametrize("text", ['{"id": 1}\n{"id": 2}\n', '{"id": 1} {"id": 2}', '\n{"id": {"x": 1}}\n\n[1]'])
+@pytest.mark.parametrize("text", [
+    '{\n"a":1\n}\n{\n"a":2\n}\n', '[\n{"a":1},\n{"a":2}\n]\n[\n{"a":3}\n]', '{"a": 1', '{"id": 1}\n{"id": 2}\n', '{"id": 1} {"id": 2}', '\n{"id": {"x": 1}}\n\n[1]'])
 def test_several_documents_in_a_json_file_are_refused(spark, tmp_path, text):
     with pytest.raises(ValueError, match="not one JSON document"):
         ingest_file(spark, str(tmp_path / "lake"), "t", "s", write(tmp_path, "a.json", text), at=DAY)
@@ -164,3 +170,41 @@ def test_json_documents_over_several_lines(spark, tmp_path):
     assert ingest_file(spark, root, "t", "s", write(tmp_path, "b.json", odd), at=DAY)["record_count"] == 1
     lines = '[\n{"id": 1},\n{"id": 2}\n]'
     assert ingest_file(spark, root, "t", "s", write(tmp_path, "c.json", lines), at=DAY)["record_count"] == 2
+
+
+CELLS = ["", "x", " y ", 'q"q', '"a, b"', '"say ""hi"""', '"two\nlines"', "7", "NA", "é"]
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_csv_files_and_payloads_agree(spark, tmp_path, seed):
+    import csv
+    import io
+    import random
+
+    pick = random.Random(seed)
+    width = pick.randint(1, 4)
+    header = ",".join(pick.choice(["a", "b", '"c d"', ""]) for _ in range(width)) or "a"
+    cells = CELLS[1:] if width == 1 else CELLS
+    rows = [",".join(pick.choice(cells) for _ in range(pick.randint(1, width))) for _ in range(30)]
+    rows = [r for r in rows if r.strip()]
+    text = "\n".join([header, *rows]) + "\n"
+    expected = len([r for r in csv.reader(io.StringIO(text, newline="")) if r]) - 1
+    root = str(tmp_path / "lake")
+    assert ingest_file(spark, root, "f", "s", write(tmp_path, "a.csv", text), at=DAY)["record_count"] == expected
+    payload = spark.createDataFrame([(text, "a.csv")], "payload string, filename string")
+    assert ingest_payloads(payload, root, "p", "s", "csv", at=DAY).first()["record_count"] == expected
+    assert payload.select(P.record_count(F.col("payload"), F.lit("csv"))).first()[0] == expected
+
+    def landed(name):
+        found = read_bronze(spark, root, name).orderBy(*landing.FILE_ORDER).select("payload").collect()
+        return [json.loads(r["payload"]) for r in found]
+
+    assert landed("f") == landed("p")
+
+
+def test_repeated_csv_columns_and_empty_rows_are_kept(spark, tmp_path):
+    payload = spark.createDataFrame([("a,a\n1,2\n,\n", "a.csv")], "payload string, filename string")
+    root = str(tmp_path / "lake")
+    ingest_payloads(payload, root, "t", "s", "csv", at=DAY)
+    found = [json.loads(r["payload"]) for r in read_bronze(spark, root, "t").orderBy("_row_pos").collect()]
+    assert found == [{"a": "1", "a.1": "2"}, {"a": None, "a.1": None}]

@@ -43,8 +43,9 @@ BRONZE_SCHEMA = (
 )
 FILE_ORDER = ("_source_file", "_block_pos", "_row_pos")
 WHOLE_FILE_BYTES = 256 << 20
+# Hadoop's names of stores that Arrow knows by another one.
+_ARROW_SCHEMES = {"s3a": "s3", "s3n": "s3"}
 EMPTY_MD5 = hashlib.md5(b"", usedforsecurity=False).hexdigest()
-_RECORD = ("payload", "_path", "_block_pos", "_row_pos")
 
 
 def _moment(at: datetime | None) -> datetime:
@@ -93,7 +94,8 @@ def _md5_in_chunks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         digests = []
         for path in batch["_path"]:
-            system, name = fs.FileSystem.from_uri(path)
+            scheme, rest = path.split(":", 1)
+            system, name = fs.FileSystem.from_uri(f"{_ARROW_SCHEMES.get(scheme, scheme)}:{rest}")
             digest = hashlib.md5(usedforsecurity=False)
             with system.open_input_stream(name) as stream:
                 while chunk := stream.read(1 << 20):
@@ -140,78 +142,64 @@ def _jsonl_records(spark: SparkSession, paths: list[str]) -> DataFrame:
     return _positioned(lines, F.col("value")).where(F.trim(F.translate("payload", "\r\t", "  ")) != "")
 
 
-def _require_one_document(spark: SparkSession, paths: list[str]) -> None:
-    """Refuse JSON files that hold several documents: a reader would take only the first.
-
-    Such a file shows either a whole document on its first line with more lines after it, or
-    one line that looks like a document and is none.
-    """
-    text = _positioned(spark.read.text(paths, lineSep="\n"), F.trim(F.translate("value", "\r\t", "  ")))
-    text = text.where(F.col("payload") != "")
-    closed = F.col("payload").rlike(r"^\{.*\}$|^\[.*\]$")
-    valid = F.when(closed, P.is_one_document(F.col("payload")))
-    files = text.groupBy("_path").agg(
-        F.count(F.lit(1)).alias("lines"), F.min_by(valid, F.struct("_block_pos", "_row_pos")).alias("first"))
-    several = F.when(F.col("lines") > 1, F.col("first")).otherwise(~F.col("first"))
-    found = [r["_path"] for r in files.where(several).limit(5).collect()]
-    if found:
-        raise ValueError(f"not one JSON document (name JSON lines .jsonl): {', '.join(found)}")
+def _whole_texts(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Each file's text as one value, for what cannot be split; such a file is one task."""
+    return spark.read.text(paths, wholetext=True).select("value", F.col("_metadata.file_path").alias("_path"))
 
 
-def _json_records(spark: SparkSession, paths: list[str]) -> DataFrame | None:
-    """Arrays or single objects. Such a file cannot be split: one file is one task."""
-    _require_one_document(spark, paths)
-    parsed = spark.read.option("multiLine", True).option("mode", "FAILFAST").json(paths)
-    if not parsed.columns:
-        return None
-    return _positioned(parsed, F.to_json(F.struct(*map(named, parsed.columns))))
+def _records_of(texts: DataFrame, split: Column) -> DataFrame:
+    return texts.select("_path", F.lit(0).cast("long").alias("_block_pos"), F.posexplode(split).alias("_row_pos", "payload")).select(
+        "payload", "_path", "_block_pos", F.col("_row_pos").cast("long").alias("_row_pos"))
 
 
-def _unique_names(header: list[str]) -> list[str]:
-    seen: dict[str, int] = {}
-    names = []
-    for position, name in enumerate(header):
-        name = name or f"Unnamed: {position}"
-        count = seen.get(name, 0)
-        seen[name] = count + 1
-        names.append(f"{name}.{count}" if count else name)
-    return names
+def _json_records(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Arrays or single objects; a file that isn't exactly one JSON document is refused."""
+    texts = _whole_texts(spark, paths)
+    bad = texts.where(~P.is_one_document(F.col("value"))).select("_path").limit(5)
+    found = [r["_path"] for r in bad.collect()]
+    if found:
+        raise ValueError(f"not one JSON document (name JSON lines .jsonl): {', '.join(found)}")
+    return _records_of(texts, P.records(F.col("value"), F.lit("json")))
 
 
 def _csv_profile(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Per file its header line and whether some quoted cell spans lines (an odd quote count)."""
+    """Per file its header line and whether some line needs the whole file to be read."""
     text = _positioned(spark.read.text(paths, lineSep="\n"), F.rtrim(F.translate("value", "\r", " ")))
     text = text.where(F.trim("payload") != "")
-    quotes = F.length("payload") - F.length(F.replace("payload", F.lit('"'), F.lit("")))
     return text.groupBy("_path").agg(
         F.min_by("payload", F.struct("_block_pos", "_row_pos")).alias("header"),
-        F.max(quotes % 2).alias("spans_lines"),
+        F.max(P.needs_whole_file(F.col("payload"))).alias("whole"),
     )
 
 
 def _csv_records(spark: SparkSession, paths: list[str]) -> list[DataFrame]:
     """One reader per distinct header, so that files may differ in columns.
 
-    A file without quoted line breaks is split by lines over many tasks; only the others are
-    read whole. Short rows are padded with nulls, a row longer than its header raises.
+    A file whose quoted cells all end on their line is split by lines over many tasks; the others
+    are read whole, by the routine that payloads go through. Either way short rows are padded with
+    nulls, empty cells are null, and a row longer than its header raises.
     """
-    groups: dict[tuple[str, int], list[str]] = {}
+    groups: dict[str | None, list[str]] = {}
     # one row per file of this call, which the driver has listed already
     for row in _csv_profile(spark, paths).toLocalIterator():
-        groups.setdefault((row["header"], row["spans_lines"]), []).append(row["_path"])
+        groups.setdefault(None if row["whole"] else row["header"], []).append(row["_path"])
     frames = []
-    for (header, spans_lines), members in sorted(groups.items()):
-        names = _unique_names(next(csv.reader([header])))
+    whole = groups.pop(None, None)
+    if whole:
+        frames.append(_records_of(_whole_texts(spark, [_decoded(m) for m in whole]), P.csv_records(F.col("value"))))
+    for header, members in sorted(groups.items()):
+        names = P.unique_names(next(csv.reader([header])))
         bad = "_malformed_row"
         schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, bad]])
         rows = (
             spark.read.schema(schema)
-            .options(header=True, multiLine=bool(spans_lines), quote='"', escape='"', mode="PERMISSIVE",
+            .options(header=True, quote='"', escape='"', mode="PERMISSIVE",
                      columnNameOfCorruptRecord=bad, enforceSchema=True, maxCharsPerColumn=-1)
             .csv([_decoded(m) for m in members])
         )
-        fields = F.size(F.split(F.regexp_replace(named(bad), '"[^"]*"', ""), ",", -1))
-        record = F.to_json(F.struct(*map(named, names)), {"ignoreNullFields": "false"})
+        fields = F.size(F.split(P.without_quoted_cells(named(bad)), ",", -1))
+        cells = [F.nullif(named(n), F.lit("")).alias(n) for n in names]
+        record = F.to_json(F.struct(*cells), {"ignoreNullFields": "false"})
         too_long = named(bad).isNotNull() & (fields > len(names))
         message = F.concat(F.lit("CSV row longer than its header: "), named(bad))
         frames.append(_positioned(rows, F.when(too_long, F.raise_error(message)).otherwise(record)))
@@ -227,10 +215,6 @@ def _decoded(uri: str) -> str:
     return _literal(unquote(uri))
 
 
-def _empty_records(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], "payload string, _path string, _block_pos bigint, _row_pos bigint")
-
-
 def _append(records: DataFrame, root: str, table: str) -> None:
     records.write.mode("append").partitionBy(*PARTITIONS).option("compression", "snappy").parquet(
         bronze_path(root, table))
@@ -310,7 +294,7 @@ def _land_files(spark, fresh: DataFrame, root, table, source, moment, schema_ver
         frames.append(_json_records(spark, [_decoded(p) for p in by_format["json"]]))
     if "csv" in by_format:
         frames.extend(_csv_records(spark, [_decoded(p) for p in by_format["csv"]]))
-    for frame in filter(None, frames):
+    for frame in frames:
         records = lookup_join(frame, fresh, ["_path"], "inner").select(
             "payload", "_source_file", "_content_md5", F.substring("_content_md5", 1, 8).alias("_file_hash"),
             "_block_pos", "_row_pos", F.col("_format").alias("_original_format"),
