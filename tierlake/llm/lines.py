@@ -5,8 +5,8 @@ substitution apart, the earliest stays. Two lines one substitution apart leave t
 the character at that place is deleted; two lines one insertion apart are such that the longer
 leaves the shorter. So every line gives the hashes of all its deletions, and equal hashes are joined.
 
-Before that, lines that cannot have a partner are set aside without loss: one edit leaves the first
-or the second half of the shorter line's length alone, so partners share the hash of one of them.
+Before that, lines that cannot have a partner are set aside without loss: one edit leaves the
+beginning or the end of a line alone, so partners share the hash of one of them.
 """
 
 from __future__ import annotations
@@ -34,29 +34,38 @@ def _lines(texts: DataFrame, min_chars: int) -> DataFrame:
             .filter(F.length("line") >= min_chars).withColumn("h", F.unhex(F.md5("line"))))
 
 
-def _half_keys(line: Column) -> list[Column]:
-    """Hashes that lines at most one edit apart share at least one of, by the length of the shorter."""
+def _end_keys(line: Column) -> list[Column]:
+    """Hashes of a line's two ends; lines at most one edit apart share at least one of them.
+
+    Lengths fall into classes that grow by a quarter. An end is as long as half of the shortest
+    line of the class, so one edit leaves one of the two alone. A line that is the first of its
+    class gives its ends as the class below counts them too, for partners one character shorter.
+    """
+    def length_class(length: Column) -> Column:
+        return F.floor(F.log(length) / F.log(F.lit(1.25))).cast("int")
+
+    own, below = length_class(F.length(line)), length_class(F.length(line) - 1)
     keys = []
-    for less in (0, 1):
-        shorter = F.length(line) - less
-        half = F.floor(shorter / 2).cast("int")
-        keys += [F.xxhash64(F.lit(0), shorter, F.substring(line, F.lit(1), half)),
-                 F.xxhash64(F.lit(1), shorter, F.substring(line, F.length(line) - (shorter - half) + 1, shorter - half))]
+    for at in (own, F.when(below != own, below)):
+        end = F.floor(F.pow(F.lit(1.25), at) * 0.4999).cast("int")
+        for side, part in enumerate((F.substring(line, F.lit(1), end), F.substring(line, F.length(line) - end + 1, end))):
+            keys.append(F.when(at.isNotNull(), F.xxhash64(F.lit(side), at, part)))
     return keys
 
 
 def _classes(lines: DataFrame) -> DataFrame:
     """Distinct lines: (h, first, n, keys), ``first`` the smallest (id, at)."""
-    keyed = lines.select("h", F.struct("id", "at").alias("place"), *(k.alias(f"k{i}") for i, k in enumerate(_half_keys(F.col("line")))))
+    keyed = lines.select("h", F.struct("id", "at").alias("place"), *(k.alias(f"k{i}") for i, k in enumerate(_end_keys(F.col("line")))))
     return keyed.groupBy("h").agg(
         F.min("place").alias("first"), F.count(F.lit(1)).alias("n"), *(F.max(f"k{i}").alias(f"k{i}") for i in range(4)))
 
 
 def _may_have_partner(classes: DataFrame) -> DataFrame:
-    """(h, first) of the classes that share a half with another class."""
-    keys = classes.select("h", "first", F.explode(F.array_distinct(F.array("k0", "k1", "k2", "k3"))).alias("key"))
+    """(h, first) of the classes that share an end with another class."""
+    keys = classes.select("h", F.explode(F.array_compact(F.array("k0", "k1", "k2", "k3"))).alias("key"))
     shared = keys.groupBy("key").count().filter("count > 1").select("key")
-    return keys.join(shared, "key", "left_semi").select("h", "first").distinct()
+    found = materialize(keys.join(shared, "key", "left_semi").select("h").distinct())
+    return classes.select("h", "first").join(_small(found), "h", "left_semi")
 
 
 def near_lines(lines: DataFrame, candidates: DataFrame) -> DataFrame:
