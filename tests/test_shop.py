@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tierlake.operators.quality import QualityChecker
 from tierlake.plans.gold import create_dimension_table, create_fact_table
+from tierlake.operators.cleaning import by_column
 from tierlake.plans.silver import process_table
 from tierlake.plans.sqlsession import SqlSession
 from tierlake.sources.catalogstore import Catalog
@@ -55,7 +56,7 @@ def test_raw_files_to_facts(spark, shop):
     products = process_table(spark, shop, "products", dedup_columns=["product_id"], schema={"stock_quantity": "float"})
     assert products["duplicates_removed"] == 0
     orders = process_table(
-        spark, shop, "orders", dedup_columns=["order_id"], transformations={"status": lambda c: F.upper(F.trim(c))})
+        spark, shop, "orders", dedup_columns=["order_id"], transformations={"status": by_column(lambda c: F.upper(F.trim(c)))})
     assert (orders["records_in"], orders["records_out"]) == (14, 12)
     assert dict(read_latest(spark, shop, "silver", "orders").dtypes)["items"].startswith("array<struct<")
 

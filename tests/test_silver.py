@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tierlake.operators.cleaning import (
-    apply_transforms, clean, enforce_types, fill_nulls, keep_last, python_transform,
+    apply_transforms, by_column, clean, enforce_types, fill_nulls, keep_last, python_transform,
 )
 from tierlake.plans.silver import process_table
 from tierlake.sources.landing import ingest_files, ingest_payloads, read_bronze
@@ -53,18 +53,18 @@ def test_casts(spark):
 
 
 def test_transforms_on_columns_and_plain_python(spark):
-    df = spark.createDataFrame([("  Alice  ", 1), (None, 2), ("  Bob  ", 3)], "name string, n long")
-    by_column = apply_transforms(df, {"name": lambda c: F.upper(F.trim(c)), "absent": F.upper})
+    df = spark.createDataFrame([(" vienna\t", 1), (None, 2), ("graz  ", 3)], "name string, n long")
+    on_columns = apply_transforms(df, {"name": by_column(lambda c: F.upper(F.trim(F.translate(c, "\t", " ")))), "absent": F.upper})
     by_python = apply_transforms(df, {"name": lambda s: s.strip().upper() if s else s})
-    assert [r["name"] for r in by_column.collect()] == ["ALICE", None, "BOB"]
-    assert [r["name"] for r in by_python.collect()] == ["ALICE", None, "BOB"]
+    assert [r["name"] for r in on_columns.collect()] == ["VIENNA", None, "GRAZ"]
+    assert [r["name"] for r in by_python.collect()] == ["VIENNA", None, "GRAZ"]
     halved = apply_transforms(df, {"n": python_transform(lambda n: n / 2, "double")})
     assert [r["n"] for r in halved.collect()] == [0.5, 1.0, 1.5]
 
 
 def test_transform_sees_nulls_and_runs_before_the_fill(spark):
     df = spark.createDataFrame([(None,), ("x",)], "name string")
-    done = clean(df, transforms={"name": lambda c: F.coalesce(c, F.lit("unknown"))})
+    done = clean(df, transforms={"name": by_column(lambda c: F.coalesce(c, F.lit("unknown")))})
     assert [r["name"] for r in done.collect()] == ["unknown", "x"]
 
 
@@ -123,7 +123,7 @@ def test_mixed_number_types_and_declared_schema(spark, tmp_path):
 
     schema = T.StructType().add("id", T.LongType()).add("v", T.StringType())
     stats = process_table(spark, root, "t", schema={"v": "float"}, read_schema=schema,
-                          transformations={"v": lambda c: F.coalesce(c, F.lit("0"))})
+                          transformations={"v": by_column(lambda c: F.coalesce(c, F.lit("0")))})
     assert stats["records_out"] == 3
     assert dict(read_latest(spark, root, "silver", "t").dtypes) == {"id": "bigint", "v": "double"}
 
@@ -169,3 +169,17 @@ def test_malformed_lines_raise(spark, tmp_path, line):
 
     with pytest.raises(Exception, match="JSON|MALFORMED"):
         process_table(spark, root, "t", read_schema=T.StructType().add("id", T.LongType()))
+
+
+def test_python_functions_give_python_results(spark):
+    df = spark.createDataFrame([("abcdef", -7), (None, None)], "s string, n int")
+
+    def width(text: str) -> int:
+        return len(text or "")
+
+    found = apply_transforms(df.withColumn("t", F.col("s")).withColumn("u", F.col("s")), {
+        "s": lambda x: x and x[1:3], "n": lambda x: None if x is None else x % 3,
+        "t": lambda x: (x or "") + "_x", "u": width})
+    assert [tuple(r) for r in found.select("s", "n", "t", "u").collect()] == [("bc", 2, "abcdef_x", 6), (None, None, "_x", 0)]
+    with pytest.raises(Exception, match="python_transform"):
+        apply_transforms(df, {"s": lambda x: len(x or "")}).collect()

@@ -51,19 +51,20 @@ def _version_log(spark, folder):
     """A schema version per user and year half: event type to a type word."""
     events = table(spark, folder, "events").select(
         F.col("user_id").cast("string").alias("table_name"), F.lit("silver").alias("layer"),
-        F.when(F.dayofmonth("ts") <= 15, "1.0").otherwise("2.0").alias("version"), "event_type", "value", "event_id")
-    types = events.where("value > 8").groupBy("table_name", "layer", "version", "event_type").agg(
+        F.when(F.dayofmonth("ts") <= 15, "1.0").otherwise("2.0").alias("version"), "value", "event_id",
+        F.concat("event_type", F.lit("_"), (F.col("event_id") % 5).cast("string")).alias("event_type"))
+    types = events.groupBy("table_name", "layer", "version", "event_type").agg(
         F.when(F.max("value") > 20, "double").otherwise("bigint").alias("type"), F.max("event_id").alias("last"))
-    # at most one entry per event type is collected
+    # at most five entries per event type are collected
     return types.groupBy("table_name", "layer", "version").agg(
         F.map_from_entries(F.collect_list(F.struct("event_type", "type"))).alias("schema"), F.max("last").alias("seq"))
 
 
 _TYPES_SQL = """
     SELECT CAST(user_id AS VARCHAR) AS table_name, CASE WHEN day(ts) <= 15 THEN '1.0' ELSE '2.0' END AS version,
-           event_type AS column_name, CASE WHEN max(value) > 20 THEN 'double' ELSE 'bigint' END AS type,
+           event_type || '_' || (event_id % 5) AS column_name, CASE WHEN max(value) > 20 THEN 'double' ELSE 'bigint' END AS type,
            max(event_id) AS last
-    FROM events WHERE value > 8 GROUP BY ALL"""
+    FROM events GROUP BY ALL"""
 _CHANGES_SQL = f"""
     WITH t AS ({_TYPES_SQL}), paired AS (SELECT table_name FROM t GROUP BY table_name HAVING count(DISTINCT version) = 2)
     SELECT table_name, 'silver' AS layer, column_name, from_type, to_type,

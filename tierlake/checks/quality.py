@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from tierlake.checks import Check, table
 from tierlake.operators.quality import (
-    QualityChecker, bronze_checks, gold_checks, orphan_rate, report_totals, silver_checks,
+    QualityChecker, layer_checks, orphan_rate, report_totals,
 )
 
 _SHOWN = ("check_name", "passed", "value", "low", "high")
@@ -62,7 +62,7 @@ def totals(spark, folder):
 
 def presets(spark, folder):
     orders = table(spark, folder, "orders")
-    layers = {"bronze": bronze_checks(), "silver": silver_checks("o_custkey"), "gold": gold_checks()}
+    layers = {name: layer_checks(name, "o_custkey") for name in ("bronze", "silver", "gold")}
     frames = [c.results(orders).select(F.lit(layer).alias("layer"), *_SHOWN[:3]) for layer, c in layers.items()]
     return frames[0].unionByName(frames[1]).unionByName(frames[2])
 

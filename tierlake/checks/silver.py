@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from tierlake.checks import Check, table
 from tierlake.operators.cleaning import (
-    apply_transforms, clean, enforce_types, fill_nulls, keep_last,
+    apply_transforms, by_column, clean, enforce_types, fill_nulls, keep_last,
 )
 
 
@@ -12,7 +12,7 @@ def transforms(spark, folder):
     parts = table(spark, folder, "part").select(
         "p_partkey", F.concat(F.lit("  "), "p_name", F.lit(" ")).alias("p_name"), "p_type")
     return apply_transforms(parts, {
-        "p_name": lambda c: F.upper(F.trim(c)), "p_type": F.lower, "absent": F.lower})
+        "p_name": by_column(lambda c: F.upper(F.trim(c))), "p_type": F.lower, "absent": F.lower})
 
 
 def opaque_transforms(spark, folder):

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping
+from dataclasses import dataclass
+from decimal import Decimal
+from typing import get_type_hints
 
-import pandas as pd
-from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,29 +30,76 @@ TYPE_NAMES = {
 }
 
 
-def python_transform(fn: Callable, return_type: str | T.DataType) -> Callable[[Column], Column]:
-    """An opaque Python function of one value as a Column function (Arrow batches)."""
+@dataclass(frozen=True)
+class ColumnTransform:
+    """Marks a function that takes and returns a Column."""
 
-    @F.pandas_udf(return_type)
-    def apply(values: pd.Series) -> pd.Series:
-        return values.astype(object).where(values.notna(), None).map(fn)
+    fn: Callable[[Column], Column]
 
-    return apply
 
+def by_column(fn: Callable[[Column], Column]) -> ColumnTransform:
+    return ColumnTransform(fn)
 
-def _as_column(fn: Callable, df: DataFrame, name: str) -> Column:
-    """Call ``fn`` on the Column; plain Python functions, which cannot take one, are wrapped."""
+
+#: Python types that a value of each annotated or column type may have.
+_RETURNS = {str: "string", int: "bigint", float: "double", bool: "boolean", bytes: "binary"}
+
+
+def python_transform(fn: Callable, return_type: str | T.DataType) -> ColumnTransform:
+    """A Python function of one value, run on Arrow batches; it sees nulls as None."""
+    return ColumnTransform(F.udf(fn, return_type, useArrow=True))
+
+
+def _fits(value: object, dtype: T.DataType) -> bool:
+    if value is None:
+        return True
+    if isinstance(dtype, T.StringType):
+        return isinstance(value, str)
+    if isinstance(dtype, T.BooleanType):
+        return isinstance(value, bool)
+    if isinstance(dtype, T.IntegralType):
+        return isinstance(value, int) and not isinstance(value, bool)
+    if isinstance(dtype, T.FractionalType):
+        return isinstance(value, (int, float, Decimal)) and not isinstance(value, bool)
+    return True
+
+
+def _of_type(fn: Callable, dtype: T.DataType) -> Callable:
+    """``fn``, refusing results that the column cannot hold as they are."""
+    def checked(value):
+        result = fn(value)
+        if not _fits(result, dtype):
+            raise TypeError(f"{result!r} is no {dtype.simpleString()}: name the type with python_transform(fn, type)")
+        return float(result) if isinstance(dtype, (T.FloatType, T.DoubleType)) and isinstance(result, int) else result
+
+    return checked
+
+
+def _as_column(fn: Callable | ColumnTransform, df: DataFrame, name: str) -> Column:
+    """Column functions are marked, or are Spark's own; every other function is Python's.
+
+    The type of a Python function's result is its return annotation, else that of the column.
+    """
+    if isinstance(fn, ColumnTransform):
+        return fn.fn(named(name))
+    if (getattr(fn, "__module__", None) or "").startswith("pyspark.sql"):
+        return fn(named(name))
     try:
-        result = fn(named(name))
-    except (TypeError, ValueError, AttributeError, PySparkException):
-        result = None
-    if isinstance(result, Column):
-        return result
-    return python_transform(fn, df.schema[name].dataType)(named(name))
+        wanted = get_type_hints(fn).get("return")
+    except (TypeError, NameError):
+        wanted = None
+    if wanted in _RETURNS:
+        return python_transform(fn, _RETURNS[wanted]).fn(named(name))
+    dtype = df.schema[name].dataType
+    return python_transform(_of_type(fn, dtype), dtype).fn(named(name))
+
 
+def apply_transforms(df: DataFrame, transforms: Mapping[str, Callable | ColumnTransform] | None) -> DataFrame:
+    """Replace columns by a function of themselves; absent columns are ignored.
 
-def apply_transforms(df: DataFrame, transforms: Mapping[str, Callable] | None) -> DataFrame:
-    """Replace columns by a function of themselves; absent columns are ignored."""
+    Plain functions get one Python value each, as they would outside Spark. Wrap functions of
+    Columns in ``by_column``; those of ``pyspark.sql.functions`` may be given as they are.
+    """
     known = {c: f for c, f in (transforms or {}).items() if c in df.columns}
     return df.withColumns({c: _as_column(f, df, c) for c, f in known.items()}) if known else df
 

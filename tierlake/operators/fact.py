@@ -95,11 +95,13 @@ def fact(
     lookups: Mapping[str, tuple[DataFrame, str, str]] | None = None,
     aggregations: Mapping[str, str] | None = None,
     group_by: list[str] | None = None,
+    order_by: str | None = None,
 ) -> DataFrame:
     """Key lookups, then the aggregate when both aggregations and group keys are given.
 
-    ``lookups`` maps a dimension name to (dimension, lookup column, foreign key column).
+    ``lookups`` maps a dimension name to (dimension, lookup column, foreign key column);
+    ``order_by`` is the column that ``first`` and ``last`` follow.
     """
     for dim, lookup, foreign_key in (lookups or {}).values():
         df = lookup_key(df, dim, lookup, foreign_key)
-    return aggregate(df, group_by, aggregations) if aggregations and group_by else df
+    return aggregate(df, group_by, aggregations, order_by) if aggregations and group_by else df

@@ -9,9 +9,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tierlake.functions.columns import named
+from tierlake.session import materialize
 
 SALT = "_salt"
-HOT_KEYS = 1000
+CELL_STEP = 16
+TARGET_ROWS = 1_000_000  # rows of one key that one task may join
+MOST_HOT = 100_000       # keys over the target, at most
+KEYLESS_SALTS = 4096
 _UNITS = {"": 1, "b": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
 
 
@@ -48,7 +52,7 @@ def lookup_join(
     right: DataFrame,
     on: list[str],
     how: str = "left",
-    salt_buckets: int = 32,
+    target_rows: int = TARGET_ROWS,
 ) -> DataFrame:
     """Join a large left side to ``right``; ``how`` is left, inner, left_semi or left_anti.
 
@@ -57,39 +61,39 @@ def lookup_join(
     """
     if fits_broadcast(right):
         return left.join(F.broadcast(right), on, how)
-    return salted_join(left, right, on, how, salt_buckets)
+    return salted_join(left, right, on, how, target_rows)
 
 
-def heaviest_keys(df: DataFrame, on: list[str], keys: int = HOT_KEYS) -> DataFrame:
-    """The ``keys`` most frequent keys, marked ``_hot``, as fixed local rows.
+def hot_keys(df: DataFrame, on: list[str], target_rows: int) -> DataFrame:
+    """Every key with more than ``target_rows`` rows and how many salts spread it: ``_salts``.
 
-    Any other key holds less than one in ``keys`` of the rows. The counts are exact and
-    combined on the map side, the collected rows are bounded by ``keys``.
+    Counts are exact and combined on the map side. There are at most ``MOST_HOT`` such keys, since
+    the target is raised to a ``MOST_HOT``-th of all rows where it is below.
     """
-    counts = df.select(*map(named, on)).dropna().groupBy(*map(named, on)).agg(F.count(F.lit(1)).alias("_n"))
-    top = counts.orderBy(F.desc("_n")).limit(keys).drop("_n")
-    return df.sparkSession.createDataFrame(top.collect(), top.schema).withColumn("_hot", F.lit(True))
+    counts = materialize(
+        df.select(*map(named, on)).dropna().groupBy(*map(named, on)).agg(F.count(F.lit(1)).alias("_n")))
+    rows = counts.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0]
+    target = max(target_rows, -(-rows // MOST_HOT), 1)
+    return counts.where(F.col("_n") > target).select(
+        *map(named, on), F.ceil(F.col("_n") / F.lit(target)).cast("int").alias("_salts"))
 
 
-def salted_join(
-    left: DataFrame, right: DataFrame, on: list[str], how: str, salt_buckets: int, hot_keys: int = HOT_KEYS
-) -> DataFrame:
-    """Shuffle join on key plus salt, which spreads each hot key over ``salt_buckets`` tasks.
+def salted_join(left: DataFrame, right: DataFrame, on: list[str], how: str, target_rows: int = TARGET_ROWS) -> DataFrame:
+    """Shuffle join on key plus salt, with as many salts as a key's rows need.
 
-    Only the right rows of the heaviest keys are copied, once per salt. The salt of a left row
-    is the number of its input partition, so that a retried task salts its rows the same. Left
-    rows without a key match nothing and are spread as well.
+    Only the right rows of hot keys are copied, once per salt. The salt of a left row is its
+    place in its input partition plus that partition's number, so that a retried task salts its
+    rows the same. Left rows without a key match nothing and are spread as well.
     """
-    hot = F.broadcast(heaviest_keys(left, on, hot_keys))  # at most ``hot_keys`` rows
+    hot = F.broadcast(hot_keys(left, on, target_rows))  # at most MOST_HOT rows
     no_key = F.lit(False)
     for name in on:
         no_key = no_key | named(name).isNull()
-    spread = (F.spark_partition_id() % salt_buckets).cast("int")
-    salted_left = left.join(hot, on, "left").withColumn(
-        SALT, F.when(F.col("_hot").isNotNull() | no_key, spread).otherwise(F.lit(0))).drop("_hot")
-    every = F.sequence(F.lit(0), F.lit(salt_buckets - 1))
-    salted_right = right.join(hot, on, "left").withColumn(
-        SALT, F.explode(F.when(F.col("_hot"), every).otherwise(F.array(F.lit(0))))).drop("_hot")
+    place = F.monotonically_increasing_id() % (1 << 33) + F.spark_partition_id()
+    salts = F.when(no_key, F.lit(KEYLESS_SALTS)).otherwise(F.coalesce("_salts", F.lit(1)))
+    salted_left = left.join(hot, on, "left").withColumn(SALT, (place % salts).cast("int")).drop("_salts")
+    every = F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)
+    salted_right = right.join(hot, on, "left").withColumn(SALT, F.explode(every)).drop("_salts")
     return salted_left.join(salted_right, [*on, SALT], how).drop(SALT)
 
 
@@ -105,25 +109,26 @@ def asof_join(
     """Every left row with ``values`` of the latest right row of its key at or before its time.
 
     ``values`` maps right columns to output names. Rows of equal key and time are ordered by
-    ``tie``. Each key is cut into time buckets, so that a hot key is sorted by many tasks; the
+    ``tie``, of any type with an order, nulls first. Left rows without key or time find nothing
+    and stay where they are. Each key is cut into time buckets, so that a hot key is sorted by many tasks; the
     state to carry into a bucket is the last right row of the earlier ones, computed from one
     pre-aggregated row per key and bucket.
     """
     picked = list(values)
     ts_type = left.schema[ts].dataType
-    # a missing time falls into a bucket too: window() alone would drop its row
-    instant = F.coalesce(named(ts), F.lit("1970-01-01 00:00:00").cast(ts_type))
-    start = F.window(instant, bucket)["start"].cast(ts_type)
+    start = F.window(named(ts), bucket)["start"].cast(ts_type)
+    tie_type = right.schema[tie].dataType if tie else T.LongType()
+    whole = named(key).isNotNull() & named(ts).isNotNull()
     state = F.struct(*[named(c).alias(values[c]) for c in picked])
     # side orders rows of the same instant: carried state, then right rows, then left rows
     right_rows = right.select(
         named(key).alias("_k"), named(ts).alias("_t"), start.alias("_b"), F.lit(1).alias("_side"),
-        (named(tie).cast("long") if tie else F.lit(0).cast("long")).alias("_tie"),
+        (named(tie) if tie else F.lit(0).cast("long")).alias("_tie"),
         state.alias("_state"),
     ).where(F.col("_k").isNotNull() & F.col("_t").isNotNull())
-    left_rows = left.select(
+    left_rows = left.where(whole).select(
         named(key).alias("_k"), named(ts).alias("_t"), start.alias("_b"), F.lit(2).alias("_side"),
-        F.lit(0).cast("long").alias("_tie"), F.struct(*[named(c) for c in left.columns]).alias("_row"),
+        F.lit(None).cast(tie_type).alias("_tie"), F.struct(*[named(c) for c in left.columns]).alias("_row"),
     )
     ends = right_rows.groupBy("_k", "_b").agg(
         F.max_by("_state", F.struct("_t", "_tie")).alias("_end")
@@ -135,7 +140,7 @@ def asof_join(
         .withColumn("_state", F.last("_end", ignorenulls=True).over(before))
         .where(F.col("_state").isNotNull())
         .select("_k", F.col("_b").alias("_t"), "_b", F.lit(0).alias("_side"),
-                F.lit(0).cast("long").alias("_tie"), "_state")
+                F.lit(None).cast(tie_type).alias("_tie"), "_state")
     )
     latest = (
         Window.partitionBy("_k", "_b").orderBy("_t", "_side", "_tie")
@@ -148,7 +153,9 @@ def asof_join(
         .where(F.col("_side") == 2)
     )
     outputs = [F.col("_found")[name].alias(name) for name in values.values()]
-    return merged.select("_row.*", *outputs)
+    unmatched = left.where(~whole).select(
+        *map(named, left.columns), *[F.lit(None).cast(right.schema[c].dataType).alias(n) for c, n in values.items()])
+    return merged.select("_row.*", *outputs).unionAll(unmatched)
 
 
 def range_join(
@@ -161,16 +168,22 @@ def range_join(
 ) -> DataFrame:
     """Rows of ``points`` with the ranges where ``low <= point < high``.
 
-    Instead of a nested loop both sides get an equality key: the number of the grid cell of
-    size ``width``. A range is repeated once per cell it touches, a point lies in one cell.
-    Choose ``width`` near the usual range length.
+    Instead of a nested loop both sides get an equality key: the number of a grid cell. Cells
+    of size ``width`` serve the usual range; a longer one uses cells 16 times as large as often
+    as it takes to touch at most 17 of them. So no range is repeated more often than that, and a
+    point is looked up once in each cell size that occurs. Choose ``width`` near the usual
+    range length.
     """
-    def cell(c: Column) -> Column:
-        return F.floor(c.cast("double") / F.lit(float(width)))
-
-    celled = ranges.where(named(low) < named(high)).withColumn(
-        "_cell", F.explode(F.sequence(cell(named(low)), cell(named(high))))
-    )
-    left = points.withColumn("_cell", cell(named(point)))
+    def cell(c: Column, level: Column) -> Column:
+        return F.floor(c.cast("double") / (F.lit(float(width)) * F.pow(F.lit(float(CELL_STEP)), level)))
+
+    length = (named(high).cast("double") - named(low).cast("double")) / float(width)
+    level = F.greatest(F.ceil(F.log(F.greatest(length, F.lit(1.0))) / F.log(F.lit(float(CELL_STEP)))) - 1, F.lit(0)).cast("int")
+    levelled = ranges.where(named(low) < named(high)).withColumn("_level", level)
+    levels = sorted(r["_level"] for r in levelled.select("_level").distinct().collect())  # by powers of 16: some dozens
+    celled = levelled.withColumn("_cell", F.explode(F.sequence(
+        cell(named(low), F.col("_level")), cell(named(high), F.col("_level")))))
+    left = points.withColumn("_level", F.explode(F.array(*map(F.lit, levels)).cast("array<int>"))).withColumn(
+        "_cell", cell(named(point), F.col("_level")))
     hit = (named(point) >= named(low)) & (named(point) < named(high))
-    return lookup_join(left, celled, ["_cell"], "inner").where(hit).drop("_cell")
+    return lookup_join(left, celled, ["_level", "_cell"], "inner").where(hit).drop("_level", "_cell")

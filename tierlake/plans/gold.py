@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tierlake.operators.dimension import dimension
 from tierlake.operators.fact import fact
-from tierlake.sources.snapshots import GOLD_ROW_GROUP, read_latest, write_snapshot
+from tierlake.sources.snapshots import read_latest, write_snapshot
 
 
 def _write(df: DataFrame, root: str, table: str, table_type: str, at: datetime | None, row_group_rows: int) -> dict:
@@ -26,7 +26,7 @@ def create_dimension_table(
     surrogate_key: str | None = None,
     first_seen_by: str | None = None,
     at: datetime | None = None,
-    row_group_rows: int = GOLD_ROW_GROUP,
+    row_group_rows: int = 0,
 ) -> dict:
     """Distinct tuples of a silver table, numbered 1..N when a surrogate key is named."""
     silver = read_latest(spark, root, "silver", source_table)
@@ -42,14 +42,16 @@ def create_fact_table(
     dimension_keys: Mapping[str, tuple[str, str]] | None = None,
     aggregations: Mapping[str, str] | None = None,
     group_by: list[str] | None = None,
+    order_by: str | None = None,
     at: datetime | None = None,
-    row_group_rows: int = GOLD_ROW_GROUP,
+    row_group_rows: int = 0,
 ) -> dict:
     """Silver rows with foreign keys, grouped when aggregations and group keys are given.
 
     ``dimension_keys`` maps a gold dimension to (lookup column, foreign key column). ``measures``
-    is a list to validate only: columns named there must be aggregated when it is given. Raise
-    ``row_group_rows`` (0: sized by bytes) for narrow tables of billions of rows.
+    is a list to validate only: columns named there must be aggregated when it is given.
+    ``order_by`` is the column that ``first`` and ``last`` follow. Row groups are sized by bytes
+    unless ``row_group_rows`` is given.
     """
     if measures and aggregations:
         unlisted = sorted(set(aggregations) - set(measures))
@@ -60,4 +62,4 @@ def create_fact_table(
         dim: (read_latest(spark, root, "gold", dim), lookup, foreign_key)
         for dim, (lookup, foreign_key) in (dimension_keys or {}).items()
     }
-    return _write(fact(silver, lookups, aggregations, group_by), root, fact_name, "fact", at, row_group_rows)
+    return _write(fact(silver, lookups, aggregations, group_by, order_by), root, fact_name, "fact", at, row_group_rows)

@@ -12,7 +12,6 @@ from tierlake.functions.columns import named
 from tierlake.sources.folders import exists, subfolders
 
 SNAPSHOT = "snapshot_ts="
-GOLD_ROW_GROUP = 50_000
 
 
 def snapshot_id(at: datetime | None = None) -> str:
