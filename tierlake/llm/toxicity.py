@@ -160,8 +160,8 @@ def decode(stretch: str, model: LanguageModel) -> str:
 
 
 def _core(token: str) -> str:
-    """The token without marks around it and without a repeated mark behind it."""
-    return _TAIL.sub("", token.strip(".,;:!?\"'()[]{}"))
+    """The token without quotes and brackets before it, and without marks, one of them repeated or not, behind it."""
+    return _TAIL.sub("", token.lstrip("\"'([{").rstrip(".,;:!?\"')]}"))
 
 
 def _suspicious(core: str) -> bool:

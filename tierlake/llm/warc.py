@@ -102,7 +102,7 @@ class _Archive:
         self.size += self.out.write(self.member.compress(data)) or 0
 
     def end(self) -> None:
-        self.out.write(self.member.compress(b"\r\n\r\n") + self.member.flush())
+        self.size += self.out.write(self.member.compress(b"\r\n\r\n") + self.member.flush()) or 0
         self.member = None
 
     def close(self) -> str:
