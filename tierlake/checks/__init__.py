@@ -20,10 +20,10 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 def all_checks() -> dict[str, Check]:
     from tierlake.checks import (
-        catalog, cost, gold, landing, metrics, quality, silver, sql_surface, streaming,
+        catalog, cost, gold, hard_cases, landing, metrics, quality, silver, sql_surface, streaming,
     )
 
     found: dict[str, Check] = {}
-    for module in (landing, silver, gold, quality, metrics, sql_surface, catalog, cost, streaming):
+    for module in (landing, silver, gold, quality, metrics, sql_surface, catalog, cost, streaming, hard_cases):
         found.update(module.CHECKS)
     return found
