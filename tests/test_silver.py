@@ -1,4 +1,5 @@
 from datetime import datetime, timezone
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -19,20 +20,25 @@ def rows(df):
 
 
 def test_fill_by_type(spark):
-    df = spark.createDataFrame(
-        [("a", 1.0, 1, True, [1], "f"), (None, None, None, None, None, None), ("c", float("nan"), 3, False, [2], "g")],
-        "name string, value double, n int, ok boolean, items array<int>, _source_file string")
-    filled = fill_nulls(df).collect()
-    assert [r["name"] for r in filled] == ["a", "", "c"]
-    assert [r["value"] for r in filled] == [1.0, 0.0, 0.0]
-    assert filled[1]["n"] == 0 and filled[1]["ok"] is False
-    assert filled[1]["items"] is None and filled[1]["_source_file"] is None
-
-
-def test_keep_last_by_file_order(spark):
-    df = spark.createDataFrame([(1, "a", "f1"), (2, "b", "f2"), (1, "c", "f3")], "id long, val string, _source_file string")
-    kept = {r["id"]: r["val"] for r in keep_last(df, ["id"], ["_source_file"]).collect()}
-    assert kept == {1: "c", 2: "b"}
+    """Every kind of column once present and once missing."""
+    kinds = {"city": "string", "share": "double", "ratio": "float", "seats": "int", "price": "decimal(6,2)", "open": "boolean",
+             "tags": "array<string>", "seen": "timestamp", "_source_file": "string"}
+    present = ("Linz", 0.25, 0.5, 12, Decimal("7.50"), True, ["x"], datetime(2024, 5, 1), "in.csv")
+    frame = spark.createDataFrame([present, (None,) * len(kinds)], ", ".join(f"{n} {t}" for n, t in kinds.items()))
+    full, gaps = fill_nulls(frame).collect()
+    assert tuple(full) == present
+    assert tuple(gaps) == ("", 0.0, 0.0, 0, Decimal(0), False, None, None, None)
+    nan = spark.createDataFrame([(float("nan"), -0.5)], "share double, other double")
+    assert tuple(fill_nulls(nan).first()) == (0.0, -0.5)
+
+
+def test_keep_last_by_several_keys_and_orders(spark):
+    readings = [("t1", "a", day, hour, day * 100 + hour) for day in (3, 1, 2) for hour in (7, 23, 11)]
+    readings += [("t1", "b", 1, 5, -1), ("t2", "a", 9, 9, -2), ("t2", "a", 9, None, -3)]
+    frame = spark.createDataFrame(readings, "sensor string, channel string, day int, hour int, value int").repartition(4)
+    kept = keep_last(frame, ["sensor", "channel"], ["day", "hour"])
+    assert kept.columns == frame.columns
+    assert {(r["sensor"], r["channel"]): r["value"] for r in kept.collect()} == {("t1", "a"): 323, ("t1", "b"): -1, ("t2", "a"): -2}
 
 
 def test_keep_last_aggregates_before_the_shuffle(spark, tables):
@@ -43,11 +49,13 @@ def test_keep_last_aggregates_before_the_shuffle(spark, tables):
     assert "partial_max_by" in text and text.count("Exchange") == 1
 
 
-def test_casts(spark):
-    df = spark.createDataFrame([("10", 1), ("20", 2)], "price string, id long")
-    typed = enforce_types(df, {"price": "float", "id": "str", "absent": "int"})
-    assert dict(typed.dtypes) == {"price": "double", "id": "string"}
-    assert [r["price"] for r in typed.collect()] == [10.0, 20.0]
+def test_casts_to_named_types(spark):
+    frame = spark.createDataFrame([("17", "2.50", "true", 8, "2024-03-01 04:05:06"), (None, "-1e3", "no", -1, None)],
+                                  "seats string, share string, open string, code long, seen string")
+    typed = enforce_types(frame, {"seats": "int32", "share": "float64", "open": "bool", "code": "object",
+                                  "seen": "datetime64[ns]", "missing": "int"})
+    assert [t for _, t in typed.dtypes] == ["int", "double", "boolean", "string", "timestamp"]
+    assert [tuple(r)[:4] for r in typed.collect()] == [(17, 2.5, True, "8"), (None, -1000.0, False, "-1")]
     with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
         enforce_types(spark.createDataFrame([("x",)], "price string"), {"price": "int"}).collect()
 
