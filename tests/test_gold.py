@@ -236,3 +236,22 @@ def test_fact_with_an_ordered_aggregate(spark):
     df = spark.createDataFrame([("a", 1, 9), ("a", 2, 3), ("b", 5, 1)], "k string, v int, at int")
     found = fact(df, None, {"v": "last"}, ["k"], order_by="at").collect()
     assert {r["k"]: r["v"] for r in found} == {"a": 1, "b": 5}
+
+
+def test_median_of_whole_numbers_beyond_doubles(spark):
+    big = 2 ** 53
+    df = spark.createDataFrame([("a", big + 1), ("a", big), ("a", big + 2), ("b", 1), ("b", 2)], "k string, v long")
+    assert {r["k"]: r["m"] for r in exact_median(df, ["k"], "v", "m").collect()} == {"a": float(big + 1), "b": 1.5}
+
+
+def test_clusters_need_a_shared_folder():
+    from types import SimpleNamespace
+
+    from tierlake.session import is_local, shared_folder
+
+    session = SimpleNamespace(
+        sparkContext=SimpleNamespace(getCheckpointDir=lambda: None, master="spark://host:7077"),
+        conf=SimpleNamespace(get=lambda name, default: default))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(session)
+    assert is_local("local[8]") and is_local("local") and not is_local("local-cluster[3,2,1024]")

@@ -64,3 +64,12 @@ def test_result_formats(spark, tmp_path):
     assert {r["name"] for r in back.collect()} == {'a, "b"', None}
     results.write_json(df, str(tmp_path / "j"))
     assert spark.read.json(str(tmp_path / "j")).count() == 2
+
+
+def test_results_come_whole_or_not_at_all(spark, monkeypatch):
+    monkeypatch.setattr(results, "MOST_ROWS", 5)
+    for whole in (results.rows, results.to_pandas, results.to_arrow, results.json_text, results.csv_text):
+        assert len(results.rows(spark.range(5))) == 5
+        with pytest.raises(ValueError, match="more than 5 rows"):
+            whole(spark.range(6))
+    assert len(results.rows(spark.range(9), 7)) == 7

@@ -18,8 +18,6 @@ PRICES = {
     "invocations_per_million": 0.20,
     "gb_second": 0.0000166667,
 }
-# Prices of other storage classes and of the crawler, for callers' own formulas.
-OTHER_PRICES = {"infrequent_storage_gb": 0.0125, "glacier_storage_gb": 0.004, "crawler_dpu_hour": 0.44}
 # Inputs by section, with what an absent one stands for when its section is present.
 SECTIONS = {
     "data_volume": {"bronze_gb": 0.0, "silver_gb": 0.0, "gold_gb": 0.0},

@@ -14,11 +14,12 @@ def exact_median(df: DataFrame, keys: list[str], measure: str, out: str) -> Data
 
     The built-in ``median`` keeps every distinct value of a group in one buffer. Here equal
     values are counted first, the counts are range partitioned by (keys, value) so that a big
-    group spans many partitions, and a value's rank is the sum of the earlier pieces of its
+    group spans many partitions (in their own type, so large whole numbers stay apart), and a
+    value's rank is the sum of the earlier pieces of its
     group plus the running count inside its own piece.
     """
     counts = (
-        df.select(*map(named, keys), present(df, measure).cast("double").alias("_v"))
+        df.select(*map(named, keys), present(df, measure).alias("_v"))
         .where(F.col("_v").isNotNull())
         .groupBy(*map(named, keys), "_v").agg(F.count(F.lit(1)).alias("_n"))
     )
@@ -46,4 +47,7 @@ def exact_median(df: DataFrame, keys: list[str], measure: str, out: str) -> Data
     total = F.col("_total")
     lower = F.min(F.when(F.col("_rank") >= F.floor((total + 1) / 2), F.col("_v")))
     upper = F.min(F.when(F.col("_rank") >= F.floor(total / 2) + 1, F.col("_v")))
-    return ranked.groupBy(*group).agg(((lower + upper) / 2).alias(out))
+    found = ranked.groupBy(*group).agg(lower.alias("_low"), upper.alias("_high"))
+    low, high = F.col("_low").cast("double"), F.col("_high").cast("double")
+    middle = F.when(F.col("_low") == F.col("_high"), low).otherwise((low + high) / 2)
+    return found.select(*group, middle.alias(out))

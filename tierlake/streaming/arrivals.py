@@ -58,18 +58,21 @@ def start(
     )
 
 
-def _complete(spark: SparkSession, base: str, prefix: str) -> list[str]:
-    names = [n for n in subfolders(spark, base) if n.startswith(prefix)]
-    return [n for n in names if exists(spark, f"{base}/{n}/_SUCCESS")]
-
-
 def _live_folders(spark: SparkSession, root: str, table: str) -> list[str]:
-    """The newest compacted folder and the batches after it."""
+    """The newest complete compacted folder and the complete batches after it.
+
+    Names are compared first, so only live folders are asked whether they are complete.
+    """
     base = arrivals_path(root, table)
-    compacted = _complete(spark, base, COMPACTED)[-1:]
-    last = compacted[0].removeprefix(COMPACTED) if compacted else ""
-    batches = [n for n in _complete(spark, base, BATCH) if n.removeprefix(BATCH) > last]
-    return compacted + batches
+    names = subfolders(spark, base)
+
+    def complete(name: str) -> bool:
+        return exists(spark, f"{base}/{name}/_SUCCESS")
+
+    compacted = next(filter(complete, reversed([n for n in names if n.startswith(COMPACTED)])), None)
+    last = compacted.removeprefix(COMPACTED) if compacted else ""
+    later = [n for n in names if n.startswith(BATCH) and n.removeprefix(BATCH) > last]
+    return [compacted] * bool(compacted) + [n for n in later if complete(n)]
 
 
 def merged(spark: SparkSession, root: str, table: str, dedup_columns: list[str] | None) -> DataFrame:
