@@ -104,6 +104,26 @@ def test_one_of_each_group_keeps_columns_and_clean_rows(spark):
     assert kept.schema["row"].dataType == T.IntegerType()
 
 
+@pytest.mark.parametrize("shard_rows", [30_000, 40])
+def test_grouped_links_equal_brute_force(spark, shard_rows):
+    pick = np.random.default_rng(5)
+    base = pick.integers(0, 2 ** 63, 40).astype(np.uint64)
+    rows = {}
+    for at in range(400):
+        own = int(pick.integers(0, 40)) if at % 3 else 0  # a third of all in one group
+        point = int(base[own]) ^ (1 << int(pick.integers(0, 63))) ^ (1 << int(pick.integers(0, 63)))
+        mins = np.full(6, own, np.uint64)
+        mins[pick.integers(0, 6, int(pick.integers(0, 5)))] = 1000 + at
+        rows[point] = mins
+    points = sorted(rows)
+    wanted = {(a, b) for a in points for b in points if b < a and (a ^ b).bit_count() <= 4 and (rows[a] == rows[b]).sum() >= 4}
+    table = spark.createDataFrame([(p, bytearray(rows[p].tobytes())) for p in points], "fingerprint long, mins binary")
+    edges = S.grouped_links(table, 4, 6, 4, shard_rows)
+    roots = {r["node"]: r["root"] for r in connected_components(edges).collect()}
+    brute = {r["node"]: r["root"] for r in connected_components(spark.createDataFrame(sorted(wanted), "a long, b long")).collect()}
+    assert roots == brute and len(roots) > 100
+
+
 def jaccard(a, b):
     shingles = [{tuple(t.split()[i:i + 5]) for i in range(len(t.split()) - 4)} for t in (a, b)]
     return len(shingles[0] & shingles[1]) / len(shingles[0] | shingles[1])

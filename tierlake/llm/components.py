@@ -10,9 +10,10 @@ from tierlake.session import materialize
 def connected_components(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of ``edges(a, b)``; the root is the component's smallest node.
 
-    Each round points every node at its smallest neighbour, follows these pointers two steps on,
-    and replaces both ends of every edge by what its node points at. Loops and repeats then go, so
-    the graph shrinks by a factor each round. Only one pointer for each node is ever aggregated
+    Each round points every node at its smallest neighbour, if that is smaller than itself, follows
+    these pointers to their ends (doubling the reach each time), and replaces both ends of every
+    edge by what its node leads to. Loops and repeats then go: what is left of a component are its
+    local minima. Only one pointer for each node is ever aggregated
     (combined on the map side), and joins have one row for each key on one side, so a hub costs no
     more than its edges. Null ends and loops are ignored.
     """
@@ -22,9 +23,11 @@ def connected_components(edges: DataFrame) -> DataFrame:
         ends = edges.unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         pointer = materialize(ends.groupBy("a").agg(F.min("b").alias("b"))
                               .select(F.col("a").alias("node"), F.least("a", "b").alias("root")))
-        for _ in range(2):
-            pointer = _follow(pointer, pointer)
-        pointer = materialize(pointer)
+        moved = True
+        while moved:
+            further = materialize(_follow(pointer, pointer).withColumnRenamed("root", "end").join(pointer, "node"))
+            moved = not further.filter("end <> root").isEmpty()
+            pointer = further.select("node", F.col("end").alias("root"))
         pointers.append(pointer)
         left, right = pointer.toDF("a", "x"), pointer.toDF("b", "y")
         edges = materialize(_canonical(

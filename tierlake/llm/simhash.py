@@ -6,10 +6,11 @@ whatever lies beyond the radius goes outward. By the triangle inequality two fin
 ``reach`` apart always meet in one shard: only the ring between the two bounds is sent both ways.
 Inside a shard the same cut is repeated down to small blocks, which are compared exactly.
 
-A wide reach finds similarities well below one, but then the bounds prune little and unrelated
-texts come near by chance. For that use, each fingerprint carries some min-hashes of its shingles:
-a text that shares none of them with another text stays outside the tree, and a pair links only
-if enough of them agree.
+A wide reach finds similarities well below one, but then the bounds of a tree over all texts prune
+little and unrelated texts come near by chance. For that use each fingerprint carries some
+min-hashes of its shingles, enough of which must agree for a link. Of ``mins`` with ``agreeing`` to
+agree, at least one of the first ``mins - agreeing + 1`` does, so texts that share one of those make
+a group, and trees are grown inside groups only. A large group is compared tile by tile.
 """
 
 from __future__ import annotations
@@ -183,8 +184,8 @@ def shard_links(points: np.ndarray, reach: int, mins: np.ndarray | None = None,
     return root
 
 
-def links(distinct: DataFrame, reach: int, agreeing: int = 0) -> DataFrame:
-    """Edges (a, b) that connect just the ``distinct(fingerprint, mins)`` rows linked within a shard."""
+def links(distinct: DataFrame, reach: int) -> DataFrame:
+    """Edges (a, b) that connect just the ``distinct(fingerprint)`` rows linked within a shard."""
     rows = distinct.count()
     sample = [r[0] for r in distinct.select("fingerprint").orderBy(
         F.xxhash64("fingerprint"), "fingerprint").limit(SAMPLE).collect()]
@@ -195,31 +196,49 @@ def links(distinct: DataFrame, reach: int, agreeing: int = 0) -> DataFrame:
             points = batch.column(0).to_numpy(zero_copy_only=False)
             for shard, own in route(nodes, points.view(np.uint64), reach):
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(own), shard)), *(c.take(pa.array(own)) for c in batch.columns)],
-                    ["shard", "fingerprint", "mins"])
+                    [pa.array(np.full(len(own), shard)), pa.array(points[own])], ["shard", "fingerprint"])
 
     def link(table: pa.Table) -> pa.Table:
-        order = np.argsort(table.column("fingerprint").to_numpy())
-        points = table.column("fingerprint").to_numpy()[order]
-        mins = None
-        if agreeing:
-            held = table.column("mins").to_pylist()
-            mins = np.frombuffer(b"".join(held), np.uint64).reshape(len(held), -1)[order]
-        root = shard_links(points.view(np.uint64), reach, mins, agreeing)
+        points = np.sort(table.column("fingerprint").to_numpy())
+        root = shard_links(points.view(np.uint64), reach)
         linked = np.nonzero(root != np.arange(len(points)))[0]
         return pa.table({"a": points[linked], "b": points[root[linked]]})
 
-    routed = distinct.select("fingerprint", "mins").mapInArrow(to_shards, "shard long, fingerprint long, mins binary")
+    routed = distinct.select("fingerprint").mapInArrow(to_shards, "shard long, fingerprint long")
     return routed.groupBy("shard").applyInArrow(link, "a long, b long")
 
 
-def _sharing(classes: DataFrame, mins: int) -> DataFrame:
-    """Classes that have a min-hash in common with another one."""
-    values = F.expr(f"transform(sequence(0, {mins - 1}), i -> struct(i AS at, substring(mins, 8 * i + 1, 8) AS value))")
-    spread = classes.select("fingerprint", F.explode(values).alias("v")).select("fingerprint", "v.at", "v.value")
-    common = spread.groupBy("at", "value").count().filter("count > 1").select("at", "value")
-    own = spread.join(common, ["at", "value"], "left_semi").select("fingerprint").distinct()
-    return classes.join(own, "fingerprint", "left_semi")
+def grouped_links(distinct: DataFrame, reach: int, mins: int, agreeing: int, shard_rows: int = SHARD_ROWS) -> DataFrame:
+    """Edges (a, b) like ``links``, of the ``distinct(fingerprint, mins)`` rows linked within a group.
+
+    A group of more than ``shard_rows`` is cut into chunks by a hash, and each pair of chunks is a
+    group of its own. Groups are dealt into shards of some ``shard_rows`` rows.
+    """
+    values = F.expr(f"transform(sequence(0, {mins - agreeing}), i -> struct(i AS at, substring(mins, 8 * i + 1, 8) AS value))")
+    spread = distinct.select("fingerprint", "mins", F.explode(values).alias("v")).select("fingerprint", "mins", "v.at", "v.value")
+    sizes = spread.groupBy("at", "value").count().filter("count > 1")
+    own = spread.join(sizes, ["at", "value"]).withColumn("chunks", F.ceil(F.col("count") / shard_rows))
+    chunk = F.pmod(F.xxhash64("fingerprint"), F.col("chunks"))
+    pair = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))
+    tiles = own.withColumn("chunk", chunk).withColumn("other", pair)
+    key = F.xxhash64("at", "value", F.least("chunk", "other"), F.greatest("chunk", "other"))
+    tiles = materialize(tiles.select(key.alias("key"), "fingerprint", "mins"))
+    shards = max(1, -(-tiles.count() // shard_rows))
+
+    def link(table: pa.Table) -> pa.Table:
+        keys, points = table.column("key").to_numpy(), table.column("fingerprint").to_numpy()
+        order = np.lexsort((points, keys))
+        keys, points = keys[order], points[order]
+        held = table.column("mins").to_pylist()
+        hashes = np.frombuffer(b"".join(held), np.uint64).reshape(len(held), -1)[order]
+        edges = []
+        for group in np.split(np.arange(len(keys)), np.nonzero(np.diff(keys))[0] + 1):
+            root = shard_links(points[group].view(np.uint64), reach, hashes[group], agreeing)
+            linked = np.nonzero(root != np.arange(len(group)))[0]
+            edges.append((points[group[linked]], points[group[root[linked]]]))
+        return pa.table({n: np.concatenate(e) for n, e in zip("ab", zip(*edges))})
+
+    return tiles.withColumn("shard", F.pmod("key", F.lit(shards))).groupBy("shard").applyInArrow(link, "a long, b long")
 
 
 def near_duplicate_groups(
@@ -236,8 +255,8 @@ def near_duplicate_groups(
     """
     prints = materialize(fingerprints(docs, id_column, text_column, width, mins))
     classes = materialize(prints.groupBy("fingerprint").agg(F.min("id").alias("first"), F.min("mins").alias("mins")))
-    apart = materialize(_sharing(classes, mins)) if mins else classes
-    roots = materialize(connected_components(links(apart, reach, agreeing)))
+    edges = grouped_links(classes, reach, mins, agreeing) if mins else links(classes, reach)
+    roots = materialize(connected_components(edges))
     grouped = classes.join(roots, F.col("fingerprint") == F.col("node"), "left").select(
         "fingerprint", "first", F.coalesce("root", "fingerprint").alias("root"))
     smallest = grouped.groupBy("root").agg(F.min("first").alias("component"))
