@@ -5,8 +5,8 @@ substitution apart, the earliest stays. Two lines one substitution apart leave t
 the character at that place is deleted; two lines one insertion apart are such that the longer
 leaves the shorter. So every line gives the hashes of all its deletions, and equal hashes are joined.
 
-Before that, lines that cannot have a partner are set aside without loss: one edit leaves the
-beginning or the end of a line alone, so partners share the hash of one of them.
+Before that, lines that cannot have a partner are set aside without loss, first by halves, then by
+eighths: one edit leaves all parts of a line alone but one, so partners share a hash of the others.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tierlake.session import materialize
 
 MIN_CHARS = 20
+PARTS = 8
 BROADCAST_ROWS = 400_000  # rows of at most some 100 bytes that may be broadcast instead of moving texts
 
 
@@ -34,37 +35,41 @@ def _lines(texts: DataFrame, min_chars: int) -> DataFrame:
             .filter(F.length("line") >= min_chars).withColumn("h", F.unhex(F.md5("line"))))
 
 
-def _end_keys(line: Column) -> list[Column]:
-    """Hashes of a line's two ends; lines at most one edit apart share at least one of them.
+def _part_keys(line: Column, parts: int, less: int) -> list[Column]:
+    """Hashes of all but one of ``parts`` parts of a line that is ``less`` longer than its partner.
 
-    Lengths fall into classes that grow by a quarter. An end is as long as half of the shortest
-    line of the class, so one edit leaves one of the two alone. A line that is the first of its
-    class gives its ends as the class below counts them too, for partners one character shorter.
+    Parts are those of the shorter line. What stands before the edited part is alike from the
+    lines' beginnings on, what stands behind it from their ends; so lines one edit apart share the
+    hash that leaves out the edited part.
     """
-    def length_class(length: Column) -> Column:
-        return F.floor(F.log(length) / F.log(F.lit(1.25))).cast("int")
-
-    own, below = length_class(F.length(line)), length_class(F.length(line) - 1)
+    shorter = F.length(line) - less
     keys = []
-    for at in (own, F.when(below != own, below)):
-        end = F.floor(F.pow(F.lit(1.25), at) * 0.4999).cast("int")
-        for side, part in enumerate((F.substring(line, F.lit(1), end), F.substring(line, F.length(line) - end + 1, end))):
-            keys.append(F.when(at.isNotNull(), F.xxhash64(F.lit(side), at, part)))
+    for part in range(parts):
+        before = F.floor(shorter * part / parts).cast("int")
+        behind = (shorter - F.floor(shorter * (part + 1) / parts)).cast("int")
+        keys.append(F.xxhash64(F.lit(part), shorter, F.substring(line, F.lit(1), before),
+                               F.substring(line, F.length(line) - behind + 1, behind)))
     return keys
 
 
+def _sharing(rows: DataFrame, keys: Column) -> DataFrame:
+    """``h`` of the rows that share one of their ``keys`` with another row."""
+    spread = rows.select("h", F.explode(keys).alias("key"))
+    shared = spread.groupBy("key").count().filter("count > 1").select("key")
+    return materialize(spread.join(shared, "key", "left_semi").select("h").distinct())
+
+
 def _classes(lines: DataFrame) -> DataFrame:
     """Distinct lines: (h, first, n, keys), ``first`` the smallest (id, at)."""
-    keyed = lines.select("h", F.struct("id", "at").alias("place"), *(k.alias(f"k{i}") for i, k in enumerate(_end_keys(F.col("line")))))
+    keyed = lines.select("h", F.struct("id", "at").alias("place"), 
+                         *(k.alias(f"k{i}") for i, k in enumerate(_part_keys(F.col("line"), 2, 0) + _part_keys(F.col("line"), 2, 1))))
     return keyed.groupBy("h").agg(
         F.min("place").alias("first"), F.count(F.lit(1)).alias("n"), *(F.max(f"k{i}").alias(f"k{i}") for i in range(4)))
 
 
 def _may_have_partner(classes: DataFrame) -> DataFrame:
-    """(h, first) of the classes that share an end with another class."""
-    keys = classes.select("h", F.explode(F.array_compact(F.array("k0", "k1", "k2", "k3"))).alias("key"))
-    shared = keys.groupBy("key").count().filter("count > 1").select("key")
-    found = materialize(keys.join(shared, "key", "left_semi").select("h").distinct())
+    """(h, first) of the classes that share a half with another class."""
+    found = _sharing(classes, F.array("k0", "k1", "k2", "k3"))
     return classes.select("h", "first").join(_small(found), "h", "left_semi")
 
 
@@ -76,6 +81,8 @@ def near_lines(lines: DataFrame, candidates: DataFrame) -> DataFrame:
     """
     found = lines.join(_small(candidates), "h").filter(F.struct("id", "at") == F.col("first"))
     texts = materialize(found.select("h", "first", "line").dropDuplicates(["h"]))
+    finer = F.array(*_part_keys(F.col("line"), PARTS, 0), *_part_keys(F.col("line"), PARTS, 1))
+    texts = texts.join(_small(_sharing(texts, finer)), "h", "left_semi")
     places = F.sequence(F.lit(1), F.length("line"))
     rests = F.transform(places, lambda i: F.xxhash64(F.concat(
         F.substring("line", F.lit(1), i - 1), F.substring("line", i + 1, F.length("line")))))
