@@ -108,11 +108,12 @@ def _jump_tables(messages: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
         if jump.isEmpty():
             break
         jumps.append(jump.select("tree", "node", "ancestor"))
-        reach = materialize(
-            reach.alias("l").join(reach.alias("r"), _on("ancestor", "node"), "left")
-            .select("l.tree", "l.node", F.col("r.ancestor").alias("ancestor"),
-                    (F.col("l.total") + F.coalesce("r.total", F.lit(0.0))).alias("total"),
-                    (F.col("l.depth") + F.coalesce("r.depth", F.lit(0))).alias("depth")))
+        # only messages that have not reached their root take part
+        further = (jump.alias("l").join(reach.alias("r"), _on("ancestor", "node"))
+                   .select("l.tree", "l.node", F.col("r.ancestor").alias("ancestor"),
+                           (F.col("l.total") + F.col("r.total")).alias("total"),
+                           (F.col("l.depth") + F.col("r.depth")).alias("depth")))
+        reach = materialize(reach.filter("ancestor IS NULL").unionAll(further))
     return reach.filter("ancestor IS NULL").drop("ancestor"), jumps
 
 
