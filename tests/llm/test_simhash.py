@@ -143,3 +143,14 @@ def test_wide_reach_finds_most_similar_texts(spark):
     kept = {r[0] for r in S.one_of_each_group(spark.createDataFrame(rows, "doc_id long, text string").coalesce(2)).select("doc_id").collect()}
     assert all(2 * at in kept for at in range(150))
     assert len(pairs) > 80 and sum(p not in kept for p in pairs) >= 0.9 * len(pairs)
+
+
+def test_equal_fingerprints_alone_do_not_link(spark):
+    def leaders(name):
+        return " ".join(["."] * 400 + [f"{name}{i}" for i in range(300)])
+
+    rows = [(1, leaders("a")), (2, leaders("b")), (3, leaders("a") + " end"), (4, leaders("b") + " end")]
+    prints = [S.simhash(text.encode(), 5, 16) for _, text in rows]
+    assert len({p for p, _ in prints}) == 1 and (prints[0][1] == prints[1][1]).sum() < 11
+    kept = S.one_of_each_group(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1))
+    assert sorted(r["doc_id"] for r in kept.collect()) == [1, 2]

@@ -211,18 +211,20 @@ def links(distinct: DataFrame, reach: int) -> DataFrame:
 def grouped_links(distinct: DataFrame, reach: int, mins: int, agreeing: int, shard_rows: int = SHARD_ROWS) -> DataFrame:
     """Edges (a, b) like ``links``, of the ``distinct(fingerprint, mins)`` rows linked within a group.
 
-    A group of more than ``shard_rows`` is cut into chunks by a hash, and each pair of chunks is a
+    Rows may share a fingerprint if they have a ``node`` each, which the edges name then. A group of more than ``shard_rows`` is cut into chunks by a hash, and each pair of chunks is a
     group of its own. Groups are dealt into shards of some ``shard_rows`` rows.
     """
     values = F.expr(f"transform(sequence(0, {mins - agreeing}), i -> struct(i AS at, substring(mins, 8 * i + 1, 8) AS value))")
-    spread = distinct.select("fingerprint", "mins", F.explode(values).alias("v")).select("fingerprint", "mins", "v.at", "v.value")
+    node = F.col("node" if "node" in distinct.columns else "fingerprint").alias("node")
+    spread = distinct.select(node, "fingerprint", "mins", F.explode(values).alias("v")).select(
+        "node", "fingerprint", "mins", "v.at", "v.value")
     sizes = spread.groupBy("at", "value").count().filter("count > 1")
     own = spread.join(sizes, ["at", "value"]).withColumn("chunks", F.ceil(F.col("count") / shard_rows))
-    chunk = F.pmod(F.xxhash64("fingerprint"), F.col("chunks"))
+    chunk = F.pmod(F.xxhash64("node"), F.col("chunks"))
     pair = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))
     tiles = own.withColumn("chunk", chunk).withColumn("other", pair)
     key = F.xxhash64("at", "value", F.least("chunk", "other"), F.greatest("chunk", "other"))
-    tiles = materialize(tiles.select(key.alias("key"), "fingerprint", "mins"))
+    tiles = materialize(tiles.select(key.alias("key"), "node", "fingerprint", "mins"))
     shards = max(1, -(-tiles.count() // shard_rows))
 
     def link(table: pa.Table) -> pa.Table:
@@ -231,14 +233,17 @@ def grouped_links(distinct: DataFrame, reach: int, mins: int, agreeing: int, sha
         keys, points = keys[order], points[order]
         held = table.column("mins").to_pylist()
         hashes = np.frombuffer(b"".join(held), np.uint64).reshape(len(held), -1)[order]
-        edges = []
+        nodes = table.column("node").take(pa.array(order))
+        a, b = [], []
         for group in np.split(np.arange(len(keys)), np.nonzero(np.diff(keys))[0] + 1):
             root = shard_links(points[group].view(np.uint64), reach, hashes[group], agreeing)
             linked = np.nonzero(root != np.arange(len(group)))[0]
-            edges.append((points[group[linked]], points[group[root[linked]]]))
-        return pa.table({n: np.concatenate(e) for n, e in zip("ab", zip(*edges))})
+            a.append(group[linked])
+            b.append(group[root[linked]])
+        return pa.table({"a": nodes.take(pa.array(np.concatenate(a))), "b": nodes.take(pa.array(np.concatenate(b)))})
 
-    return tiles.withColumn("shard", F.pmod("key", F.lit(shards))).groupBy("shard").applyInArrow(link, "a long, b long")
+    kind = tiles.schema["node"].dataType.simpleString()
+    return tiles.withColumn("shard", F.pmod("key", F.lit(shards))).groupBy("shard").applyInArrow(link, f"a {kind}, b {kind}")
 
 
 def near_duplicate_groups(
@@ -248,21 +253,24 @@ def near_duplicate_groups(
     """(id, fingerprint, component) of every row: fingerprints at most ``reach`` bits apart link.
 
     ``width`` words make a shingle. With ``mins`` min-hashes at least ``agreeing`` of them must agree
-    too. The component is the smallest id that can be reached, the own included; null ids count
+    too, also where fingerprints are equal. The component is the smallest id that can be reached, the own included; null ids count
     only where a component has no other, and it is null then. Null and blank texts have fingerprint
     zero and link like any other. Repeated rows give repeated rows, an empty table an empty one.
     Other columns are not looked at.
     """
     prints = materialize(fingerprints(docs, id_column, text_column, width, mins))
-    classes = materialize(prints.groupBy("fingerprint").agg(F.min("id").alias("first"), F.min("mins").alias("mins")))
+    if mins:  # equal fingerprints alone do not make a class
+        prints = prints.withColumn("node", F.unhex(F.md5(F.concat(F.hex("fingerprint"), F.hex("mins")))))
+    else:
+        prints = prints.withColumn("node", F.col("fingerprint"))
+    classes = materialize(prints.groupBy("node").agg(
+        F.min("fingerprint").alias("fingerprint"), F.min("id").alias("first"), F.min("mins").alias("mins")))
     edges = grouped_links(classes, reach, mins, agreeing) if mins else links(classes, reach)
     roots = materialize(connected_components(edges))
-    grouped = classes.join(roots, F.col("fingerprint") == F.col("node"), "left").select(
-        "fingerprint", "first", F.coalesce("root", "fingerprint").alias("root"))
+    grouped = classes.join(roots, "node", "left").select("node", "first", F.coalesce("root", "node").alias("root"))
     smallest = grouped.groupBy("root").agg(F.min("first").alias("component"))
-    labelled = grouped.join(smallest, "root").select(F.col("fingerprint").alias("_own"), "component")
-    return (prints.join(labelled, F.col("fingerprint") == F.col("_own"))
-            .select("id", "fingerprint", "component"))
+    labelled = grouped.join(smallest, "root").select("node", "component")
+    return prints.join(labelled, "node").select("id", "fingerprint", "component")
 
 
 #: Reach and agreement that find Jaccard similarities of 0.8 and more: 64 bits differ in 9.7 places
