@@ -154,3 +154,48 @@ def test_equal_fingerprints_alone_do_not_link(spark):
     assert len({p for p, _ in prints}) == 1 and (prints[0][1] == prints[1][1]).sum() < 11
     kept = S.one_of_each_group(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1))
     assert sorted(r["doc_id"] for r in kept.collect()) == [1, 2]
+
+
+def test_links_are_decided_by_the_shingles_themselves(spark):
+    pick = np.random.default_rng(3)
+    rows, similar, apart = [], [], []
+    for at in range(600):
+        words = [f"{at}x{i}" for i in range(pick.integers(150, 400))]
+        copy = list(words)
+        for place in pick.integers(0, len(words), int(len(words) * pick.uniform(0.015, 0.05))):
+            copy[place] = f"changed{place}"
+        rows += [(2 * at, " ".join(words)), (2 * at + 1, " ".join(copy))]
+        alike = jaccard(rows[-2][1], rows[-1][1])
+        similar += [2 * at + 1] if 0.8 <= alike <= 0.85 else []
+        apart += [2 * at + 1] if 0.6 <= alike < 0.8 else []
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(2)
+    kept = {r[0] for r in S.one_of_each_group(docs).select("doc_id").collect()}
+    assert len(similar) > 60 and len(apart) > 150
+    assert not kept & set(similar) and set(apart) <= kept
+
+
+@pytest.mark.parametrize("tile_rows, pruned", [(4096, 256), (7, 0)])
+def test_verified_links_equal_brute_force(spark, monkeypatch, tile_rows, pruned):
+    monkeypatch.setattr(S, "PRUNED", pruned)
+    pick = np.random.default_rng(8)
+    base = [f"w{i}" for i in range(120)]
+    texts = [" ".join(base)] + [" ".join(w if pick.random() > 0.02 else f"z{at}" for w in base) for at in range(60)]
+    texts.append(" ".join(["w1"] * 300 + base))  # repeats do not count
+    rows = [(at, text) for at, text in enumerate(texts)]
+    prints = S.fingerprints(spark.createDataFrame(rows, "id long, text string"), "id", "text", 5, 16, True)
+    pieces = spark.createDataFrame(rows, "id long, text string").select(S._source("text").alias("source"), "text")
+    edges = S.verified_links(prints, pieces, 5, 16, 6, 0.8, tile_rows)
+    names = {bytes(r["node"]): r["id"] for r in prints.select("node", "id").collect()}
+    group = {at: at for at in range(len(texts))}
+    for one, two in [(names[bytes(r["a"])], names[bytes(r["b"])]) for r in edges.collect()]:
+        assert jaccard(texts[one], texts[two]) > 0.5
+        group = {k: min(group[one], group[two]) if g in (group[one], group[two]) else g for k, g in group.items()}
+    wanted = {at: at for at in range(len(texts))}
+    for i in range(len(texts)):
+        for j in range(i):
+            if jaccard(texts[i], texts[j]) >= 0.8:
+                low, high = sorted((wanted[i], wanted[j]))
+                wanted = {k: low if g == high else g for k, g in wanted.items()}
+    by = {bytes(r["node"]): None for r in prints.select("node").collect()}
+    assert len(by) > 50 and len(set(wanted.values())) > 1
+    assert all((group[names[a]] == group[names[b]]) == (wanted[names[a]] == wanted[names[b]]) for a in by for b in by)

@@ -11,16 +11,19 @@ little and unrelated texts come near by chance. For that use each fingerprint ca
 min-hashes of its shingles, enough of which must agree for a link. Of ``mins`` with ``agreeing`` to
 agree, at least one of the first ``mins - agreeing + 1`` does, so texts that share one of those make
 a group, and trees are grown inside groups only. A large group is compared tile by tile.
+
+Where a least Jaccard similarity of the shingle sets is asked for, min-hashes only propose pairs: each
+is then decided by the sets themselves. Fingerprints have no say, as they count repeats.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tierlake.llm.components import connected_components
 from tierlake.session import materialize
@@ -31,49 +34,85 @@ SHARD_ROWS = 30_000   # wanted distinct fingerprints in a shard, as far as the s
 LEAST_SAMPLED = 16    # sampled fingerprints a shard rests on
 BLOCK = 1024          # fingerprints compared pair by pair
 WORDS_AT_ONCE = 65_536
+BANDS = 6             # min-hashes one of which texts must share to be compared by their shingles
+COMPARED_ROWS = 4096  # texts in a tile, and about as many in a shard, whose shingles are compared
+PRUNED = 256          # groups up to this size lose what has no partner before shingles are fetched
 _PAIRS = 100_000      # linked pairs held before their trees are united
 _MIXERS = np.random.Generator(np.random.PCG64(SEED)).integers(0, 2 ** 63, 64).astype(np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-def simhash(text: bytes, width: int, mins: int = 0) -> tuple[int, np.ndarray]:
-    """Majority vote of the bits of all shingles' hashes, repeats included, and ``mins`` min-hashes.
-
-    No word gives zero and the largest values.
-    """
+def _hashes(text: bytes, width: int) -> Iterator[np.ndarray]:
+    """XXH64 of all shingles, repeats included, in pieces of bounded size."""
     words = text.lower().split()  # of bytes: only A-Z and the six ASCII spaces
-    least = np.full(mins, np.iinfo(np.uint64).max, np.uint64)
     if not words:
-        return 0, least
+        return
     lengths = np.fromiter(map(len, words), np.int64, len(words))
     joined, ends = b" ".join(words), np.cumsum(lengths + 1) - 1
     starts = ends - lengths
     span = min(width, len(words))
     shingles = len(words) - span + 1
-    votes, digest = np.zeros(64, np.int64), xxhash.xxh64_intdigest
+    digest = xxhash.xxh64_intdigest
     for low in range(0, shingles, WORDS_AT_ONCE):
         high = min(low + WORDS_AT_ONCE, shingles)
         pairs = zip(starts[low:high].tolist(), ends[low + span - 1:high + span - 1].tolist())
-        hashes = np.array([digest(joined[a:b], SEED) for a, b in pairs], np.uint64)
+        yield np.array([digest(joined[a:b], SEED) for a, b in pairs], np.uint64)
+
+
+def shingle_set(pieces: Iterable[np.ndarray]) -> np.ndarray:
+    """The distinct hashes, ascending."""
+    return np.unique(np.concatenate([np.zeros(0, np.uint64), *pieces]))
+
+
+def _signature(pieces: Iterable[np.ndarray], mins: int) -> tuple[int, np.ndarray]:
+    least = np.full(mins, np.iinfo(np.uint64).max, np.uint64)
+    votes, shingles = np.zeros(64, np.int64), 0
+    for hashes in pieces:
         bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
         votes += bits.sum(axis=0, dtype=np.int64)
+        shingles += len(hashes)
         for at in range(mins):
             least[at] = min(least[at], (hashes * _MIXERS[at]).min())
     return int(np.packbits(votes * 2 > shingles, bitorder="little").view(np.uint64)[0]), least
 
 
-def fingerprints(docs: DataFrame, id_column: str, text_column: str, width: int, mins: int = 0) -> DataFrame:
-    """(id, fingerprint, mins) of every row; 64 bits as a long, min-hashes as bytes. Null text is empty."""
+def simhash(text: bytes, width: int, mins: int = 0) -> tuple[int, np.ndarray]:
+    """Majority vote of the bits of all shingles' hashes, repeats included, and ``mins`` min-hashes.
+
+    No word gives zero and the largest values.
+    """
+    return _signature(_hashes(text, width), mins)
+
+
+def fingerprints(docs: DataFrame, id_column: str, text_column: str, width: int, mins: int = 0, sets: bool = False) -> DataFrame:
+    """(id, fingerprint, mins) of every row; 64 bits as a long, min-hashes as bytes. Null text is empty.
+
+    With ``sets`` also (node, source): digests of the shingle set and of the text.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(1).cast(pa.binary())
-            found = [simhash(t.as_py() or b"", width, mins) for t in texts]
-            prints = np.array([f for f, _ in found], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(prints), pa.array([m.tobytes() for _, m in found], pa.binary())],
-                ["id", "fingerprint", "mins"])
-
+            prints, least, nodes = [], [], []
+            for text in batch.column(1).cast(pa.binary()):
+                pieces = _hashes(text.as_py() or b"", width)
+                if sets:
+                    pieces = list(pieces)
+                    nodes.append(xxhash.xxh3_128_digest(shingle_set(pieces).tobytes()))
+                found, smallest = _signature(pieces, mins)
+                prints.append(found)
+                least.append(smallest.tobytes())
+            columns = [batch.column(0), pa.array(np.array(prints, np.uint64).view(np.int64)), pa.array(least, pa.binary())]
+            columns += [pa.array(nodes, pa.binary()), batch.column(2)] if sets else []
+            yield pa.RecordBatch.from_arrays(columns, names)
+
+    names = ["id", "fingerprint", "mins"] + ["node", "source"] * sets
     rows = docs.select(F.col(id_column).alias("id"), F.col(text_column).cast("string").alias("text"))
-    return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, fingerprint long, mins binary")
+    if sets:
+        rows = rows.withColumn("source", _source("text"))
+    kind = rows.schema["id"].dataType.simpleString()
+    return rows.mapInArrow(run, f"id {kind}, fingerprint long, mins binary" + ", node binary, source binary" * sets)
+
+
+def _source(text: str) -> Column:
+    return F.unhex(F.md5(F.coalesce(F.col(text).cast("string"), F.lit(""))))
 
 
 def _best_cut(points: np.ndarray, reach: int) -> tuple[np.uint64, int, int]:
@@ -246,26 +285,134 @@ def grouped_links(distinct: DataFrame, reach: int, mins: int, agreeing: int, sha
     return tiles.withColumn("shard", F.pmod("key", F.lit(shards))).groupBy("shard").applyInArrow(link, f"a {kind}, b {kind}")
 
 
+def _candidates(mins: np.ndarray, at: int, others: np.ndarray, band: int, agreeing: int) -> np.ndarray:
+    """Those of ``others`` that agree enough with ``at`` and share no band before ``band`` with it."""
+    same = mins[others] == mins[at]
+    return others[(same.sum(axis=1) >= agreeing) & ~same[:, :band].any(axis=1)]
+
+
+def with_partner(mins: np.ndarray, band: int, agreeing: int) -> np.ndarray:
+    """Which texts of a group that shares min-hash ``band`` have a candidate in it."""
+    found = np.zeros(len(mins), bool)
+    for at in range(len(mins) - 1):
+        near = _candidates(mins, at, np.arange(at + 1, len(mins)), band, agreeing)
+        found[near] = True
+        found[at] |= len(near) > 0
+    return found
+
+
+def similar(a: np.ndarray, b: np.ndarray, least: float) -> bool:
+    """Whether two sets, ascending, have a Jaccard similarity of ``least`` or more."""
+    if min(len(a), len(b)) < least * max(len(a), len(b)) - 1e-9:
+        return False
+    both = np.concatenate([a, b])
+    both.sort(kind="stable")
+    shared = int((both[1:] == both[:-1]).sum())
+    return shared >= least * (len(both) - shared) - 1e-9
+
+
+def similar_links(mins: np.ndarray, sets: list[np.ndarray], band: int, agreeing: int, least: float) -> np.ndarray:
+    """For the texts of a group, the position of the first text each is linked to.
+
+    Candidates are compared by their sets, unless they are linked already.
+    """
+    root = np.arange(len(sets))
+    for at in range(len(sets) - 1):
+        others = at + 1 + np.nonzero(root[at + 1:] != root[at])[0]
+        near = [j for j in _candidates(mins, at, others, band, agreeing) if similar(sets[at], sets[j], least)]
+        if near:
+            _join_roots(root, np.full(len(near), at), np.array(near))
+    return root
+
+
+def verified_links(
+    distinct: DataFrame, texts: DataFrame, width: int, mins: int, agreeing: int, least: float, tile_rows: int = COMPARED_ROWS,
+) -> DataFrame:
+    """Edges (a, b) that connect just the ``distinct(node, mins, source)`` rows with a Jaccard of ``least``.
+
+    Pairs are looked for among rows that share one of the first ``BANDS`` min-hashes and agree in
+    ``agreeing`` of ``mins``, each in the first band it shares. ``texts(source, text)`` gives the
+    shingles, of what has a candidate. Groups are cut and dealt as in ``grouped_links``.
+    """
+    values = F.expr(f"transform(sequence(0, {min(BANDS, mins) - 1}), i -> struct(i AS at, substring(mins, 8 * i + 1, 8) AS value))")
+    spread = distinct.select("node", "source", "mins", F.explode(values).alias("v")).select(
+        "node", "source", "mins", "v.at", "v.value")
+    sizes = spread.groupBy("at", "value").count().filter("count > 1")
+    own = spread.join(sizes, ["at", "value"]).withColumn("chunks", F.ceil(F.col("count") / tile_rows))
+    chunk = F.pmod(F.xxhash64("node"), F.col("chunks"))
+    tiles = own.withColumn("chunk", chunk).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    key = F.xxhash64("at", "value", F.least("chunk", "other"), F.greatest("chunk", "other"))
+    tiles = materialize(tiles.select(key.alias("key"), "at", "node", "source", "mins"))
+    shards = max(1, -(-tiles.count() // tile_rows))
+
+    def groups(table: pa.Table) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """(band, positions, min-hashes) of each group."""
+        keys, bands = table.column("key").to_numpy(), table.column("at").to_numpy()
+        hashes = np.frombuffer(b"".join(table.column("mins").to_pylist()), np.uint64).reshape(len(keys), -1)
+        order = np.lexsort((bands, keys))
+        cuts = np.nonzero((np.diff(keys[order]) != 0) | (np.diff(bands[order]) != 0))[0] + 1
+        for group in np.split(order, cuts):
+            yield int(bands[group[0]]), group, hashes[group]
+
+    def prune(table: pa.Table) -> pa.Table:
+        kept = [group if len(group) > PRUNED else group[with_partner(own, band, agreeing)] for band, group, own in groups(table)]
+        return table.select(["key", "at", "node", "source", "mins", "shard"]).take(pa.array(np.concatenate(kept)))
+
+    def link(table: pa.Table) -> pa.Table:
+        held = table.column("shingles").to_pylist()
+        a, b = [], []
+        for band, group, own in groups(table):
+            sets = [np.frombuffer(held[k], np.uint64) for k in group]
+            root = similar_links(own, sets, band, agreeing, least)
+            linked = np.nonzero(root != np.arange(len(group)))[0]
+            a.append(group[linked])
+            b.append(group[root[linked]])
+        nodes = table.column("node")
+        return pa.table({"a": nodes.take(pa.array(np.concatenate(a))), "b": nodes.take(pa.array(np.concatenate(b)))})
+
+    def shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [shingle_set(_hashes(t.as_py(), width)).tobytes() for t in batch.column(1).cast(pa.binary())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], ["source", "shingles"])
+
+    dealt = tiles.withColumn("shard", F.pmod("key", F.lit(shards)))
+    left = materialize(dealt.groupBy("shard").applyInArrow(
+        prune, "key long, at int, node binary, source binary, mins binary, shard long"))
+    needed = left.select("source").distinct()
+    rows = texts.join(needed, "source", "left_semi").dropDuplicates(["source"]).select("source", "text")
+    sets = rows.mapInArrow(shingles, "source binary, shingles binary")
+    return left.join(sets, "source").groupBy("shard").applyInArrow(link, "a binary, b binary")
+
+
 def near_duplicate_groups(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", width: int = 3, reach: int = 2,
-    mins: int = 0, agreeing: int = 0,
+    mins: int = 0, agreeing: int = 0, least: float | None = None,
 ) -> DataFrame:
     """(id, fingerprint, component) of every row: fingerprints at most ``reach`` bits apart link.
 
     ``width`` words make a shingle. With ``mins`` min-hashes at least ``agreeing`` of them must agree
-    too, also where fingerprints are equal. The component is the smallest id that can be reached, the own included; null ids count
+    too, also where fingerprints are equal. With ``least`` as well, texts link instead if their sets of
+    shingles (by 64-bit hashes) have a Jaccard similarity of ``least`` or more, which is counted for
+    those that agree; ``docs`` must give the same texts when it is read again then. The component is the smallest id that can be reached, the own included; null ids count
     only where a component has no other, and it is null then. Null and blank texts have fingerprint
     zero and link like any other. Repeated rows give repeated rows, an empty table an empty one.
     Other columns are not looked at.
     """
-    prints = materialize(fingerprints(docs, id_column, text_column, width, mins))
-    if mins:  # equal fingerprints alone do not make a class
+    prints = materialize(fingerprints(docs, id_column, text_column, width, mins, least is not None))
+    if least is not None:
+        pass  # the node is the set's digest
+    elif mins:  # equal fingerprints alone do not make a class
         prints = prints.withColumn("node", F.unhex(F.md5(F.concat(F.hex("fingerprint"), F.hex("mins")))))
     else:
         prints = prints.withColumn("node", F.col("fingerprint"))
+    source = [F.min("source").alias("source")] if least is not None else []
     classes = materialize(prints.groupBy("node").agg(
-        F.min("fingerprint").alias("fingerprint"), F.min("id").alias("first"), F.min("mins").alias("mins")))
-    edges = grouped_links(classes, reach, mins, agreeing) if mins else links(classes, reach)
+        F.min("fingerprint").alias("fingerprint"), F.min("id").alias("first"), F.min("mins").alias("mins"), *source))
+    if least is not None:
+        texts = docs.select(_source(text_column).alias("source"), F.coalesce(F.col(text_column).cast("string"), F.lit("")).alias("text"))
+        edges = verified_links(classes, texts, width, mins, agreeing, least)
+    else:
+        edges = grouped_links(classes, reach, mins, agreeing) if mins else links(classes, reach)
     roots = materialize(connected_components(edges))
     grouped = classes.join(roots, "node", "left").select("node", "first", F.coalesce("root", "node").alias("root"))
     smallest = grouped.groupBy("root").agg(F.min("first").alias("component"))
@@ -273,15 +420,15 @@ def near_duplicate_groups(
     return prints.join(labelled, "node").select("id", "fingerprint", "component")
 
 
-#: Reach and agreement that find Jaccard similarities of 0.8 and more: 64 bits differ in 9.7 places
-#: on average at 0.8, with a deviation of 2.9, and 16 min-hashes agree in 12.8.
-SIMILAR = {"width": 5, "reach": 14, "mins": 16, "agreeing": 11}
+#: At a similarity of exactly 0.8 a pair shares none of six min-hashes in 0.2 ** 6 = 0.00006 of all
+#: cases and fewer than six of sixteen in some 0.00003; above it, more rarely.
+SIMILAR = {"width": 5, "mins": 16, "agreeing": 6, "least": 0.8}
 
 
 def one_of_each_group(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """The rows of ``docs`` without near-duplicates: of each group the smallest id stays, once.
 
-    Groups are by ``SIMILAR``. ``docs`` must give the same rows in the same order when it is read
+    Groups are by ``SIMILAR``: a Jaccard similarity of 0.8 of five-word shingles links. ``docs`` must give the same rows in the same order when it is read
     again, as files do. Null ids stay only where a group has no other. All columns are kept.
     """
     row = F.monotonically_increasing_id()
