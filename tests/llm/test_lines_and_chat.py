@@ -67,6 +67,16 @@ def test_repeated_rows_fare_alike_and_short_lines_stay(spark):
     assert sorted(tuple(r) for r in out) == sorted([*rows[:2], (2, "short"), rows[3], (4, "")])
 
 
+def test_short_repeats_go_where_asked_and_in_the_pipeline(spark):
+    import corpus_pipeline as P
+    rows = [(1, "Home\nHom\n\n \na line that is long enough"), (2, "Home\n\n \na line that is lon enough\nnew"), (3, "Home\nHom")]
+    docs = spark.createDataFrame([(k, t, len(t)) for k, t in rows], "doc_id long, text string, n_chars long")
+    out = L.dedup_lines(docs, short_repeats=True).select("doc.doc_id", "doc.text").collect()
+    assert sorted(tuple(r) for r in out) == [rows[0], (2, "\n \nnew"), (3, "")]
+    kept = P.line_dedup(spark, docs, "").select("doc_id", "text").collect()
+    assert sorted(tuple(r) for r in kept) == [rows[0], (2, "\n \nnew")]
+
+
 def test_no_rows(spark):
     assert L.dedup_lines(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 

@@ -29,10 +29,13 @@ def _texts(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     return docs.select(F.col(id_column).alias("id"), text.alias("text"), F.xxhash64(text).alias("print"))
 
 
-def _lines(texts: DataFrame, min_chars: int) -> DataFrame:
-    """(id, print, at, line, h) of all lines long enough; h is the line's MD5."""
+def _lines(texts: DataFrame, min_chars: int, short_repeats: bool) -> DataFrame:
+    """(id, print, at, line, h) of all lines long enough or, with ``short_repeats``, not blank; h is the line's MD5."""
+    wanted = F.length("line") >= min_chars
+    if short_repeats:
+        wanted = wanted | F.col("line").rlike(r"\S")
     return (texts.select("id", "print", F.posexplode(F.split("text", "\n")).alias("at", "line"))
-            .filter(F.length("line") >= min_chars).withColumn("h", F.unhex(F.md5("line"))))
+            .filter(wanted).withColumn("h", F.unhex(F.md5("line"))))
 
 
 def _part_keys(line: Column, parts: int, less: int) -> list[Column]:
@@ -59,17 +62,18 @@ def _sharing(rows: DataFrame, keys: Column) -> DataFrame:
     return materialize(spread.join(shared, "key", "left_semi").select("h").distinct())
 
 
-def _classes(lines: DataFrame) -> DataFrame:
-    """Distinct lines: (h, first, n, keys), ``first`` the smallest (id, at)."""
+def _classes(lines: DataFrame, min_chars: int) -> DataFrame:
+    """Distinct lines: (h, first, n, keys), ``first`` the smallest (id, at); lines under ``min_chars`` have no keys."""
+    long = F.length("line") >= min_chars
     keyed = lines.select("h", F.struct("id", "at").alias("place"), 
-                         *(k.alias(f"k{i}") for i, k in enumerate(_part_keys(F.col("line"), 2, 0) + _part_keys(F.col("line"), 2, 1))))
+                         *(F.when(long, k).alias(f"k{i}") for i, k in enumerate(_part_keys(F.col("line"), 2, 0) + _part_keys(F.col("line"), 2, 1))))
     return keyed.groupBy("h").agg(
         F.min("place").alias("first"), F.count(F.lit(1)).alias("n"), *(F.max(f"k{i}").alias(f"k{i}") for i in range(4)))
 
 
 def _may_have_partner(classes: DataFrame) -> DataFrame:
     """(h, first) of the classes that share a half with another class."""
-    found = _sharing(classes, F.array("k0", "k1", "k2", "k3"))
+    found = _sharing(classes.filter("k0 IS NOT NULL"), F.array("k0", "k1", "k2", "k3"))
     return classes.select("h", "first").join(_small(found), "h", "left_semi")
 
 
@@ -105,16 +109,19 @@ def near_lines(lines: DataFrame, candidates: DataFrame) -> DataFrame:
             .filter(F.levenshtein("line", "other", 1).between(0, 1)).select("h", "partner"))
 
 
-def removed_lines(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", min_chars: int = MIN_CHARS) -> DataFrame:
+def removed_lines(
+    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", min_chars: int = MIN_CHARS, short_repeats: bool = False,
+) -> DataFrame:
     """(id, print, removed): line numbers, from 0, that go from each text that loses any.
 
     ``print`` is the text's XXH64. A line of at least ``min_chars`` characters goes if the same line
     has an earlier place, or if a line one edit away has: earlier is the smaller id, null first,
-    then the smaller line number. Shorter lines stay. Rows of the same id and text fare alike.
+    then the smaller line number. Shorter lines stay, but with ``short_repeats`` those not blank go
+    too if the same line has an earlier place. Rows of the same id and text fare alike.
     """
     texts = _texts(docs, id_column, text_column)
-    lines = _lines(texts, min_chars)
-    classes = materialize(_classes(lines))
+    lines = _lines(texts, min_chars, short_repeats)
+    classes = materialize(_classes(lines, min_chars))
     candidates = materialize(_may_have_partner(classes))
     near = materialize(near_lines(lines, candidates).select("h").distinct().withColumn("near", F.lit(True)))
     repeated = classes.select("h", "first", "n").join(near, "h", "left").filter("n > 1 OR near").select("h", "first", "near")
@@ -124,13 +131,15 @@ def removed_lines(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     return gone.groupBy("id", "print").agg(F.collect_set("at").alias("removed"))
 
 
-def dedup_lines(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", min_chars: int = MIN_CHARS) -> DataFrame:
+def dedup_lines(
+    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", min_chars: int = MIN_CHARS, short_repeats: bool = False,
+) -> DataFrame:
     """(doc, n_lines, n_removed): every row of ``docs`` as a struct, its text without removed lines.
 
     See ``removed_lines``. Null texts stay null and have no lines. All columns are kept as they are,
     whatever their names; an empty table gives an empty one.
     """
-    gone = _small(materialize(removed_lines(docs, id_column, text_column, min_chars)))
+    gone = _small(materialize(removed_lines(docs, id_column, text_column, min_chars, short_repeats)))
     text = F.coalesce(F.col(text_column).cast("string"), F.lit(""))
     rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc"), F.col(id_column).alias("own"),
                        F.xxhash64(text).alias("own_print"))
