@@ -170,3 +170,13 @@ def test_contradicting_batches_are_summed_alike(spark):
     assert X.letter_counts(docs) == X.letter_counts(docs.repartition(7))
     table = Q._class_table()
     assert len(Q.statistics(b"", table)) == len(Q.FEATURES) == len(Q.statistics(b"A b\n|1", table))
+
+
+@pytest.mark.parametrize("written, word", [
+    ("!d10t", "idiot"), ("|d10t", "idiot"), ("1053r", "loser"), ("1d1070", "idioto"), ("iidiot", "idiot"), ("sscum", "scum"),
+    ("mmoron", "moron"), ("(lown", "clown"), ("you are d u m b.", "dumb"), ("d u m b!", "dumb"), ("s c u m.", "scum"),
+    ("what an a s s", "ass"), ("(d u m b)", "dumb")])
+def test_disguises_are_read(spark, written, word):
+    text = "you are what an idiot idioto loser scum moron clown dumb ass and that is all there was to say of him " * 20
+    model = X.fit_language_model(spark.createDataFrame([(text,)], "text string"))
+    assert word in X.Restorer(model).words(written)

@@ -37,11 +37,12 @@ _STRETCH = 4096           # a longer stretch is decoded in such parts
 _PIECE = 1 << 20          # characters counted at once
 
 _WORDS = re.compile(r"[^\W_]+")
-#: Single characters set apart by the same kind of gap, four or more.
-_SPACED = re.compile(r"(?<!\S)\S(?:[ \t._*-]{1,3}[^\s._*-]){3,}(?!\S)")
+_GAPS = set(" \t._*-")
+#: Single characters set apart by gaps, three or more; quotes and brackets may stand before them, marks behind.
+_SPACED = re.compile(r"""(?<![^\s"'(\[{])\S(?:[ \t._*-]{1,3}[^\s._*-]){2,}(?![^\s.,;:!?"')\]}])""")
 _LEET = "".join(map(re.escape, STANDS_FOR))
 _MIXED = re.compile(rf"[{_LEET}*._-]")
-_TRIPLE = re.compile(r"(.)\1\1")
+_DOUBLE = re.compile(r"(.)\1")
 _TAIL = re.compile(r"([^\w\s])\1+$")
 
 
@@ -164,14 +165,15 @@ def _core(token: str) -> str:
     return _TAIL.sub("", token.lstrip("\"'([{").rstrip(".,;:!?\"')]}"))
 
 
+def _cores(token: str) -> list[str]:
+    """The token's core, and the one with a leading ``(`` that may stand for a letter."""
+    core, opened = _core(token), token.lstrip("\"'[{")
+    return [core, "(" + core] if core and opened.startswith("(") else [core]
+
+
 def _suspicious(core: str) -> bool:
-    """Letters with marks or digits among them, or a character three times in a row."""
-    if core.isalpha():
-        return _TRIPLE.search(core) is not None
-    letters = sum(map(str.isalpha, core))
-    if letters * 2 < len(core) and not (core[:1].isalnum() and 0 < letters * 3 >= len(core)):
-        return False
-    return bool(_MIXED.search(core) or _TRIPLE.search(core))
+    """A letter along with a mark or digit, or with a character twice in a row."""
+    return any(map(str.isalpha, core)) and bool(_MIXED.search(core) or _DOUBLE.search(core))
 
 
 class Restorer:
@@ -181,9 +183,10 @@ class Restorer:
         self.model, self.known = model, {}
 
     def read(self, token: str) -> tuple[str, ...]:
-        words, core = _WORDS.findall(token), _core(token)
-        if _suspicious(core):
-            words += self.stretch(core)
+        words = _WORDS.findall(token)
+        for core in _cores(token):
+            if _suspicious(core):
+                words += self.stretch(core)
         return tuple(dict.fromkeys(w for w in words if not w.isdigit()))
 
     def token(self, token: str) -> tuple[str, ...]:
@@ -200,7 +203,7 @@ class Restorer:
 
     def spaced(self, text: str) -> list[str]:
         """Words read from stretches of single characters."""
-        return [word for found in _SPACED.finditer(text) if len(set(found[0])) > 3 for word in self.stretch(found[0])]
+        return [word for found in _SPACED.finditer(text) if len(set(found[0]) - _GAPS) > 1 for word in self.stretch(found[0])]
 
     def words(self, text: str) -> set[str]:
         """Distinct words of the whole text, as written and as decoded."""
