@@ -67,7 +67,7 @@ def cleaned(spark, folder):
         _gaps(spark, folder),
         schema={"buyer": "str", "value": "float64"},
         dedup_columns=["user_id", "event_type"],
-        transforms={"event_type": lambda c: F.upper(F.trim(c))},
+        transforms={"event_type": by_column(lambda c: F.upper(F.trim(c)))},
         order=["ts", "event_id"],
     )
 
