@@ -205,3 +205,21 @@ SELECT doc_id, item_id, item_shingles, count(*) AS shared, count(*) / item_shing
 FROM ds JOIN bs USING (k, s) JOIN n USING (item_id) GROUP BY doc_id, item_id, item_shingles
 HAVING count(*) >= 0.8 * item_shingles - 1e-9
 """)
+
+
+def op13_run_detection(spark, folder):
+    from tierlake.llm.runs import find_runs, strongest, with_planted_run
+    docs = table(spark, folder, "documents")
+    seed = F.crc32(F.col("doc_id").cast("string"))
+    found = find_runs(docs.select("doc_id", with_planted_run(F.col("text"), seed).alias("text")))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    best = strongest(F.col("runs"))
+    return found.select(
+        F.col("id").alias("doc_id"), F.size("runs").cast("long").alias("n_runs"), best["start"].alias("start"),
+        best["length"].alias("length"), best["period"].alias("period"),
+        F.floor(1000 * best["length"] / best["period"]).alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform(lines, lambda x: F.concat(x, F.lit("\n"))), ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+CHECKS["op13_run_detection"] = Check(op13_run_detection)
