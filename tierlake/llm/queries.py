@@ -223,3 +223,14 @@ def op13_run_detection(spark, folder):
 
 
 CHECKS["op13_run_detection"] = Check(op13_run_detection)
+
+
+def op12_tokenizer_alignment(spark, folder):
+    import public_tokenizers
+    from tierlake.llm.alignment import align_tokenizers
+    rows, _ = align_tokenizers(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                               public_tokenizers.path("piece_bpe_32k.model"))
+    return rows.withColumnRenamed("id", "doc_id")
+
+
+CHECKS["op12_tokenizer_alignment"] = Check(op12_tokenizer_alignment)
