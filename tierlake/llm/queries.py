@@ -234,3 +234,14 @@ def op12_tokenizer_alignment(spark, folder):
 
 
 CHECKS["op12_tokenizer_alignment"] = Check(op12_tokenizer_alignment)
+
+
+def op11_repeated_strings(spark, folder):
+    from tierlake.llm.repeats import without_repeats
+    found = without_repeats(table(spark, folder, "documents"), length=100)
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["stop"] - s["start"])
+    return found.select(F.col("id").alias("doc_id"), "n_bytes", removed.alias("n_removed"),
+                        F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+CHECKS["op11_repeated_strings"] = Check(op11_repeated_strings)
