@@ -56,6 +56,8 @@ def test_bytes_that_go_are_those_of_a_dictionary_of_all_strings(spark, seed, len
 def test_small_steps_batches_and_joined_triggers(spark, monkeypatch):
     monkeypatch.setattr(module, "_AT_ONCE", 64)
     monkeypatch.setattr(module, "SENT_GRAMS", 0)
+    monkeypatch.setattr(module, "MET_PHRASES", 3)
+    monkeypatch.setattr(module, "_MANY", 2)
     rows = list(enumerate(texts(7)))
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
@@ -67,7 +69,7 @@ def test_small_steps_batches_and_joined_triggers(spark, monkeypatch):
 
 def test_repeated_rows_null_ids_and_an_empty_table(spark):
     long = "".join(random.Random(8).choice("abcdefgh ") for _ in range(150))
-    rows = [(1, long), (1, long), (1, "-" + long), (None, "x" + long), (None, None), (2, long), (3, "")]
+    rows = [(1, long), (1, long), (1, "-" + long), (1, long + "tail"), (1, long + "tail"), (0, long[20:]), (None, "x" + long[:110]), (None, None), (2, long), (3, "")]
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     assert result(docs, 100, 32) == sorted(brute(rows, 100), key=repr)
     assert without_repeats(docs.limit(0)).collect() == []

@@ -7,9 +7,10 @@ of phrases, over a dictionary, the distinct phrases; each phrase holds whole str
 the parse beyond a phrase is needed to compare strings of bounded length.
 
 * The parse is sorted by trigger, phrase and place. All places of a phrase but the first repeat it.
-* Different phrases share strings only if they share their trigger. The strings of all phrases of such
-  triggers, the suffixes of that part of the dictionary cut at ``length`` bytes, are put in corpus order
-  by a range sort, a suffix array over all tasks; a string equal to the one before it repeats it.
+* Different phrases share strings only if they share their trigger. The phrases of such a trigger meet,
+  and their strings, the suffixes of that part of the dictionary cut at ``length`` bytes, are put in
+  corpus order: a suffix array by part, where a string equal to the one before it repeats it. The
+  strings of triggers with more phrases than one task should hold are range sorted over all tasks.
 
 Of what a batch of texts holds several times only the earliest place enters a sort, and a trigger with
 several phrases in a batch enters the first sort as a shared one alone. So a phrase, trigger or
@@ -20,6 +21,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +33,8 @@ from tierlake.session import materialize, shared_folder
 LENGTH = 100
 GRAM = 32
 SENT_GRAMS = 4 << 20     # shared triggers, 8 bytes each, up to which every task gets them all; beyond it they are joined
+MET_PHRASES = 4096      # most phrases of a trigger that meet in one task, some 170 bytes each
+_MANY = 64               # places of a phrase from which they are counted for that
 _AT_ONCE = 1 << 20       # bytes parsed in one step
 _HIGH = np.uint64((1 << 64) - (1 << 24))
 
@@ -136,13 +140,19 @@ def _ranks(ids: pa.Array) -> np.ndarray:
     return order[distinct.indices.to_numpy()]
 
 
-def _in_order(keys: list[np.ndarray], rank: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(order, head, later): by key and place; the first of each row's key; whether that has an earlier place."""
-    order = np.lexsort((start, rank, *reversed(keys)))
-    new = np.logical_or.reduce([np.append(True, k[order][1:] != k[order][:-1])[:len(order)] for k in keys])
-    head = np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))
-    lead = order[head]
-    return order, new, (rank[order] > rank[lead]) | (start[order] > start[lead])
+def _in_order(keys: list[np.ndarray], batch: pa.RecordBatch, row: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(order, new, later, kept) by key and place, for rows of a batch of (id, print, ...).
+
+    Of each place in that order: whether its key is new, whether that has an earlier place, and whether
+    the place is to be kept, as neither that nor the same place of the same text has been before.
+    """
+    rank, prints = _ranks(batch.column(0))[row], batch.column(1).to_numpy()[row]
+    order = np.lexsort((prints, start, rank, *reversed(keys)))
+    new, fresh = (np.logical_or.reduce([np.append(True, k[order][1:] != k[order][:-1])[:len(order)] for k in ks])
+                  for ks in (keys, [*keys, rank, start, prints]))
+    lead = order[np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))]
+    later = (rank[order] > rank[lead]) | (start[order] > start[lead])
+    return order, new, later, fresh & ~later
 
 
 def _merged(row: np.ndarray, start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -185,25 +195,27 @@ def phrase_places(texts: DataFrame, length: int, gram: int) -> DataFrame:
         rollers = _rollers()
         for batch in batches:
             found = _parse(batch, length, gram, rollers)
-            keys = [found["trigger"], found["phrase"]]
-            order, new, later = _in_order(keys, _ranks(batch.column(0))[found["row"]], found["start"])
+            order, new, later, kept = _in_order([found["trigger"], found["phrase"]], batch, found["row"], found["start"])
             trigger, phrase, row, start, stop = (found[n][order] for n in ("trigger", "phrase", "row", "start", "stop"))
             yield _again(batch, row[later], start[later], stop[later], False)
-            first = np.flatnonzero(new)  # one of each phrase here
-            group = np.cumsum(np.append(True, trigger[first][1:] != trigger[first][:-1])[:len(first)]) - 1
-            shared = np.bincount(group, minlength=1)[group] > 1
-            several = first[shared & np.append(True, group[1:] != group[:-1])[:len(group)]]
-            yield _rows(batch, _SHARED, row[several], pa.array(trigger[several].view(np.int64)), np.zeros(len(several), np.int64),
-                        start[several], stop[several])
-            alone = first[~shared]
+            own = np.append(True, trigger[1:] != trigger[:-1])[:len(trigger)]  # where a trigger begins
+            group = np.cumsum(own) - 1
+            size = np.bincount(group[new], minlength=1)  # phrases of each trigger
+            at = np.flatnonzero(own & (size[group] > 1))
+            yield _rows(batch, _SHARED, row[at], pa.array(trigger[at].view(np.int64)), size[group[at]], start[at], stop[at])
+            alone = np.flatnonzero(kept & (size[group] == 1))
+            alone = alone[np.lexsort((start[alone], row[alone]))]  # neighbours in the text make small blocks
             yield _rows(batch, _PLACE, row[alone], pa.array(trigger[alone].view(np.int64)), phrase[alone].view(np.int64),
                         start[alone], stop[alone])
 
     return texts.mapInArrow(run, _schema("long", texts.schema["id"].dataType.simpleString()))
 
 
-def strings_of(texts: DataFrame, shared: DataFrame, length: int, gram: int) -> DataFrame:
-    """The places of all strings in phrases whose trigger is in ``shared(trigger)``; k1 has the string's bytes."""
+def shared_phrases(texts: DataFrame, shared: DataFrame, length: int, gram: int) -> DataFrame:
+    """(trigger, id, print, start, piece): phrases whose trigger is in ``shared(trigger)``, with their bytes.
+
+    Of the places that a batch has for a phrase only the earliest: the others repeat it.
+    """
     id_type = texts.schema["id"].dataType.simpleString()
     few = shared.count() <= SENT_GRAMS
     sent = texts.sparkSession.sparkContext.broadcast(
@@ -213,47 +225,90 @@ def strings_of(texts: DataFrame, shared: DataFrame, length: int, gram: int) -> D
         rollers = _rollers()
         for batch in batches:
             found = _parse(batch, length, gram, rollers)
-            trigger = found["trigger"].view(np.int64)
-            hit = np.arange(len(trigger))
             if sent is not None:
-                known = sent.value
+                known, trigger = sent.value, found["trigger"].view(np.int64)
                 at = np.minimum(np.searchsorted(known, trigger), max(len(known) - 1, 0))
-                hit = np.flatnonzero(known[at] == trigger) if len(known) else hit[:0]
-            row, start, stop = found["row"][hit], found["start"][hit], found["stop"][hit]
+                hit = known[at] == trigger if len(known) else np.zeros(len(at), bool)
+                found = {n: v[hit] for n, v in found.items()}
+            order, _, _, kept = _in_order([found["trigger"], found["phrase"]], batch, found["row"], found["start"])
+            at = np.sort(order[kept])  # the others of the batch are repeats already
+            trigger, row, start, stop = (found[n][at] for n in ("trigger", "row", "start", "stop"))
             data, offsets = _bytes(batch.column(2))
             held = [data[a:b].tobytes() for a, b in zip((offsets[row] + start).tolist(), (offsets[row] + stop - 1 + length).tolist())]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(trigger[hit]), batch.column(0).take(pa.array(row)), batch.column(1).take(pa.array(row)),
+                [pa.array(trigger.view(np.int64)), batch.column(0).take(pa.array(row)), batch.column(1).take(pa.array(row)),
                  pa.array(start), pa.array(held, pa.binary())], ["trigger", "id", "print", "start", "piece"])
 
+    rows = texts.mapInArrow(pieces, f"trigger long, id {id_type}, print long, start long, piece binary")
+    return rows if few else rows.join(shared, "trigger", "left_semi")
+
+
+def _suffixes(batch: pa.RecordBatch, length: int):
+    """(rows, strings, starts, later, kept) of all strings of phrases (id, print, start, piece) in corpus order."""
+    data, offsets = _bytes(batch.column(3))
+    size = np.diff(offsets) - length + 1
+    row = np.repeat(np.arange(len(batch)), size)
+    inside = np.arange(len(row)) - np.repeat(np.cumsum(size) - size, size)
+    strings = np.lib.stride_tricks.sliding_window_view(data, length)[offsets[row] + inside].view(f"S{length}").reshape(-1)
+    start = batch.column(2).to_numpy()[row] + inside
+    order, _, later, kept = _in_order([strings], batch, row, start)
+    return row[order], strings[order], start[order], later, kept
+
+
+def repeats_in_triggers(phrases: DataFrame, length: int) -> DataFrame:
+    """(id, print, start, stop) where a string of a trigger's phrases has an earlier place; phrases lie by trigger."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None  # phrases of the last trigger, which may go on
+        for batch in chain(batches, [None]):
+            if batch is not None and not len(batch):
+                continue
+            parts = [b for b in (held, batch) if b is not None]
+            if not parts:
+                return
+            whole = pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
+            trigger = whole.column(0).to_numpy()
+            end = len(whole) if batch is None else int(np.searchsorted(trigger, trigger[-1]))
+            held = whole.slice(end)
+            for low, high in _parts(trigger[:end]):
+                part = whole.slice(low, high - low).select(["id", "print", "start", "piece"])
+                row, _, start, later, _ = _suffixes(part, length)
+                yield _again(part, row[later], start[later], start[later] + 1, True).select(["id", "print", "start", "stop"])
+
+    return phrases.mapInArrow(run, f"id {phrases.schema['id'].dataType.simpleString()}, print long, start long, stop long")
+
+
+def _parts(trigger: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Ranges of rows of whole triggers, some ``MET_PHRASES`` rows each."""
+    ends = np.append(np.flatnonzero(trigger[1:] != trigger[:-1]) + 1, len(trigger)) if len(trigger) else trigger
+    low = 0
+    for end in ends.tolist():
+        if end - low >= MET_PHRASES or end == len(trigger):
+            yield low, end
+            low = end
+
+
+def strings_of(phrases: DataFrame, length: int) -> DataFrame:
+    """The places of all strings of ``phrases``, to be range sorted; k1 has the string's bytes."""
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, offsets = _bytes(batch.column(3))
             if not len(batch):
                 continue
-            size = np.diff(offsets) - length + 1
-            row = np.repeat(np.arange(len(batch)), size)
-            inside = np.arange(len(row)) - np.repeat(np.cumsum(size) - size, size)
-            strings = np.lib.stride_tricks.sliding_window_view(data, length)[offsets[row] + inside].view(f"S{length}").reshape(-1)
-            start = batch.column(2).to_numpy()[row] + inside
-            order, new, later = _in_order([strings], _ranks(batch.column(0))[row], start)
-            row, start = row[order], start[order]
+            row, strings, start, later, kept = _suffixes(batch, length)
             yield _again(batch, row[later], start[later], start[later] + 1, True)
-            first = np.flatnonzero(new)
-            kept = pa.FixedSizeBinaryArray.from_buffers(pa.binary(length), len(first), [None, pa.py_buffer(strings[order[first]].tobytes())])
-            yield _rows(batch, _PLACE, row[first], kept.cast(pa.binary()), np.zeros(len(first), np.int64), start[first], start[first] + 1)
+            row, strings, start = row[kept], strings[kept], start[kept]
+            raw = pa.FixedSizeBinaryArray.from_buffers(pa.binary(length), len(row), [None, pa.py_buffer(strings.tobytes())])
+            yield _rows(batch, _PLACE, row, raw.cast(pa.binary()), np.zeros(len(row), np.int64), start, start + 1)
 
-    rows = texts.mapInArrow(pieces, f"trigger long, id {id_type}, print long, start long, piece binary")
-    if not few:
-        rows = rows.join(shared, "trigger", "left_semi")
-    return rows.select("id", "print", "start", "piece").mapInArrow(cut, _schema("binary", id_type))
+    rows = phrases.select("id", "print", "start", "piece")
+    return rows.mapInArrow(cut, _schema("binary", rows.schema["id"].dataType.simpleString()))
 
 
 def repeated_ranges(places: DataFrame) -> DataFrame:
     """(trigger, id, print, start, stop) from sorted places: ranges of starts that repeat an earlier place.
 
-    Rows with a trigger instead say that it has several phrases. Works along each partition in
-    order and keeps only the row before.
+    Rows with a trigger instead say that it has several phrases, ``stop`` more of them, or, where ``start``
+    is 0, that there are ``stop`` more places of its phrases. Works along each partition in order and keeps
+    only the row before.
     """
     schema = places.schema
     key = schema["k1"].dataType.simpleString()
@@ -290,10 +345,18 @@ def repeated_ranges(places: DataFrame) -> DataFrame:
                 [pa.nulls(len(again), pa.int64()), *(whole.column(c).take(again) for c in ("id", "print", "start", "stop"))],
                 ["trigger", "id", "print", "start", "stop"])
             if key == "bigint":
-                shared = np.flatnonzero(np.where(kind == _SHARED, other_trigger, (kind == _PLACE) & other & ~other_trigger))
-                shared = pa.array(shared[shared >= skip])
-                none = {c: pa.nulls(len(shared), whole.column(c).type) for c in ("id", "print", "start", "stop")}
-                yield pa.RecordBatch.from_arrays([whole.column("k1").take(shared), *none.values()], ["trigger", *none])
+                several = (kind == _SHARED) | ((kind == _PLACE) & other & ~other_trigger)
+                several[:skip] = False
+                runs = np.flatnonzero(other_trigger)
+                counts = np.diff(np.append(runs, n))
+                many = runs[(counts >= _MANY) & (kind[runs] == _PLACE)]
+                at = np.concatenate((np.flatnonzero(several), many))
+                more = np.concatenate((np.where(kind == _SHARED, whole.column("k2").to_numpy(), 1)[several],
+                                       counts[(counts >= _MANY) & (kind[runs] == _PLACE)]))
+                sure = np.concatenate((np.ones(int(several.sum()), np.int64), np.zeros(len(many), np.int64)))
+                yield pa.RecordBatch.from_arrays(
+                    [whole.column("k1").take(pa.array(at)), pa.nulls(len(at), whole.column("id").type), pa.nulls(len(at), pa.int64()),
+                     pa.array(sure), pa.array(more)], ["trigger", "id", "print", "start", "stop"])
             before = whole.slice(n - 1, 1)
 
     return places.mapInArrow(scan, f"trigger long, id {schema['id'].dataType.simpleString()}, print long, start long, stop long")
@@ -307,17 +370,26 @@ def repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text
     """
     if not 8 <= gram <= length:
         raise ValueError("a trigger has at least 8 bytes and fits into a string")
+    spark = docs.sparkSession
     texts = _texts(docs, id_column, text_column).filter(F.octet_length("text") >= length)
     texts = texts.select("id", "print", F.col("text").cast("binary").alias("text"))
     order = ("kind", "k1", "k2", "id", "start")
     parse = phrase_places(texts, length, gram)
     known = materialize(repeated_ranges(parse.repartition("k1").sortWithinPartitions(*order)))
-    shared = materialize(known.filter("trigger IS NOT NULL").select("trigger").distinct())
-    path = f"{shared_folder(docs.sparkSession)}/repeats-{uuid.uuid4().hex}"
-    strings_of(texts, shared, length, gram).write.option("compression", "zstd").parquet(path)  # sampled, then sorted
-    strings = docs.sparkSession.read.schema(_schema("binary", texts.schema["id"].dataType.simpleString())).parquet(path)
-    found = repeated_ranges(strings.repartitionByRange("k1").sortWithinPartitions(*order))
-    return known.filter("trigger IS NULL").drop("trigger").unionAll(found.drop("trigger"))
+    shared = materialize(known.filter("trigger IS NOT NULL").groupBy("trigger").agg(
+        F.max("start").alias("sure"), F.sum("stop").alias("n")).filter("sure = 1").drop("sure"))
+    folder = f"{shared_folder(spark)}/repeats-{uuid.uuid4().hex}"
+    phrases = shared_phrases(texts, shared.select("trigger"), length, gram)
+    hot = shared.filter(F.col("n") > MET_PHRASES).select("trigger", F.lit(True).alias("hot"))
+    hot = F.broadcast(hot) if hot.count() <= SENT_GRAMS else hot  # 9 bytes each
+    phrases.join(hot, "trigger", "left").write.option("compression", "zstd").parquet(f"{folder}/phrases")
+    phrases = spark.read.parquet(f"{folder}/phrases")
+    met = phrases.filter("hot IS NULL").drop("hot").repartition("trigger").sortWithinPartitions("trigger")
+    strings_of(phrases.filter("hot"), length).write.option("compression", "zstd").parquet(f"{folder}/strings")  # sampled, then sorted
+    strings = spark.read.schema(_schema("binary", texts.schema["id"].dataType.simpleString())).parquet(f"{folder}/strings")
+    found = repeats_in_triggers(met, length).unionAll(
+        repeated_ranges(strings.repartitionByRange("k1").sortWithinPartitions(*order)).drop("trigger"))
+    return known.filter("trigger IS NULL").drop("trigger").unionAll(found)
 
 
 def _texts(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
