@@ -8,7 +8,6 @@ is then scored by word evidence learnt from labelled rows.
 
 from __future__ import annotations
 
-import heapq
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -26,14 +25,13 @@ STANDS_FOR = {
     "0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g",
     "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "<": "c", "€": "e", "£": "l", "¡": "i",
 }
-#: Costs of readings, in nats: a character as itself is free.
-SWAP, DROP_REPEAT, DROP_MARK, DROP_SIGN, KEEP_MARK, DROP_GAP, KEEP_GAP = 1.0, 0.5, 3.0, 6.0, 6.0, 1.5, 1.5
+#: Costs of readings, in nats: a character as itself is free. A sign that stands for a letter is seldom noise.
+SWAP, DROP_SECOND, DROP_REPEAT, DROP_MARK, DROP_SIGN, KEEP_MARK, DROP_GAP, KEEP_GAP = 1.0, 2.0, 0.5, 3.0, 9.0, 6.0, 1.5, 1.5
 LETTERS = 63              # commonest letters the language model tells apart; all others are one class
 LABELLED = 40_000         # most labelled rows learnt from, those of smallest hash
 EVIDENCE = 20_000         # most pieces of evidence kept, the most telling ones
 LEAST_DOCUMENTS = 3       # labelled toxic documents a piece of evidence must occur in
-REMEMBERED = 300_000      # words a worker remembers
-_STRETCH = 4096           # a longer stretch is decoded in such parts
+REMEMBERED = 100_000      # words a task remembers
 _PIECE = 1 << 20          # characters counted at once
 
 _WORDS = re.compile(r"[^\W_]+")
@@ -42,7 +40,9 @@ _GAPS = set(" \t._*-")
 _SPACED = re.compile(r"""(?<![^\s"'(\[{])\S(?:[ \t._*-]{1,3}[^\s._*-]){2,}(?![^\s.,;:!?"')\]}])""")
 _LEET = "".join(map(re.escape, STANDS_FOR))
 _MIXED = re.compile(rf"[{_LEET}*._-]")
-_DOUBLE = re.compile(r"(.)\1")
+_DOUBLE = re.compile(r"(.)\1+")
+_TRIPLE = re.compile(r"(.)\1\1")
+_BEHIND = ".,;:!?\"')]}"
 _TAIL = re.compile(r"([^\w\s])\1+$")
 
 
@@ -118,22 +118,23 @@ def fit_language_model(docs: DataFrame) -> LanguageModel:
 
 def _readings(char: str, same: int) -> list[tuple[str, float]]:
     """What a character may mean; ``same`` counts the equal ones just before it."""
+    again = [("", DROP_SECOND if same == 1 else DROP_REPEAT)] if same else []
     if char.isalpha():
-        return [(char, 0.0)] + ([("", DROP_REPEAT)] if same else [])
+        return [(char, 0.0)] + again
     if char.isspace():
         return [(" ", KEEP_GAP), ("", DROP_GAP)]
     read = [(letter, SWAP) for letter in STANDS_FOR.get(char, "")]
-    if same:
-        read.append(("", DROP_REPEAT))
-    return read + [(" ", KEEP_MARK), ("", DROP_SIGN if char in STANDS_FOR else DROP_MARK)]
+    return read + again + [(" ", KEEP_MARK), ("", DROP_SIGN if char in STANDS_FOR else DROP_MARK)]
 
 
 def decode(stretch: str, model: LanguageModel) -> str:
     """The likeliest reading of an obfuscated stretch, lower-cased; equal costs keep the earlier reading.
 
-    Viterbi over states of the last two characters read, so time grows with the length alone.
+    Viterbi over states of the last two characters read. A state is given up only where no onward
+    reading can make it the best: two states that read the same on differ in their next two costs alone.
     """
     costs, code = model.costs, model.code
+    reach = 2 * (float(costs.max()) - float(costs.min())) + DROP_GAP
     paths: dict[tuple[str, str], tuple[float, tuple]] = {(" ", " "): (0.0, ())}
     before, same = "", 0
     for char in stretch.lower():
@@ -151,7 +152,10 @@ def decode(stretch: str, model: LanguageModel) -> str:
                     onward = (trail, letter)
                 if state not in after or total < after[state][0]:
                     after[state] = (total, onward)
-        paths = dict(heapq.nsmallest(64, after.items(), key=lambda p: p[1][0])) if len(after) > 64 else after
+        if len(after) > 8:
+            limit = min(c for c, _ in after.values()) + reach
+            after = {state: path for state, path in after.items() if path[0] <= limit}
+        paths = after
     _, trail = min(((c + costs[code(a), code(b), 0], t) for (a, b), (c, t) in paths.items()), key=lambda p: p[0])
     read = []
     while trail:
@@ -162,7 +166,7 @@ def decode(stretch: str, model: LanguageModel) -> str:
 
 def _core(token: str) -> str:
     """The token without quotes and brackets before it, and without marks, one of them repeated or not, behind it."""
-    return _TAIL.sub("", token.lstrip("\"'([{").rstrip(".,;:!?\"')]}"))
+    return _TAIL.sub("", token.lstrip("\"'([{").rstrip(_BEHIND))
 
 
 def _cores(token: str) -> list[str]:
@@ -172,20 +176,40 @@ def _cores(token: str) -> list[str]:
 
 
 def _suspicious(core: str) -> bool:
-    """A letter along with a mark or digit, or with a character twice in a row."""
-    return any(map(str.isalpha, core)) and bool(_MIXED.search(core) or _DOUBLE.search(core))
+    """A letter along with a mark or digit, or with a character three times in a row."""
+    return any(map(str.isalpha, core)) and bool(_MIXED.search(core) or _TRIPLE.search(core))
+
+
+def _squeezed(word: str) -> str:
+    return _DOUBLE.sub(r"\1", word)
 
 
 class Restorer:
-    """Words of whole texts after decoding, each distinct token decoded once."""
+    """Words of whole texts after decoding.
 
-    def __init__(self, model: LanguageModel):
+    A plain word with a doubled letter, as many are, is decoded only if it may hide evidence: if without
+    the repeats it begins as a word of ``telling`` does without its own. With None all of them are decoded.
+    """
+
+    def __init__(self, model: LanguageModel, telling: frozenset[str] | None = None):
         self.model, self.known = model, {}
+        self.hidden = None if telling is None else frozenset(map(_squeezed, telling))
+
+    def doubled(self, core: str) -> bool:
+        if not _DOUBLE.search(core) or not core.isalpha():
+            return False
+        if self.hidden is None:
+            return True
+        word = _squeezed(core)
+        return any(word[:k] in self.hidden for k in range(2, len(word) + 1))
 
     def read(self, token: str) -> tuple[str, ...]:
+        plain = token.lstrip("\"'[{").rstrip(_BEHIND)
+        if plain.isalpha() and not (_DOUBLE.search(plain) and (_TRIPLE.search(plain) or self.doubled(plain))):
+            return (plain,)  # most tokens
         words = _WORDS.findall(token)
         for core in _cores(token):
-            if _suspicious(core):
+            if _suspicious(core) or self.doubled(core):
                 words += self.stretch(core)
         return tuple(dict.fromkeys(w for w in words if not w.isdigit()))
 
@@ -198,8 +222,7 @@ class Restorer:
         return found
 
     def stretch(self, text: str) -> list[str]:
-        parts = (text[low:low + _STRETCH] for low in range(0, len(text), _STRETCH))
-        return _WORDS.findall(" ".join(decode(part, self.model) for part in parts))
+        return _WORDS.findall(decode(text, self.model))
 
     def spaced(self, text: str) -> list[str]:
         """Words read from stretches of single characters."""
@@ -217,9 +240,10 @@ class Restorer:
 class Weigher(dict):
     """The weight of the most telling evidence in a token, remembered."""
 
-    def __init__(self, restorer: Restorer, weights: dict[str, float]):
+    def __init__(self, language: LanguageModel, weights: dict[str, float]):
         super().__init__()
-        self.restorer, self.weights = restorer, weights
+        self.restorer = Restorer(language, frozenset(e.rstrip("*") for e in weights))
+        self.weights, self.openings = weights, {e.rstrip("*")[:3] for e in weights}
 
     def __missing__(self, token: str) -> float:
         if len(self) >= REMEMBERED:
@@ -228,6 +252,8 @@ class Weigher(dict):
         return found
 
     def word(self, word: str) -> float:
+        if word[:3] not in self.openings:
+            return 0.0
         return max((self.weights.get(e, 0.0) for e in evidence_of(word)), default=0.0)
 
     def signals(self, text: str) -> list[float]:
@@ -262,7 +288,7 @@ def _fit_logistic(rows: np.ndarray, labels: np.ndarray) -> np.ndarray:
 def _count_evidence(samples: DataFrame, model: LanguageModel) -> DataFrame:
     """(e, half, toxic, other): in how many rows of ``samples(text, label, half)`` evidence occurs; '' in all."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        restorer = Restorer(model)
+        restorer = Restorer(model, frozenset())
         for batch in batches:
             seen: Counter = Counter()
             for text, label, half in zip(batch.column(0), *(batch.column(k).to_pylist() for k in (1, 2))):
@@ -307,7 +333,7 @@ class ToxicityModel:
         return 1 / (1 + np.exp(-np.clip(rows @ self.fitted, -500, 500)))
 
     def weigher(self) -> Weigher:
-        return Weigher(Restorer(self.language), self.weights)
+        return Weigher(self.language, self.weights)
 
 
 def fit_toxicity(
@@ -334,8 +360,7 @@ def fit_toxicity(
     halves = [_weigh(counts.filter(F.col("half") == 1 - half)) for half in (0, 1)]  # learnt on the other half
 
     def signals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        restorer = Restorer(language)
-        weighers = [Weigher(restorer, w) for w in halves]
+        weighers = [Weigher(language, w) for w in halves]
         for batch in batches:
             found = [weighers[half].signals(text.as_py() or "")
                      for text, half in zip(batch.column(0), batch.column(2).to_pylist())]
