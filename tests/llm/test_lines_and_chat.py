@@ -1,6 +1,7 @@
 """Line deduplication and chat formatting against plain Python."""
 
 import random
+import time
 import re
 
 import pytest
@@ -41,7 +42,7 @@ def brute(rows, least):
 
 @pytest.mark.parametrize("seed, broadcast", [(0, 1000), (1, 1000), (2, -1)])
 def test_dedup_equals_brute_force(spark, monkeypatch, seed, broadcast):
-    monkeypatch.setattr(L, "BROADCAST_ROWS", broadcast)
+    monkeypatch.setattr(L, "BROADCAST_BYTES", broadcast)
     pick = random.Random(seed)
     pool = ["".join(pick.choice("ab") for _ in range(n)) for n in (4, 5, 6, 7, 8, 8, 9, 10, 11, 20, 21, 25, 26, 31, 32)]
 
@@ -134,3 +135,13 @@ def test_long_chain_odd_turns_and_no_rows(spark):
     row = C.format_trees(C.linear_replies(odd)).select(template.read_turns(F.col("formatted")).alias("t")).first()
     assert [tuple(t) for t in row["t"]] == [("", ""), ("assistant", "y"), ("user", "x"), ("user", "x")]
     assert C.format_trees(C.linear_replies(odd.limit(0))).count() == 0
+
+
+def test_very_long_lines_one_edit_apart(spark):
+    pick = random.Random(11)
+    long = "".join(pick.choice("abcdé ") for _ in range(50_000))
+    rows = [(1, long), (2, long[:40_001] + "#" + long[40_002:]), (3, long[:20_000] + long[20_001:]), (4, long[:9] + "##" + long[11:])]
+    begun = time.perf_counter()
+    found = L.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).select("doc.doc_id", "n_removed").collect()
+    assert sorted(map(tuple, found)) == [(1, 0), (2, 1), (3, 1), (4, 0)]
+    assert time.perf_counter() - begun < 90

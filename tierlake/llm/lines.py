@@ -3,25 +3,27 @@
 Lines are compared as whole texts; of equal ones, and of those one insertion, deletion or
 substitution apart, the earliest stays. Two lines one substitution apart leave the same rest when
 the character at that place is deleted; two lines one insertion apart are such that the longer
-leaves the shorter. So every line gives the hashes of all its deletions, and equal hashes are joined.
+leaves the shorter. So lines give the hashes of their deletions, and equal hashes are joined.
 
 Before that, lines that cannot have a partner are set aside without loss, first by halves, then by
-eighths: one edit leaves all parts of a line alone but one, so partners share a hash of the others.
+eighths or finer parts: one edit leaves all parts of a line alone but one, so partners share a hash of
+the others, and only characters of the part between need to be deleted.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tierlake.operators.joins import measured_bytes
 from tierlake.session import materialize
 
 MIN_CHARS = 20
-PARTS = 8
-BROADCAST_ROWS = 400_000  # rows of at most some 100 bytes that may be broadcast instead of moving texts
+PARTS = 8                   # at least so many parts a line, and for long lines as many as a part has characters
+BROADCAST_BYTES = 16 << 20  # measured size up to which rows are broadcast instead of moving texts
 
 
 def _small(rows: DataFrame) -> DataFrame:
-    return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
+    return F.broadcast(rows) if measured_bytes(rows) <= BROADCAST_BYTES else rows
 
 
 def _texts(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
@@ -77,6 +79,25 @@ def _may_have_partner(classes: DataFrame) -> DataFrame:
     return classes.select("h", "first").join(_small(found), "h", "left_semi")
 
 
+def _parts(line: Column, less: int) -> Column:
+    """(less, key, before, part) of every part of a line that is ``less`` longer than its partner, as structs.
+
+    The key is the hash of what is outside of the part, see ``_part_keys``; ``before`` counts the characters
+    before it.
+    """
+    shorter = F.length(line) - less
+    parts = F.greatest(F.lit(PARTS), F.ceil(F.sqrt(shorter)).cast("int"))
+
+    def part(number: Column) -> Column:
+        before = F.floor(shorter * number / parts).cast("int")
+        behind = (shorter - F.floor(shorter * (number + 1) / parts)).cast("int")
+        inside = F.length(line) - before - behind
+        key = F.xxhash64(number, shorter, F.substring(line, F.lit(1), before), F.substring(line, F.length(line) - behind + 1, behind))
+        return F.struct(F.lit(less).alias("less"), key.alias("key"), before.alias("before"), F.substring(line, before + 1, inside).alias("part"))
+
+    return F.transform(F.sequence(F.lit(0), parts - 1), part)
+
+
 def near_lines(lines: DataFrame, candidates: DataFrame) -> DataFrame:
     """(h, partner) for each candidate line with an earlier one exactly one edit away; one or more rows.
 
@@ -85,28 +106,44 @@ def near_lines(lines: DataFrame, candidates: DataFrame) -> DataFrame:
     """
     found = lines.join(_small(candidates), "h").filter(F.struct("id", "at") == F.col("first"))
     texts = materialize(found.select("h", "first", "line").dropDuplicates(["h"]))
-    finer = F.array(*_part_keys(F.col("line"), PARTS, 0), *_part_keys(F.col("line"), PARTS, 1))
-    texts = texts.join(_small(_sharing(texts, finer)), "h", "left_semi")
-    places = F.sequence(F.lit(1), F.length("line"))
-    rests = F.transform(places, lambda i: F.xxhash64(F.concat(
-        F.substring("line", F.lit(1), i - 1), F.substring("line", i + 1, F.length("line")))))
-    deleted = texts.select("h", "first", F.posexplode(rests).alias("place", "rest"))
-    whole = texts.select(F.col("h").alias("h2"), F.col("first").alias("first2"), F.xxhash64("line").alias("rest"))
-    # one inserted character: the longer line's rest is the shorter line
-    inserted = deleted.join(whole, "rest")
+    spread = texts.select("h", "first", F.explode(F.concat(_parts(F.col("line"), 0), _parts(F.col("line"), 1))).alias("p")).select(
+        "h", "first", "p.*")
+    shared = spread.groupBy("key").agg(F.min("h").alias("one"), F.max("h").alias("two")).filter("one <> two").select("key")
+    spread = materialize(spread.join(shared, "key", "left_semi"))
+
+    def deletions(mark: Column) -> Column:
+        """(rest, at) with each character of the part deleted, ``at`` its place in the line."""
+        return F.transform(F.sequence(F.lit(1), F.length("part")), lambda i: F.struct(
+            F.xxhash64("key", F.concat(F.substring("part", F.lit(1), i - 1), mark, F.substring("part", i + 1, F.length("part")))).alias("rest"),
+            (F.col("before") + i - 1).alias("at")))
+
+    # one inserted character: the longer line's part without it is the shorter line's
+    longer = spread.filter("less = 1 AND part <> ''").select("h", "first", F.explode(deletions(F.lit(""))).alias("d"))
+    longer = longer.groupBy("h", "first", F.col("d.rest").alias("rest")).agg(F.min("d.at").alias("at"))
+    inserted = longer.join(spread.filter("less = 0").select(
+        F.col("h").alias("h2"), F.col("first").alias("first2"), F.xxhash64("key", "part").alias("rest")), "rest")
     later = F.col("first") > F.col("first2")
     inserted = inserted.filter(F.col("first") != F.col("first2")).select(
-        F.when(later, F.col("h")).otherwise(F.col("h2")).alias("h"),
-        F.when(later, F.col("h2")).otherwise(F.col("h")).alias("partner"))
-    # one substituted character: the same rest at the same place
-    earliest = deleted.groupBy("rest", "place").agg(
+        F.when(later, F.col("h")).otherwise(F.col("h2")).alias("h"), F.when(later, F.col("h2")).otherwise(F.col("h")).alias("partner"), "at")
+    # one substituted character: the same rest around the same place
+    deleted = spread.filter("less = 0 AND part <> ''").select("h", "first", F.explode(deletions(F.lit("\n"))).alias("d")).select(
+        "h", "first", "d.*")
+    earliest = deleted.groupBy("rest").agg(
         F.min(F.struct("first", "h")).alias("lead"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
-    substituted = deleted.join(earliest, ["rest", "place"]).filter("first > lead.first").select(
-        "h", F.col("lead.h").alias("partner"))
-    pairs = inserted.unionAll(substituted).distinct()
+    substituted = deleted.join(earliest, "rest").filter("first > lead.first").select("h", F.col("lead.h").alias("partner"), "at")
+    pairs = inserted.unionAll(substituted).groupBy("h", "partner").agg(F.min("at").alias("at"), F.max("at").alias("to"))
     own, other = texts.select("h", "line"), texts.select(F.col("h").alias("partner"), F.col("line").alias("other"))
-    return (pairs.join(own, "h").join(other, "partner")
-            .filter(F.levenshtein("line", "other", 1).between(0, 1)).select("h", "partner"))
+    return pairs.join(own, "h").join(other, "partner").filter(_one_edit_apart("at") | _one_edit_apart("to")).select("h", "partner")
+
+
+def _one_edit_apart(at: str) -> Column:
+    """Whether ``line`` and ``other`` are the same without the character at ``at``, of the longer one or of both."""
+    def without(c: str) -> Column:
+        return F.concat(F.substring(c, F.lit(1), F.col(at)), F.substring(c, F.col(at) + 2, F.length(c)))
+
+    more = F.length("line") - F.length("other")
+    return F.when(more == 0, without("line") == without("other")).when(more == 1, without("line") == F.col("other")).when(
+        more == -1, F.col("line") == without("other")).otherwise(False)
 
 
 def removed_lines(
@@ -144,7 +181,10 @@ def dedup_lines(
     rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc"), F.col(id_column).alias("own"),
                        F.xxhash64(text).alias("own_print"))
     joined = rows.join(gone, F.col("own").eqNullSafe(F.col("id")) & (F.col("own_print") == F.col("print")), "left")
-    lines = F.split(F.col("doc")[text_column], "\n")
+    # exploded from an array of one, the lines are a column of their own and not split anew for each line kept
+    whole = F.coalesce(F.split(F.col("doc")[text_column], "\n"), F.array().cast("array<string>"))
+    joined = joined.select("doc", "removed", F.explode(F.array(whole)).alias("lines"))
+    lines = F.col("lines")
     kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("removed"))
     shorter = F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n")
     return joined.select(

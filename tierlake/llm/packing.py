@@ -24,7 +24,8 @@ from tierlake.session import materialize
 CAPACITY = 1024
 GROUP_ROWS = 50_000   # pieces packed by one task
 ROUNDS = 4            # most exchanges; each must save sequences, so stopping early loses no document
-WORDS_KEPT = 1_000_000 # distinct words whose ids a worker keeps
+SLICE_BYTES = 4 << 20 # text tokenized at once
+WORDS_KEPT = 200_000  # distinct words whose ids a task keeps, some 200 bytes each
 _IRREGULAR = "[\\s\\x{0b}\\x{1c}-\\x{1f}\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}]"
 
 
@@ -37,7 +38,7 @@ def _byte_of() -> dict[str, int]:
 
 @lru_cache(maxsize=2)
 def _tokenizer(path: str):
-    """The tokenizer, the same vocabulary for ``tiktoken`` (many times faster on single words), known words."""
+    """The tokenizer, and the same vocabulary for ``tiktoken`` (many times faster on single words)."""
     import public_tokenizers
     import tiktoken
     from tokenizers import Tokenizer
@@ -45,22 +46,23 @@ def _tokenizer(path: str):
     ranks = {bytes(map(byte_of.__getitem__, t)): k for t, k in tokenizer.get_vocab(with_added_tokens=False).items()
              if t not in _specials(tokenizer)}
     words = tiktoken.Encoding(path, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-    return tokenizer, words, {}
+    return tokenizer, words
 
 
 def _specials(tokenizer) -> list[str]:
     return [t.content for t in tokenizer.get_added_tokens_decoder().values()]
 
 
-def encode_batch(texts: pa.Array, path: str) -> Iterator[np.ndarray]:
+def encode_batch(texts: pa.Array, path: str, known: dict[str, bytes] | None = None) -> Iterator[np.ndarray]:
     """Token ids of each text, just as the tokenizer at ``path`` gives them for the whole text.
 
     A byte-level tokenizer's pre-tokens end where a single space stands between two characters that
     are not white space, so texts without doubled, leading or trailing white space are split there
     and each distinct word is encoded once, by the same vocabulary and pattern. All other texts, and those that hold one of the
-    tokenizer's special strings, are encoded whole.
+    tokenizer's special strings, are encoded whole. ``known`` keeps the ids of words for further batches.
     """
-    tokenizer, encoder, known = _tokenizer(path)
+    tokenizer, encoder = _tokenizer(path)
+    known = {} if known is None else known
     odd = pc.match_substring_regex(texts, f"{_IRREGULAR}{{2}}|^{_IRREGULAR}|{_IRREGULAR}$")
     for special in _specials(tokenizer):
         odd = pc.or_(odd, pc.match_substring(texts, special))
@@ -101,6 +103,16 @@ def encode_batch(texts: pa.Array, path: str) -> Iterator[np.ndarray]:
         yield flat[np.repeat(starts[own] - ends + size, size) + np.arange(ends[-1] if len(ends) else 0)]
 
 
+def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Consecutive rows of some ``SLICE_BYTES`` of text, or single longer ones; memory is given back behind them."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    part = np.cumsum(sizes) // SLICE_BYTES
+    starts = np.flatnonzero(np.append(True, part[1:] != part[:-1])[:len(part)])
+    for low, high in zip(starts.tolist(), np.append(starts[1:], len(part)).tolist()):
+        yield batch.slice(low, high - low)
+    pa.default_memory_pool().release_unused()
+
+
 def cut(length: int, capacity: int) -> list[tuple[int, int]]:
     """(start, length) of a document's pieces: all full but for the first, which may be shorter."""
     head = length % capacity or min(length, capacity)
@@ -116,10 +128,11 @@ def tokenized_pieces(
     Each document is its text's ids, then ``end_id``, so a null or empty text is one piece of one id.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        known: dict[str, bytes] = {}
+        for batch in chain.from_iterable(map(_slices, batches)):
             texts = pc.fill_null(batch.column(1), "")
             rows, numbers, starts, lengths, sums, held = [], [], [], [], [], []
-            for row, ids in enumerate(encode_batch(texts, tokenizer_path)):
+            for row, ids in enumerate(encode_batch(texts, tokenizer_path, known)):
                 ids = np.append(ids, np.uint32(end_id)).astype("<u4")
                 for number, (start, length) in enumerate(cut(len(ids), capacity)):
                     own = ids[start:start + length]

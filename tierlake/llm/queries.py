@@ -162,7 +162,7 @@ SELECT query_id, rank, vec_id, score FROM (
 
 def op2_line_dedup(spark, folder):
     from tierlake.llm.lines import dedup_lines
-    return dedup_lines(table(spark, folder, "documents")).select(
+    return dedup_lines(table(spark, folder, "documents"), short_repeats=True).select(
         "doc.doc_id", "n_lines", "n_removed", F.length("doc.text").cast("long").alias("kept_chars"),
         F.sha2("doc.text", 256).alias("kept_sha256"))
 
@@ -171,18 +171,20 @@ def op2_line_dedup(spark, folder):
 CHECKS["op2_line_dedup"] = Check(op2_line_dedup, """
 WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
                   unnest(range(len(string_split(text, chr(10))))) AS at_line FROM documents),
-c AS (SELECT line, length(line) AS n, min((doc_id, at_line)) AS first FROM l WHERE length(line) >= 20 GROUP BY line),
-k AS (SELECT *, n - less AS m, (n - less) // 2 AS p FROM c, (VALUES (0), (1)) AS v(less)),
+c AS (SELECT line, length(line) AS n, min((doc_id, at_line)) AS first FROM l
+      WHERE length(line) >= 20 OR regexp_matches(line, '[^\\x09-\\x0D ]') GROUP BY line),
+k AS (SELECT *, n - less AS m, (n - less) // 2 AS p FROM c, (VALUES (0), (1)) AS v(less) WHERE n >= 20),
 h AS (SELECT line, first, m, 'a' || left(line, p) AS half FROM k UNION ALL
       SELECT line, first, m, 'b' || right(line, m - p) AS half FROM k),
 near AS (SELECT DISTINCT a.line FROM h a JOIN h b ON a.m = b.m AND a.half = b.half AND a.line <> b.line
          WHERE a.first > b.first AND abs(length(a.line) - length(b.line)) <= 1 AND levenshtein(a.line, b.line) <= 1),
-d AS (SELECT l.*, length(l.line) >= 20 AND (near.line IS NOT NULL OR (doc_id, at_line) > first) AS gone
+d AS (SELECT l.*, near.line IS NOT NULL OR coalesce((doc_id, at_line) > first, false) AS gone
       FROM l LEFT JOIN c USING (line) LEFT JOIN near ON near.line = l.line)
 SELECT doc_id, count(*)::BIGINT AS n_lines, (count(*) FILTER (gone))::BIGINT AS n_removed,
        length(coalesce(string_agg(line, chr(10) ORDER BY at_line) FILTER (NOT gone), ''))::BIGINT AS kept_chars,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY at_line) FILTER (NOT gone), '')) AS kept_sha256
 FROM d GROUP BY doc_id
+UNION ALL SELECT doc_id, 0, 0, NULL, NULL FROM documents WHERE text IS NULL
 """)
 
 
