@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from plans import final_plan, plan_text
 from tierlake.operators.dimension import dense_key, dimension
 from tierlake.operators.fact import aggregate, lookup_key
-from tierlake.operators.joins import asof_join, broadcast_limit, fits_broadcast, range_join, salted_join
+from tierlake.operators.scans import asof_join
+from tierlake.operators.joins import broadcast_limit, fits_broadcast, range_join, salted_join
 from tierlake.operators.quantiles import exact_median
 from tierlake.plans.gold import create_dimension_table, create_fact_table
 from tierlake.sources.snapshots import read_latest, write_snapshot
@@ -164,7 +165,7 @@ def test_asof_join_matches_brute_force(spark):
         "k string, ts string, v long").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
     found = {r["id"]: r["last_v"] for r in asof_join(left, right, "k", "ts", {"v": "last_v"}, tie="v").collect()}
     assert found == {1: 10, 2: 50, 3: None, 4: None, 5: None, 6: None}
-    coarse = {r["id"]: r["last_v"] for r in asof_join(left, right, "k", "ts", {"v": "last_v"}, "v", "1 minute").collect()}
+    coarse = {r["id"]: r["last_v"] for r in asof_join(left, right, "k", "ts", {"v": "last_v"}, "v", piece_rows=2).collect()}
     assert coarse == found
 
 

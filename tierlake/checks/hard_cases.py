@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from tierlake.checks import Check, gold, quality, table
 from tierlake.functions.payload import record_count
-from tierlake.operators.joins import asof_join, range_join
+from tierlake.operators.scans import asof_join
+from tierlake.operators.joins import range_join
 from tierlake.operators.metrics import layer_health, stored_mb, table_health
 from tierlake.plans.sqlsession import SqlSession
 from tierlake.session import shared_folder
@@ -46,7 +47,7 @@ def _asof_ties(tie):
         events = _hours(spark, folder)
         buys = events.where("event_type = 'purchase'").select("event_id", "user_id", "day")
         clicks = events.where("event_type = 'click'").select("user_id", "day", "name", (F.col("value") + F.col("event_id") / 1e7).alias("score"))
-        return asof_join(buys, clicks, "user_id", "day", {"name": "click"}, tie, "7 days")
+        return asof_join(buys, clicks, "user_id", "day", {"name": "click"}, tie)
 
     return run
 

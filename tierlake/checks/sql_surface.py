@@ -3,7 +3,8 @@
 from pyspark.sql import functions as F
 
 from tierlake.checks import Check, table
-from tierlake.operators.joins import asof_join, range_join
+from tierlake.operators.joins import range_join
+from tierlake.operators.scans import asof_join, first_value, in_pieces, range_sum
 from tierlake.plans.sqlsession import SqlSession
 from tierlake.session import scratch_root
 from tierlake.sources.snapshots import write_snapshot
@@ -14,10 +15,6 @@ _TABLES = (
 )
 
 
-_DAILY = """WITH daily AS (SELECT user_id, CAST(ts AS DATE) AS d, count(*) AS events, max(value) AS largest
-                       FROM events GROUP BY user_id, CAST(ts AS DATE))"""
-
-
 def _ask(text):
     """Run the text over views of the tables it mentions."""
 
@@ -56,7 +53,33 @@ def asof(spark, folder):
     events = table(spark, folder, "events")
     buys = events.where("event_type = 'purchase'").select("event_id", "user_id", "ts", "value")
     clicks = events.where("event_type = 'click'").select("user_id", "ts", "event_id", "value")
-    return asof_join(buys, clicks, "user_id", "ts", {"event_id": "click_id", "value": "click_value"}, "event_id", "6 hours")
+    return asof_join(buys, clicks, "user_id", "ts", {"event_id": "click_id", "value": "click_value"}, "event_id")
+
+
+def _events_in_pieces(spark, folder):
+    events = table(spark, folder, "events").withColumn("day", F.col("ts").cast("date"))
+    return in_pieces(events, ["user_id"], [F.col("ts").asc_nulls_first(), F.col("event_id").asc()])
+
+
+def analytic(spark, folder):
+    """Over all events, a user's rows in as many tasks as they need."""
+    found = _events_in_pieces(spark, folder).ranked(F.col("day"), "r", "dr").tiled(4, "quarter").near(
+        1, 2, previous=lambda w: F.lag("event_type").over(w), later=lambda w: F.lead("event_type", 2).over(w))
+    found = found.running(first_event=first_value(F.col("event_id"))).result()
+    return found.select("event_id", "user_id", F.col("r").cast("long"), F.col("dr").cast("long"), "quarter", "previous", "later", "first_event")
+
+
+def rows_frame(spark, folder):
+    found = _events_in_pieces(spark, folder).near(
+        3, 2, recent=lambda w: F.sum("event_id").over(w.rowsBetween(-3, 0)), peak=lambda w: F.max("value").over(w.rowsBetween(-3, 0)),
+        ahead=lambda w: F.min("value").over(w.rowsBetween(1, 2)))
+    return found.result().select("event_id", "recent", "peak", "ahead")
+
+
+def range_frame(spark, folder):
+    events = table(spark, folder, "events").select("event_id", "user_id", F.col("ts").cast("date").alias("day"))
+    found = range_sum(events, "user_id", "day", F.lit(1).cast("long"), F.date_sub("day", 3), "in_three_days")
+    return found.select("event_id", "in_three_days")
 
 
 def bands(spark, folder):
@@ -129,21 +152,19 @@ CHECKS = {
             SELECT o_custkey, o_orderkey,
                    row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS place FROM orders)
         WHERE place <= 3"""),
-    # windows over pre-aggregated rows: a user has one row a day, however many events
-    "s16_analytic": _same(f"""
-        {_DAILY} SELECT user_id, CAST(d AS STRING) AS day, CAST(rank() OVER w AS BIGINT) AS r, CAST(dense_rank() OVER w AS BIGINT) AS dr,
-               CAST(ntile(4) OVER t AS BIGINT) AS quarter, lag(events) OVER t AS previous, lead(events, 2) OVER t AS later,
-               first_value(events) OVER t AS first_day
-        FROM daily WINDOW w AS (PARTITION BY user_id ORDER BY events DESC), t AS (PARTITION BY user_id ORDER BY d)"""),
-    "s17_rows_frame": _same(f"""
-        {_DAILY} SELECT user_id, CAST(d AS STRING) AS day, CAST(sum(events) OVER (PARTITION BY user_id ORDER BY d
-                                                        ROWS BETWEEN 3 PRECEDING AND CURRENT ROW) AS BIGINT) AS recent,
-               max(largest) OVER (PARTITION BY user_id ORDER BY d ROWS BETWEEN 1 FOLLOWING AND 2 FOLLOWING) AS ahead
-        FROM daily"""),
-    "s17_range_frame": _same(f"""
-        {_DAILY} SELECT user_id, CAST(d AS STRING) AS day, CAST(sum(events) OVER (PARTITION BY user_id ORDER BY d
-            RANGE BETWEEN INTERVAL '2' DAY PRECEDING AND CURRENT ROW) AS BIGINT) AS in_three_days
-        FROM daily"""),
+    "s16_analytic": Check(analytic, """
+        SELECT event_id, user_id, rank() OVER w AS r, dense_rank() OVER w AS dr, ntile(4) OVER t AS quarter,
+               lag(event_type) OVER t AS previous, lead(event_type, 2) OVER t AS later, first_value(event_id) OVER t AS first_event
+        FROM events WINDOW w AS (PARTITION BY user_id ORDER BY CAST(ts AS DATE)), t AS (PARTITION BY user_id ORDER BY ts, event_id)"""),
+    "s17_rows_frame": Check(rows_frame, """
+        SELECT event_id, CAST(sum(event_id) OVER (t ROWS BETWEEN 3 PRECEDING AND CURRENT ROW) AS BIGINT) AS recent,
+               max(value) OVER (t ROWS BETWEEN 3 PRECEDING AND CURRENT ROW) AS peak,
+               min(value) OVER (t ROWS BETWEEN 1 FOLLOWING AND 2 FOLLOWING) AS ahead
+        FROM events WINDOW t AS (PARTITION BY user_id ORDER BY ts, event_id)"""),
+    "s17_range_frame": Check(range_frame, """
+        SELECT event_id, count(*) OVER (PARTITION BY user_id ORDER BY CAST(ts AS DATE)
+                                        RANGE BETWEEN INTERVAL 2 DAY PRECEDING AND CURRENT ROW) AS in_three_days
+        FROM events"""),
     "s18_top_k": _same("""
         SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice FROM lineitem
         ORDER BY l_extendedprice DESC, l_orderkey, l_linenumber, l_partkey, l_suppkey LIMIT 100 OFFSET 50"""),

@@ -1,10 +1,10 @@
-"""Lookup, as-of and range joins that stay balanced when one key holds most rows."""
+"""Lookup and range joins that stay balanced when one key holds most rows; as-of joins are in ``scans``."""
 
 from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -97,67 +97,6 @@ def salted_join(left: DataFrame, right: DataFrame, on: list[str], how: str, targ
     return salted_left.join(salted_right, [*on, SALT], how).drop(SALT)
 
 
-def asof_join(
-    left: DataFrame,
-    right: DataFrame,
-    key: str,
-    ts: str,
-    values: dict[str, str],
-    tie: str | None = None,
-    bucket: str = "1 hour",
-) -> DataFrame:
-    """Every left row with ``values`` of the latest right row of its key at or before its time.
-
-    ``values`` maps right columns to output names. Rows of equal key and time are ordered by
-    ``tie``, of any type with an order, nulls first. Left rows without key or time find nothing
-    and stay where they are. Each key is cut into time buckets, so that a hot key is sorted by many tasks; the
-    state to carry into a bucket is the last right row of the earlier ones, computed from one
-    pre-aggregated row per key and bucket.
-    """
-    picked = list(values)
-    ts_type = left.schema[ts].dataType
-    start = F.window(named(ts), bucket)["start"].cast(ts_type)
-    tie_type = right.schema[tie].dataType if tie else T.LongType()
-    whole = named(key).isNotNull() & named(ts).isNotNull()
-    state = F.struct(*[named(c).alias(values[c]) for c in picked])
-    # side orders rows of the same instant: carried state, then right rows, then left rows
-    right_rows = right.select(
-        named(key).alias("_k"), named(ts).alias("_t"), start.alias("_b"), F.lit(1).alias("_side"),
-        (named(tie) if tie else F.lit(0).cast("long")).alias("_tie"),
-        state.alias("_state"),
-    ).where(F.col("_k").isNotNull() & F.col("_t").isNotNull())
-    left_rows = left.where(whole).select(
-        named(key).alias("_k"), named(ts).alias("_t"), start.alias("_b"), F.lit(2).alias("_side"),
-        F.lit(None).cast(tie_type).alias("_tie"), F.struct(*[named(c) for c in left.columns]).alias("_row"),
-    )
-    ends = right_rows.groupBy("_k", "_b").agg(
-        F.max_by("_state", F.struct("_t", "_tie")).alias("_end")
-    )
-    touched = left_rows.select("_k", "_b").distinct()
-    before = Window.partitionBy("_k").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    carried = (
-        touched.join(ends, ["_k", "_b"], "full")
-        .withColumn("_state", F.last("_end", ignorenulls=True).over(before))
-        .where(F.col("_state").isNotNull())
-        .select("_k", F.col("_b").alias("_t"), "_b", F.lit(0).alias("_side"),
-                F.lit(None).cast(tie_type).alias("_tie"), "_state")
-    )
-    latest = (
-        Window.partitionBy("_k", "_b").orderBy("_t", "_side", "_tie")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    merged = (
-        right_rows.unionByName(carried)
-        .unionByName(left_rows, allowMissingColumns=True)
-        .withColumn("_found", F.last("_state", ignorenulls=True).over(latest))
-        .where(F.col("_side") == 2)
-    )
-    outputs = [F.col("_found")[name].alias(name) for name in values.values()]
-    unmatched = left.where(~whole).select(
-        *map(named, left.columns), *[F.lit(None).cast(right.schema[c].dataType).alias(n) for c, n in values.items()])
-    return merged.select("_row.*", *outputs).unionAll(unmatched)
-
-
 def range_join(
     points: DataFrame,
     ranges: DataFrame,
