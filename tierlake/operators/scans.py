@@ -14,7 +14,7 @@ is completed by windows over itself alone, with what it needs from others added
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -75,10 +75,25 @@ def last_known(c: Column) -> Running:
 
 @dataclass(frozen=True)
 class Pieces:
-    """Rows in global order: ``_piece`` numbers the segments, ``_at`` the rows of a segment."""
+    """Rows in global order: ``_piece`` numbers the segments, ``_at`` the rows of a segment.
+
+    A step reads the rows several times, so what an earlier step has added is written first.
+    """
 
     rows: DataFrame
     key: tuple[str, ...]
+    written: bool = False
+
+    def _write(self) -> Pieces:
+        return self if self.written else Pieces(materialize(self.rows), self.key, True)
+
+    def _step(self, rows: DataFrame) -> Pieces:
+        return Pieces(rows, self.key)
+
+    def _numbered(self) -> Pieces:
+        """With ``_pos``, the row's number within its key."""
+        found = self if "_pos" in self.rows.columns else self.running(_pos=running_count())
+        return found._write()
 
     def _spec(self, order: str = "_at") -> WindowSpec:
         return Window.partitionBy("_piece", *map(named, self.key)).orderBy(order)
@@ -100,6 +115,7 @@ class Pieces:
 
     def running(self, **columns: Running) -> Pieces:
         """Each row with the running values, up to and with itself."""
+        self = self._write()
         summed = self._summaries({f"_s_{n}": c.summary for n, c in columns.items()})
         before = Window.partitionBy(*map(named, self.key)).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
         carried = summed.withColumns({f"_c_{n}": c.merge(F.col(f"_s_{n}"), before) for n, c in columns.items()})
@@ -107,35 +123,37 @@ class Pieces:
         found = self.rows.withColumns({f"_h_{n}": c.here(here) for n, c in columns.items()})
         found = self._with(found, carried, [f"_c_{n}" for n in columns])
         joined = found.withColumns({n: c.join(F.col(f"_c_{n}"), F.col(f"_h_{n}")) for n, c in columns.items()})
-        return replace(self, rows=joined.drop(*(f"_{x}_{n}" for x in "ch" for n in columns)))
+        return self._step(joined.drop(*(f"_{x}_{n}" for x in "ch" for n in columns)))
 
     def numbered(self, name: str = "row_number") -> Pieces:
-        return self.running(**{name: running_count()})
+        numbered = self._numbered()
+        return self._step(numbered.rows.withColumn(name, F.col("_pos")))
 
     def totals(self, name: str = "total") -> Pieces:
         """Each row with the number of its key's rows."""
+        self = self._write()
         summed = self._summaries({"_n": F.count(F.lit(1))})
         whole = summed.withColumn("_whole", F.sum("_n").over(Window.partitionBy(*map(named, self.key))))
         own = F.count(F.lit(1)).over(Window.partitionBy("_piece", *map(named, self.key)))
         found = self._with(self.rows.withColumn("_own_rows", own), whole, ["_whole"])
-        return replace(self, rows=found.withColumn(name, F.coalesce("_whole", "_own_rows")).drop("_whole", "_own_rows"))
+        return self._step(found.withColumn(name, F.coalesce("_whole", "_own_rows")).drop("_whole", "_own_rows"))
 
     def ranked(self, peers: Column, rank: str = "rank", dense_rank: str = "dense_rank") -> Pieces:
         """SQL's ranks; rows of a key with equal ``peers`` must follow each other."""
-        held = F.struct(peers.alias("v"))
-        marked = replace(self, rows=self.rows.withColumn("_peers", held)).numbered("_number").near(
+        marked = self._step(self._numbered().rows.withColumn("_peers", F.struct(peers.alias("v")))).near(
             1, 0, _before=lambda w: F.lag("_peers").over(w))
-        marked = replace(marked, rows=marked.rows.withColumn("_new", F.col("_before").isNull() | ~F.col("_before").eqNullSafe(F.col("_peers"))))
-        ranks = marked.running(**{rank: running_max(F.when(F.col("_new"), F.col("_number"))), dense_rank: running_sum(F.col("_new").cast("long"))})
-        return replace(ranks, rows=ranks.rows.drop("_peers", "_before", "_new", "_number"))
+        new = F.col("_before").isNull() | ~F.col("_before").eqNullSafe(F.col("_peers"))
+        ranks = self._step(marked.rows.withColumn("_new", new)).running(
+            **{rank: running_max(F.when(F.col("_new"), F.col("_pos"))), dense_rank: running_sum(F.col("_new").cast("long"))})
+        return self._step(ranks.rows.drop("_peers", "_before", "_new"))
 
     def tiled(self, tiles: int, name: str = "ntile") -> Pieces:
         """SQL's ntile: the first tiles have one row more where rows do not divide."""
-        found = self.numbered("_number").totals("_total")
-        size, more, at = F.floor(F.col("_total") / tiles), F.col("_total") % tiles, F.col("_number") - 1
+        found = self._numbered().totals("_total")
+        size, more, at = F.floor(F.col("_total") / tiles), F.col("_total") % tiles, F.col("_pos") - 1
         wide = more * (size + 1)
         tile = F.when(at < wide, F.floor(at / (size + 1))).otherwise(more + F.floor((at - wide) / F.greatest(size, F.lit(1)))) + 1
-        return replace(found, rows=found.rows.withColumn(name, tile.cast("long")).drop("_number", "_total"))
+        return self._step(found.rows.withColumn(name, tile.cast("long")).drop("_total"))
 
     def near(self, before: int, after: int, **columns: Callable[[WindowSpec], Column]) -> Pieces:
         """Columns over a window that looks at most ``before`` rows back and ``after`` rows ahead.
@@ -143,7 +161,7 @@ class Pieces:
         Each piece gets copies of so many rows of its first key from the pieces before it, and of its
         last key from those behind it.
         """
-        numbered = replace(self, rows=self.numbered("_pos").rows)
+        numbered = self._numbered()
         bounds = numbered._summaries({"_low": F.min("_pos"), "_high": F.max("_pos")}).filter("_pieces > 1").drop("_pieces")
         names = {k: f"_own{i}" for i, k in enumerate(self.key)}
         targets = bounds.select(F.col("_piece").alias("_to"), F.col("_low").alias("_first"), F.col("_high").alias("_last"),
@@ -157,12 +175,12 @@ class Pieces:
             F.col("_last") + 1, F.col("_last") + after)
         halo = edges.join(F.broadcast(targets), on & reach).withColumn("_piece", F.col("_to")).select(
             *map(named, numbered.rows.columns), F.lit(True).alias("_halo"))
-        whole = replace(self, rows=numbered.rows.withColumn("_halo", F.lit(False)).unionByName(halo))
+        whole = self._step(numbered.rows.withColumn("_halo", F.lit(False)).unionByName(halo))
         found = whole.rows.withColumns({n: c(whole._spec("_pos")) for n, c in columns.items()})
-        return replace(self, rows=found.filter(~F.col("_halo")).drop("_halo", "_pos"))
+        return self._step(found.filter(~F.col("_halo")).drop("_halo"))
 
     def result(self) -> DataFrame:
-        return self.rows.drop("_piece", "_at")
+        return self.rows.drop("_piece", "_at", "_pos")
 
 
 def in_pieces(df: DataFrame, key: list[str], order: list[Column], piece_rows: int = PIECE_ROWS) -> Pieces:
@@ -177,7 +195,7 @@ def in_pieces(df: DataFrame, key: list[str], order: list[Column], piece_rows: in
     spread = df.coalesce(1) if pieces == 1 else df.repartitionByRange(pieces, *by)
     cut = spread.sortWithinPartitions(*by).withColumns({
         "_piece": F.spark_partition_id(), "_at": F.monotonically_increasing_id() % (1 << 33)})
-    return Pieces(materialize(cut), tuple(key))
+    return Pieces(materialize(cut), tuple(key), True)
 
 
 def asof_join(
