@@ -12,7 +12,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +31,8 @@ LETTERS = 63              # commonest letters the language model tells apart; al
 LABELLED = 40_000         # most labelled rows learnt from, those of smallest hash
 EVIDENCE = 20_000         # most pieces of evidence kept, the most telling ones
 LEAST_DOCUMENTS = 3       # labelled toxic documents a piece of evidence must occur in
-REMEMBERED = 100_000      # words a task remembers
+REMEMBERED = 100_000      # words of a generation that a task remembers
+STEMS = (3, 4, 5, 6, 7)   # lengths of the beginnings that are evidence
 _PIECE = 1 << 20          # characters counted at once
 
 _WORDS = re.compile(r"[^\W_]+")
@@ -43,6 +44,7 @@ _MIXED = re.compile(rf"[{_LEET}*._-]")
 _DOUBLE = re.compile(r"(.)\1+")
 _TRIPLE = re.compile(r"(.)\1\1")
 _BEHIND = ".,;:!?\"')]}"
+_QUOTES = "\"'[{"
 _TAIL = re.compile(r"([^\w\s])\1+$")
 
 
@@ -53,6 +55,11 @@ class LanguageModel:
     letters: str
     costs: np.ndarray
 
+    @cached_property
+    def span(self) -> float:
+        """What the dearest trigram costs more than the cheapest one."""
+        return float(self.costs.max()) - float(self.costs.min())
+
     def code(self, char: str) -> int:
         return self.letters.find(char) + 1 or (len(self.letters) + 1 if char.isalpha() else 0)
 
@@ -133,14 +140,18 @@ def decode(stretch: str, model: LanguageModel) -> str:
     Viterbi over states of the last two characters read. A state is given up only where no onward
     reading can make it the best: two states that read the same on differ in their next two costs alone.
     """
-    costs, code = model.costs, model.code
-    reach = 2 * (float(costs.max()) - float(costs.min())) + DROP_GAP
+    cost_of = model.costs.item
+    codes = {" ": 0}
+    reach = 2 * model.span + DROP_GAP
     paths: dict[tuple[str, str], tuple[float, tuple]] = {(" ", " "): (0.0, ())}
     before, same = "", 0
     for char in stretch.lower():
         same = same + 1 if char == before else 0
         before = char
         options = _readings(char, same)
+        for letter, _ in options:
+            if letter and letter not in codes:
+                codes[letter] = model.code(letter)
         after: dict[tuple[str, str], tuple[float, tuple]] = {}
         for (a, b), (cost, trail) in paths.items():
             for letter, extra in options:
@@ -148,7 +159,7 @@ def decode(stretch: str, model: LanguageModel) -> str:
                     state, total, onward = (a, b), cost + extra, trail
                 else:
                     state = (b, letter)
-                    total = cost + extra + costs[code(a), code(b), code(letter)]
+                    total = cost + extra + cost_of(codes[a], codes[b], codes[letter])
                     onward = (trail, letter)
                 if state not in after or total < after[state][0]:
                     after[state] = (total, onward)
@@ -156,7 +167,7 @@ def decode(stretch: str, model: LanguageModel) -> str:
             limit = min(c for c, _ in after.values()) + reach
             after = {state: path for state, path in after.items() if path[0] <= limit}
         paths = after
-    _, trail = min(((c + costs[code(a), code(b), 0], t) for (a, b), (c, t) in paths.items()), key=lambda p: p[0])
+    _, trail = min(((c + cost_of(codes[a], codes[b], 0), t) for (a, b), (c, t) in paths.items()), key=lambda p: p[0])
     read = []
     while trail:
         trail, letter = trail
@@ -171,7 +182,7 @@ def _core(token: str) -> str:
 
 def _cores(token: str) -> list[str]:
     """The token's core, and the one with a leading ``(`` that may stand for a letter."""
-    core, opened = _core(token), token.lstrip("\"'[{")
+    core, opened = _core(token), token.lstrip(_QUOTES)
     return [core, "(" + core] if core and opened.startswith("(") else [core]
 
 
@@ -194,6 +205,7 @@ class Restorer:
     def __init__(self, model: LanguageModel, telling: frozenset[str] | None = None):
         self.model, self.known = model, {}
         self.hidden = None if telling is None else frozenset(map(_squeezed, telling))
+        self.lengths = sorted({len(word) for word in self.hidden or () if len(word) > 1})
 
     def doubled(self, core: str) -> bool:
         if not _DOUBLE.search(core) or not core.isalpha():
@@ -201,10 +213,15 @@ class Restorer:
         if self.hidden is None:
             return True
         word = _squeezed(core)
-        return any(word[:k] in self.hidden for k in range(2, len(word) + 1))
+        for k in self.lengths:
+            if k > len(word):
+                break
+            if word[:k] in self.hidden:
+                return True
+        return False
 
     def read(self, token: str) -> tuple[str, ...]:
-        plain = token.lstrip("\"'[{").rstrip(_BEHIND)
+        plain = token.lstrip(_QUOTES).rstrip(_BEHIND)
         if plain.isalpha() and not (_DOUBLE.search(plain) and (_TRIPLE.search(plain) or self.doubled(plain))):
             return (plain,)  # most tokens
         words = _WORDS.findall(token)
@@ -238,23 +255,41 @@ class Restorer:
 
 
 class Weigher(dict):
-    """The weight of the most telling evidence in a token, remembered."""
+    """The weight of the most telling evidence in a token, remembered in two generations of words."""
 
     def __init__(self, language: LanguageModel, weights: dict[str, float]):
         super().__init__()
         self.restorer = Restorer(language, frozenset(e.rstrip("*") for e in weights))
         self.weights, self.openings = weights, {e.rstrip("*")[:3] for e in weights}
+        stems = {e[:-1]: w for e, w in weights.items() if e.endswith("*")}
+        # the largest weight of a stem and of those it begins with
+        self.stems = {s: max(stems.get(s[:k], 0.0) for k in range(1, len(s) + 1)) for s in stems}
+        self.older: dict[str, float] = {}
 
     def __missing__(self, token: str) -> float:
+        found = self.older.get(token)
+        if found is None:
+            plain = token.lstrip(_QUOTES).rstrip(_BEHIND)
+            if plain.isalpha() and not _DOUBLE.search(plain):
+                found = self.word(plain)  # most tokens
+            else:
+                found = max(map(self.word, self.restorer.read(token)), default=0.0)
         if len(self) >= REMEMBERED:
+            self.older = dict(self)
             self.clear()
-        found = self[token] = max((self.word(w) for w in self.restorer.read(token)), default=0.0)
+        self[token] = found
         return found
 
     def word(self, word: str) -> float:
+        """The largest weight of what ``evidence_of`` gives."""
         if word[:3] not in self.openings:
             return 0.0
-        return max((self.weights.get(e, 0.0) for e in evidence_of(word)), default=0.0)
+        found = self.weights.get(word, 0.0)
+        for k in range(min(STEMS[-1], len(word) - 1), STEMS[0] - 1, -1):
+            stem = self.stems.get(word[:k])
+            if stem is not None:
+                return max(found, stem)
+        return found
 
     def signals(self, text: str) -> list[float]:
         """What the score is made from: sums, counts and the largest of the weights, and the text's length."""
@@ -269,7 +304,7 @@ class Weigher(dict):
 
 def evidence_of(word: str) -> list[str]:
     """A word stands for itself and for words with the same beginning."""
-    return [word] + [word[:k] + "*" for k in (3, 4, 5, 6, 7) if len(word) > k]
+    return [word] + [word[:k] + "*" for k in STEMS if len(word) > k]
 
 
 def _fit_logistic(rows: np.ndarray, labels: np.ndarray) -> np.ndarray:
@@ -290,12 +325,16 @@ def _count_evidence(samples: DataFrame, model: LanguageModel) -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         restorer = Restorer(model, frozenset())
         for batch in batches:
-            seen: Counter = Counter()
+            seen: dict[tuple[int, int], Counter] = {}
             for text, label, half in zip(batch.column(0), *(batch.column(k).to_pylist() for k in (1, 2))):
                 words = restorer.words(text.as_py() or "")
-                seen.update((e, half, label) for e in {e for w in words for e in evidence_of(w)} | {""})
-            names = [pa.array([k[i] for k in seen], kind) for i, kind in enumerate((pa.string(), pa.int32(), pa.int32()))]
-            yield pa.RecordBatch.from_arrays([*names, pa.array(list(seen.values()), pa.int64())], ["e", "half", "label", "n"])
+                found = {""}.union(words, *({w[:k] + "*" for w in words if len(w) > k} for k in STEMS))
+                seen.setdefault((half, label), Counter()).update(found)
+            for (half, label), counts in seen.items():
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(list(counts), pa.string()), pa.array([half] * len(counts), pa.int32()),
+                     pa.array([label] * len(counts), pa.int32()), pa.array(list(counts.values()), pa.int64())],
+                    ["e", "half", "label", "n"])
 
     found = samples.select("text", "label", "half").mapInArrow(count, "e string, half int, label int, n long")
     return found.groupBy("e", "half").agg(
