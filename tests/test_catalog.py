@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import Observation, functions as F
 
 from tierlake.operators import catalog as C
 from tierlake.sources.catalogstore import Catalog
@@ -114,3 +115,44 @@ def test_publish(catalog, spark, tmp_path):
     assert catalog.latest_schema("t", "silver") == {"id": "bigint"}
     assert catalog.column_stats().first()["row_count"] == 5
     assert len(catalog.lineage("t", "silver")["upstream"]) == 2
+
+
+def _plain_statistics(df, name):
+    """Counts by Spark's own distinct, one column at a time."""
+    held = df.where(F.col(f"`{name}`").isNotNull())
+    return df.count(), df.count() - held.count(), held.select(f"`{name}`").distinct().count()
+
+
+def test_statistics_of_many_types_in_one_scan(spark):
+    long_text = "x" * 40
+    rows = spark.createDataFrame(
+        [(1, "a", long_text, 0.0, [1, None], ("p", None), {"k": 1}, b"\x00", "2024-01-01 10:00:00.000001"),
+         (2, "a", long_text + "y", -0.0, [1], (None, "p"), {"k": 2}, b"\x00" * 50, "2024-01-01 10:00:00.000002"),
+         (2, None, None, None, None, None, None, None, None),
+         (1, "", "x" * 32, 1.5, [None, 1], ("p", None), {"k": 1}, b"", "2024-01-01 10:00:00.000001")],
+        "at int, `a b.c` string, digest string, v double, items array<int>, pair struct<x: string, y: string>,"
+        " m map<string, int>, raw binary, shown string")
+    df = rows.withColumn("ts", F.col("shown").cast("timestamp")).withColumn("nested", F.array("ts"))
+    found = {r["column_name"]: r for r in C.column_statistics(df).collect()}
+    assert list(found) == df.columns
+    for name in df.columns:
+        if name != "m":
+            assert tuple(found[name])[1:4] == _plain_statistics(df, name), name
+    assert tuple(found["m"])[1:] == (4, 1, 2, '{"k":1}', '{"k":2}')
+    assert tuple(found["at"])[4:] == ("1", "2") and tuple(found["a b.c"])[4:] == ("", "a")
+    assert found["ts"]["max_value"] == "2024-01-01 10:00:00.000002" and found["digest"]["max_value"] == long_text + "y"
+
+
+def test_statistics_of_no_rows(spark):
+    for df in (spark.createDataFrame([], "a int, t string"), spark.range(5).where("id > 7").selectExpr("id AS a", "'t' AS t")):
+        assert [tuple(r) for r in C.column_statistics(df).collect()] == [("a", 0, 0, 0, None, None), ("t", 0, 0, 0, None, None)]
+
+
+def test_statistics_of_a_wide_table_read_it_once(spark, tmp_path):
+    columns = [f"c{i}" for i in range(300)]
+    spark.range(50).select(*((F.col("id") % (i + 1)).alias(c) for i, c in enumerate(columns))).write.parquet(f"{tmp_path}/wide")
+    wide = spark.read.parquet(f"{tmp_path}/wide")
+    plan = C._counted(wide, columns, Observation())._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("FileScan") == 1 and plan.count("Generate") == 1 and "Expand" not in plan and "Join" not in plan
+    found = {r["column_name"]: tuple(r)[1:] for r in C.column_statistics(wide).collect()}
+    assert found == {c: (50, 0, min(i + 1, 50), "0", str(min(i, 49))) for i, c in enumerate(columns)}

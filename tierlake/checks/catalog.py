@@ -35,12 +35,16 @@ def columns(spark, folder):
     return C.current_columns(_column_log(spark, folder))
 
 
+_LINE_COLUMNS = (
+    "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+    "l_returnflag", "l_linestatus", "l_shipdate")
+
+
 def statistics(spark, folder):
     lines = table(spark, folder, "lineitem").withColumn(
         "l_returnflag", F.nullif("l_returnflag", F.lit("A"))).withColumn(
         "l_tax", F.when(F.col("l_linestatus") == "O", F.lit(float("nan"))).otherwise(F.col("l_tax")))
-    wanted = ["l_orderkey", "l_linenumber", "l_returnflag", "l_shipdate", "l_tax"]
-    return C.column_statistics(lines, wanted)
+    return C.column_statistics(lines)
 
 
 def text_statistics(spark, folder):
@@ -148,18 +152,12 @@ CHECKS = {
                arg_min(l_linestatus = 'O', seq) AS is_nullable, arg_min(l_returnflag = 'A', seq) AS is_partition_key
         FROM (SELECT *, CAST(round(l_extendedprice * 100) AS BIGINT) * 1000000 + l_partkey AS seq FROM lineitem) GROUP BY l_orderkey, l_linenumber"""),
     "k3_column_statistics": Check(statistics, """
-        SELECT 'l_orderkey' AS column_name, count(*) AS row_count, count(*) - count(l_orderkey) AS null_count,
-               count(DISTINCT l_orderkey) AS distinct_count, CAST(min(l_orderkey) AS VARCHAR) AS min_value,
-               CAST(max(l_orderkey) AS VARCHAR) AS max_value FROM lineitem
-        UNION ALL SELECT 'l_linenumber', count(*), 0, count(DISTINCT l_linenumber), CAST(min(l_linenumber) AS VARCHAR),
-               CAST(max(l_linenumber) AS VARCHAR) FROM lineitem
-        UNION ALL SELECT 'l_returnflag', count(*), count(*) FILTER (WHERE l_returnflag = 'A'),
-               count(DISTINCT nullif(l_returnflag, 'A')), min(nullif(l_returnflag, 'A')), max(nullif(l_returnflag, 'A')) FROM lineitem
-        UNION ALL SELECT 'l_shipdate', count(*), 0, count(DISTINCT l_shipdate), CAST(min(l_shipdate) AS VARCHAR),
-               CAST(max(l_shipdate) AS VARCHAR) FROM lineitem
-        UNION ALL SELECT 'l_tax', count(*), count(*) FILTER (WHERE l_linestatus = 'O'),
-               count(DISTINCT l_tax) FILTER (WHERE l_linestatus <> 'O'), CAST(min(l_tax) FILTER (WHERE l_linestatus <> 'O') AS VARCHAR),
-               CAST(max(l_tax) FILTER (WHERE l_linestatus <> 'O') AS VARCHAR) FROM lineitem"""),
+        WITH l AS (SELECT * REPLACE (nullif(l_returnflag, 'A') AS l_returnflag,
+                                     CASE WHEN l_linestatus <> 'O' THEN l_tax END AS l_tax) FROM lineitem)
+        """ + " UNION ALL ".join(f"""
+        SELECT '{c}' AS column_name, count(*) AS row_count, count(*) - count({c}) AS null_count,
+               count(DISTINCT {c}) AS distinct_count, CAST(min({c}) AS VARCHAR) AS min_value,
+               CAST(max({c}) AS VARCHAR) AS max_value FROM l""" for c in _LINE_COLUMNS)),
     "k3_text_statistics": Check(text_statistics, """
         SELECT 'doc_id' AS column_name, count(*) AS row_count, CAST(0 AS BIGINT) AS null_count,
                count(DISTINCT doc_id) AS distinct_count, CAST(min(doc_id) AS VARCHAR) AS min_value,

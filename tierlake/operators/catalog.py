@@ -4,14 +4,19 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tierlake.functions.columns import missing, named, present
+from tierlake.functions.columns import is_floating, present
 from tierlake.operators.joins import lookup_join
+from tierlake.session import materialize
 
 DIGEST_BYTES = 32
+NESTED = (T.ArrayType, T.StructType, T.MapType)
+#: JSON that tells apart whatever differs: nulls are kept, times have all their digits.
+WHOLE_JSON = {"ignoreNullFields": "false", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+              "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
 TABLE_KEY = ("name", "layer")
 COLUMN_KEY = ("table_name", "layer", "column_name")
 VERSION_KEY = ("table_name", "layer")
@@ -37,49 +42,59 @@ def current_columns(log: DataFrame) -> DataFrame:
     ).select(*COLUMN_KEY, "_now.*", "_first.*")
 
 
-def _long_texts(df: DataFrame, columns: list[str]) -> set[str]:
-    """Text columns whose first rows are longer than a digest on average."""
-    texts = [c for c in columns if isinstance(df.schema[c].dataType, (T.StringType, T.BinaryType))]
-    if not texts:
-        return set()
-    head = df.select(*map(named, texts)).limit(1000)
-    mean = head.agg(*[F.avg(F.octet_length(named(c))).alias(f"m{i}") for i, c in enumerate(texts)]).first()
-    return {c for c, length in zip(texts, mean) if (length or 0) > 2 * DIGEST_BYTES}
+def _digest(df: DataFrame, name: str) -> Column:
+    """Binary that is equal exactly for equal values of a column; null where the value is missing.
+
+    Below ``DIGEST_BYTES`` bytes it is the value written out, else its SHA-256, so the two never meet.
+    """
+    dtype, value = df.schema[name].dataType, present(df, name)
+    if is_floating(dtype):
+        value = value + F.lit(0.0)  # of the two zeros one
+    elif isinstance(dtype, T.TimestampType):
+        value = F.unix_micros(value)  # a time shown in a zone can stand for two
+    elif isinstance(dtype, NESTED):
+        value = F.to_json(value, WHOLE_JSON)
+    if not isinstance(dtype, T.BinaryType):
+        value = value.cast("string").cast("binary")
+    return F.when(F.octet_length(value) < DIGEST_BYTES, value).otherwise(F.unhex(F.sha2(value, 256)))
+
+
+def _bounds(df: DataFrame, name: str) -> tuple[Column, Column]:
+    """Least and greatest value of a column as text; maps, which have no order, by their JSON."""
+    dtype, value = df.schema[name].dataType, present(df, name)
+    if isinstance(dtype, T.MapType):
+        value = F.to_json(value)
+    shown = F.to_json if isinstance(dtype, (T.ArrayType, T.StructType)) else lambda c: c.cast("string")
+    return shown(F.min(value)), shown(F.max(value))
+
+
+def _counted(df: DataFrame, wanted: list[str], seen: Observation) -> DataFrame:
+    """(at, row_count, null_count, distinct_count) by the column's place; ``seen`` observes the bounds."""
+    bounds = [bound for name in wanted for bound in _bounds(df, name)]
+    pairs = df.observe(seen, *(b.alias(f"b{i}") for i, b in enumerate(bounds))).select(
+        F.posexplode(F.array(*(_digest(df, name) for name in wanted))).alias("at", "digest"))
+    return pairs.groupBy("at", "digest").agg(F.count(F.lit(1)).alias("n")).groupBy("at").agg(
+        F.sum("n").alias("row_count"), F.coalesce(F.sum(F.when(F.col("digest").isNull(), F.col("n"))), F.lit(0)).alias("null_count"),
+        F.count("digest").alias("distinct_count"))
 
 
 def column_statistics(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Rows, nulls (NaN included), distinct values, least and greatest value of each column.
 
-    Every column is scanned on its own, which for Parquet reads the table once in total, and
-    counted per value first: one shuffle of distinct values, no copy of the rows per column
-    as several ``count_distinct`` in one aggregate would make. Long texts are shuffled as
-    their SHA-256, their bounds come from a second, shuffle-free pass.
+    One scan and two shuffles, however many columns there are: each row becomes (column number, digest of
+    the value) pairs that are counted on the map side, then the distinct ones are counted per column. The
+    bounds are observed beside that scan. So this runs a job; what reaches the driver is two values a column.
+    An empty table has a row for each column, with zero counts.
     """
-    wanted = columns or df.columns
-    long_texts = _long_texts(df, wanted)
-    result = None
-    for name in wanted:
-        dtype = df.schema[name].dataType
-        value = F.to_json(named(name)) if isinstance(dtype, T.MapType) else present(df, name)
-        as_json = isinstance(dtype, (T.ArrayType, T.StructType))
-        unit = F.unhex(F.sha2(value.cast("binary"), 256)) if name in long_texts else value
-        counts = df.select(unit.alias("v"), missing(df, name).alias("gap")).groupBy("v", "gap").agg(
-            F.count(F.lit(1)).alias("n"))
-        bounded = value if name in long_texts else F.col("v")
-        bounds = F.struct(F.min(bounded).alias("low"), F.max(bounded).alias("high")).alias("bounds")
-        totals = counts.agg(
-            F.coalesce(F.sum("n"), F.lit(0)).alias("row_count"),
-            F.coalesce(F.sum(F.when(F.col("gap"), F.col("n"))), F.lit(0)).alias("null_count"),
-            F.count("v").alias("distinct_count"),
-            *([] if name in long_texts else [bounds]))
-        if name in long_texts:
-            totals = totals.select("*", df.agg(bounds).scalar().alias("bounds"))
-        shown = F.to_json if as_json else lambda c: c.cast("string")
-        stats = totals.select(
-            F.lit(name).alias("column_name"), "row_count", "null_count", "distinct_count",
-            shown(F.col("bounds.low")).alias("min_value"), shown(F.col("bounds.high")).alias("max_value"))
-        result = stats if result is None else result.unionByName(stats)
-    return result
+    wanted = list(dict.fromkeys(columns or df.columns))
+    seen = Observation()
+    totals = materialize(_counted(df, wanted, seen))
+    found = seen.get if totals.head(1) else {}  # a plan without rows may observe nothing
+    shown = df.sparkSession.createDataFrame(
+        [(at, name, found.get(f"b{2 * at}"), found.get(f"b{2 * at + 1}")) for at, name in enumerate(wanted)],
+        "at int, column_name string, min_value string, max_value string")
+    count = {c: F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in ("row_count", "null_count", "distinct_count")}
+    return shown.join(F.broadcast(totals), "at", "left").select("column_name", *count.values(), "min_value", "max_value")
 
 
 def versions_of(log: DataFrame, table_name: str, layer: str) -> DataFrame:
