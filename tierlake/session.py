@@ -24,7 +24,7 @@ SESSION_DEFAULTS = {
 
 
 def build_session(app: str = "tierlake", master: str | None = None, **conf: str) -> SparkSession:
-    """Session with the settings the operators expect; ``conf`` keys use ``__`` for dots."""
+    """Session with the settings the operators expect, and this package on its workers; ``conf`` keys use ``__`` for dots."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
@@ -32,7 +32,9 @@ def build_session(app: str = "tierlake", master: str | None = None, **conf: str)
         builder = builder.config(key, value)
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
-    return builder.getOrCreate()
+    session = builder.getOrCreate()
+    ship_package(session)
+    return session
 
 
 def shared_folder(spark: SparkSession) -> str:
