@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from tierlake.checks import Check, table
-from tierlake.operators.joins import range_join
+from tierlake.operators.joins import range_join, theta_join
 from tierlake.operators.scans import asof_join, first_value, in_pieces, range_sum
 from tierlake.plans.sqlsession import SqlSession
 from tierlake.session import scratch_root
@@ -90,6 +90,15 @@ def bands(spark, folder):
     return range_join(orders, priced, "o_totalprice", "low", "high", 4500).select("o_orderkey", "p_size", "low", "high")
 
 
+def below_both(spark, folder):
+    """Per supplier the parts that cost less than its balance and are no larger than its nation's number."""
+    parts = table(spark, folder, "part").select("p_partkey", "p_size", "p_retailprice")
+    suppliers = table(spark, folder, "supplier").select("s_suppkey", "s_nationkey", "s_acctbal")
+    pairs = theta_join(parts, suppliers, [("p_retailprice", "<", "s_acctbal"), ("p_size", "<=", "s_nationkey")])
+    return pairs.groupBy("s_suppkey").agg(
+        F.count(F.lit(1)).alias("parts"), F.sum("p_size").alias("sizes"), F.max("p_partkey").alias("largest_key"))
+
+
 CHECKS = {
     "s1_s3_registered_views": Check(registered, """
         SELECT c_mktsegment, count(*) AS orders, count(DISTINCT c_custkey) AS buyers
@@ -126,6 +135,9 @@ CHECKS = {
         SELECT o_orderkey, p_size, p_size * CAST(9000 AS DOUBLE) AS low, p_size * CAST(9000 AS DOUBLE) + 4500 AS high
         FROM orders JOIN (SELECT DISTINCT p_size FROM part)
           ON o_totalprice >= p_size * 9000 AND o_totalprice < p_size * 9000 + 4500"""),
+    "s12_theta_join": Check(below_both, """
+        SELECT s_suppkey, count(*) AS parts, CAST(sum(p_size) AS BIGINT) AS sizes, max(p_partkey) AS largest_key
+        FROM part JOIN supplier ON p_retailprice < s_acctbal AND p_size <= s_nationkey GROUP BY s_suppkey"""),
     "s13_asof_join": Check(asof, """
         SELECT b.event_id, b.user_id, b.ts, b.value, c.event_id AS click_id, c.value AS click_value
         FROM (SELECT * FROM events WHERE event_type = 'purchase') b

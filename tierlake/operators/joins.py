@@ -126,3 +126,81 @@ def range_join(
         "_cell", cell(named(point), F.col("_level")))
     hit = (named(point) >= named(low)) & (named(point) < named(high))
     return lookup_join(left, celled, ["_level", "_cell"], "inner").where(hit).drop("_level", "_cell")
+
+
+def _ordinal(df: DataFrame, name: str) -> Column:
+    """The column as a value that percentiles take and that orders as the column does."""
+    kind = df.schema[name].dataType
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros(named(name))
+    if isinstance(kind, T.DateType):
+        return F.unix_date(named(name))
+    if isinstance(kind, T.NumericType):
+        return named(name)
+    raise ValueError(f"inequalities take numbers, dates and timestamps, not {kind.simpleString()}: {name}")
+
+
+def _cuts(left: Column, right: Column, sides: tuple[DataFrame, DataFrame], pieces: int) -> list:
+    """Distinct quantiles of both sides together; a value held by over a ``pieces``-th of the rows is one of them."""
+    values = sides[0].select(left.alias("v")).unionByName(sides[1].select(right.alias("v")))
+    shares = [k / (2 * pieces) for k in range(1, 2 * pieces)]
+    found = values.agg(F.percentile_approx("v", shares, 100 * pieces).alias("cuts")).first()["cuts"]
+    return sorted(set(found or ()))
+
+
+def _meetings(value: Column, cuts: list, falls: bool, or_equal: bool, upper: bool) -> Column:
+    """Where a row meets its partners of one inequality: array of (level, node).
+
+    Cuts part the values into numbered pieces: each cut value is a piece of its own, the values between two
+    cuts are another. Two different pieces meet at one level alone, that of the highest bit their numbers differ
+    in, with the lower one on the left of the node. Rows of one piece meet at level -1; rows of equal values
+    there only if ``or_equal``.
+    """
+    among = F.array(*map(F.lit, cuts))
+    at = 2 * F.size(F.filter(among, lambda cut: cut < value)) + F.array_contains(among, value).cast("int")
+    last = 2 * len(cuts)
+    piece = F.lit(last) - at if falls else at
+    levels = F.sequence(F.lit(0), F.lit(max(last.bit_length() - 1, 0)))
+    bit = F.lit(1 if upper else 0)
+    nodes = F.transform(
+        F.filter(levels, lambda level: F.call_function("shiftright", piece, level).bitwiseAND(F.lit(1)) == bit),
+        lambda level: F.struct(level.alias("level"), F.call_function("shiftright", piece, level + 1).alias("node")))
+    own = F.array(F.struct(F.lit(-1).alias("level"), piece.alias("node")))
+    return F.concat(nodes, own if or_equal else F.when(at % 2 == 0, own).otherwise(F.slice(own, 1, 0)))
+
+
+def theta_join(
+    left: DataFrame, right: DataFrame, conditions: list[tuple[str, str, str]], pieces: int = 32,
+    target_rows: int = TARGET_ROWS,
+) -> DataFrame:
+    """Pairs of rows that fulfil all ``conditions``, each (left column, ``<`` ``<=`` ``>`` or ``>=``, right column).
+
+    No nested loop: quantiles cut the values of each inequality into pieces, and a pair of pieces meets under one
+    equality key (``_meetings``). A row is repeated at most eight times per inequality with 32 pieces, and two rows that
+    share a key are a result unless they share a piece between two cuts, which holds about one row in ``2 * pieces``.
+    Frequent values are cuts, so a hot value costs results only. Keys with many rows are salted.
+    Both columns of a condition need one type, number, date or timestamp; null matches nothing, NaN is
+    the greatest number. The sides may share no column name. Repeated rows give repeated pairs.
+    """
+    shared = set(left.columns) & set(right.columns)
+    if shared or not conditions:
+        raise ValueError(f"columns on both sides: {sorted(shared)}" if shared else "a theta join needs a condition")
+    hit = F.lit(True)
+    for mine, sign, other in conditions:
+        if left.schema[mine].dataType != right.schema[other].dataType:
+            raise ValueError(f"cast one side: {mine} and {other} have different types")
+        left, right = left.where(named(mine).isNotNull()), right.where(named(other).isNotNull())
+        compared = {"<": named(mine) < named(other), "<=": named(mine) <= named(other),
+                    ">": named(mine) > named(other), ">=": named(mine) >= named(other)}
+        hit = hit & compared[sign]
+    sides, keys = (left, right), []
+    for number, (mine, sign, other) in enumerate(conditions):
+        values = _ordinal(sides[0], mine), _ordinal(sides[1], other)
+        cuts = _cuts(*values, sides, pieces)
+        if not cuts:  # one side has no rows and the other none either
+            return left.join(right, F.lit(False))
+        key = f"_meet{number}"
+        keys.append(key)
+        left = left.withColumn(key, F.explode(_meetings(values[0], cuts, sign[0] == ">", len(sign) == 2, False)))
+        right = right.withColumn(key, F.explode(_meetings(values[1], cuts, sign[0] == ">", len(sign) == 2, True)))
+    return lookup_join(left, right, keys, "inner", target_rows).where(hit).drop(*keys)
