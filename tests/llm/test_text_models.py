@@ -180,3 +180,13 @@ def test_disguises_are_read(spark, written, word):
     text = "you are what an idiot idioto loser scum moron clown dumb ass and that is all there was to say of him " * 20
     model = X.fit_language_model(spark.createDataFrame([(text,)], "text string"))
     assert word in X.Restorer(model).words(written)
+
+
+@pytest.mark.parametrize("text, labels", [
+    ("Released under the Apache License", "apache"), ("Licensed under CC BY 4.0", "cc-by,cc-by-notice"),
+    ("Licensed under CC BY-NC 4.0", "cc-by,cc-by-nc-notice,cc-by-notice"), ("Licensed under the Acme License, Version 2.0", ""),
+    ("Released under the MIT license.", "mit,mit-notice"),
+    ("This work is licensed under the Acme free public license version 3", "")])
+def test_a_notice_needs_its_distinguishing_words(spark, text, labels):
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    assert [r["labels"] for r in I.scan_licenses(docs).collect()] == [labels]

@@ -1,7 +1,7 @@
 """License scans: base phrases, and notices found by an exact set-similarity join.
 
 A block (a line of a text) matches a template when it holds at least ``threshold`` of the
-template's distinct words. Words are put into one global order, rarest first by the number of
+template's distinct words, its distinguishing words among them. Words are put into one global order, rarest first by the number of
 blocks that have them. If the overlap must reach ``least`` words, a block and a template that
 match share a word among the first ``size - least + 1`` of each (prefix filter); blocks need at
 least that many template words (length filter); and from the places of the shared word the overlap
@@ -38,6 +38,15 @@ TEMPLATES = {
     "bsd-redistribution": "redistribution and use in source and binary forms with or without modification are"
                           " permitted provided that the following conditions are met",
 }
+# Words without which a block isn't that notice, however many of the others it has.
+DISTINGUISHING = {
+    "apache-notice": "apache",
+    "gpl-notice": "gnu general public",
+    "gpl-program": "gnu general public",
+    "mit-notice": "mit",
+    "cc-by-notice": "cc by",
+    "cc-by-nc-notice": "cc by nc",
+}
 THRESHOLD = 0.8
 
 _APART = r"[\x00-\x09\x0B-\x2F\x3A-\x60\x7B-\x7F]+"  # what parts words, but for the line feed
@@ -84,11 +93,14 @@ def _word_ranks(blocks: DataFrame, vocabulary: list[str]) -> dict[str, int]:
     return {w: k for k, w in enumerate(sorted(vocabulary, key=lambda w: (seen.get(w, 0), w)))}
 
 
-def matching_blocks(blocks: DataFrame, templates: dict[str, str], threshold: float = THRESHOLD) -> DataFrame:
+def matching_blocks(
+    blocks: DataFrame, templates: dict[str, str], threshold: float = THRESHOLD, distinguishing: dict[str, str] | None = None,
+) -> DataFrame:
     """(row, block, label, containment) of all blocks of ``blocks(row, block, words)`` that match a template.
 
-    ``words`` are distinct words of the templates. The templates are few and fixed by the caller, so
-    their side is broadcast; blocks never move.
+    ``words`` are distinct words of the templates; ``distinguishing`` gives, by label, words of the template
+    that a block must have. The templates are few and fixed by the caller, so their side is broadcast;
+    blocks never move.
     """
     spark = blocks.sparkSession
     sets = {label: sorted(set(text.split())) for label, text in templates.items()}
@@ -97,10 +109,11 @@ def matching_blocks(blocks: DataFrame, templates: dict[str, str], threshold: flo
     for label, words in sets.items():
         words = sorted(words, key=ranks.__getitem__)
         least = least_overlap(len(words), threshold)
-        prefixes += [(ranks[w], label, at, len(words), least, sorted(map(ranks.__getitem__, words)))
+        needed = [ranks[w] for w in (distinguishing or {}).get(label, "").split()]
+        prefixes += [(ranks[w], label, at, len(words), least, sorted(map(ranks.__getitem__, words)), needed)
                      for at, w in enumerate(words[:len(words) - least + 1])]
     index = F.broadcast(spark.createDataFrame(
-        prefixes, "rank int, label string, at int, size int, least int, template array<int>"))
+        prefixes, "rank int, label string, at int, size int, least int, template array<int>, needed array<int>"))
     order = F.create_map(*(F.lit(x) for pair in ranks.items() for x in pair))
     ordered = blocks.select("row", "block", F.array_sort(F.transform("words", lambda w: order[w])).alias("own"))
     smallest = min(p[4] for p in prefixes)
@@ -112,14 +125,15 @@ def matching_blocks(blocks: DataFrame, templates: dict[str, str], threshold: flo
         (F.size("own") >= F.col("least")) & (F.col("place") <= F.size("own") - F.col("least"))
         & (reachable >= F.col("least") - F.least("at", "place")))
     overlap = F.size(F.array_intersect("own", "template"))
-    return (found.select("row", "block", "label", overlap.alias("overlap"), "least", "size")
+    has_needed = F.size(F.array_except("needed", "own")) == 0
+    return (found.filter(has_needed).select("row", "block", "label", overlap.alias("overlap"), "least", "size")
             .filter("overlap >= least")
             .select("row", "block", "label", (F.col("overlap") / F.col("size")).alias("containment")).distinct())
 
 
 def scan_licenses(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", templates: dict[str, str] | None = None,
-    threshold: float = THRESHOLD,
+    threshold: float = THRESHOLD, distinguishing: dict[str, str] | None = None,
 ) -> DataFrame:
     """One row for each row of ``docs``: (id, n_words, n_base, first_word, last_word, base_labels, labels, score).
 
@@ -129,13 +143,14 @@ def scan_licenses(
     reached the threshold, else 0. Null and empty texts have no words, no labels and score 0.
     Repeated rows give repeated rows. Other columns are not looked at.
     """
-    templates = templates or TEMPLATES
+    if not templates:
+        templates, distinguishing = TEMPLATES, DISTINGUISHING if distinguishing is None else distinguishing
     vocabulary = sorted({w for text in templates.values() for w in text.split()})
     fewest = min(least_overlap(len(set(t.split())), threshold) for t in templates.values())
     rows = materialize(_documents(docs, id_column, text_column, vocabulary, fewest).withColumn(
         "row", F.monotonically_increasing_id()))
     blocks = rows.select("row", F.posexplode("blocks").alias("block", "words"))
-    best = matching_blocks(blocks, templates, threshold).groupBy("row").agg(
+    best = matching_blocks(blocks, templates, threshold, distinguishing).groupBy("row").agg(
         F.collect_set("label").alias("found"), F.max("containment").alias("containment"))
     labels = F.array_sort(F.array_distinct(F.concat("base", F.coalesce("found", F.array().cast("array<string>")))))
     return rows.join(best, "row", "left").select(

@@ -63,21 +63,23 @@ def op8_licenses(spark, folder):
 
 def _licenses_sql():
     """Words by a regular expression, phrases by word numbers, templates by plain set intersection."""
-    from tierlake.llm.licenses import PHRASES, TEMPLATES, THRESHOLD
+    from tierlake.llm.licenses import DISTINGUISHING, PHRASES, TEMPLATES, THRESHOLD
     words = "regexp_extract_all({}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
     phrases = ", ".join(f"({p.split()}, '{label}')" for p, label in PHRASES.items())
-    templates = ", ".join(f"({sorted(set(t.split()))}, '{label}')" for label, t in TEMPLATES.items())
+    templates = ", ".join(f"({sorted(set(t.split()))}, {DISTINGUISHING.get(label, '').split()}::VARCHAR[], '{label}')"
+                          for label, t in TEMPLATES.items())
     return f"""
 WITH d AS (SELECT doc_id, row_number() OVER () AS r, coalesce(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
              'abcdefghijklmnopqrstuvwxyz'), '') AS t FROM documents),
-phrase(p, label) AS (VALUES {phrases}), template(w, label) AS (VALUES {templates}),
+phrase(p, label) AS (VALUES {phrases}), template(w, needed, label) AS (VALUES {templates}),
 w AS (SELECT r, {words.format("t")} AS ws FROM d),
 place AS (SELECT r, unnest(range(len(ws))) AS i, ws FROM w),
 base AS (SELECT r, i, label FROM place, phrase WHERE ws[i + 1] = p[1] AND ws[i + 1:i + len(p)] = p),
 base_of AS (SELECT r, count(*) AS n_base, min(i) AS first_word, max(i) AS last_word, list(DISTINCT label) AS base
             FROM base GROUP BY r),
 line AS (SELECT r, {words.format("unnest(string_split(t, chr(10)))")} AS ws FROM d),
-hit AS (SELECT r, label, len(list_intersect(list_distinct(ws), w)) / len(w)::DOUBLE AS c FROM line, template),
+hit AS (SELECT r, label, len(list_intersect(list_distinct(ws), w)) / len(w)::DOUBLE AS c FROM line, template
+        WHERE list_has_all(ws, needed)),
 found AS (SELECT r, list(DISTINCT label) AS labels, max(c) AS c FROM hit WHERE c >= {THRESHOLD} - 1e-9 GROUP BY r)
 SELECT doc_id, len(w.ws)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word, last_word,
        array_to_string(list_sort(coalesce(base, [])), ',') AS base_labels,
