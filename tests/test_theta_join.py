@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tierlake.operators.joins import theta_join
+from tierlake.operators.joins import theta_join, theta_totals
 
 OPS = {"<": lambda a, b: a < b, "<=": lambda a, b: a <= b, ">": lambda a, b: a > b, ">=": lambda a, b: a >= b}
 
@@ -51,3 +51,51 @@ def test_what_cannot_be_joined_is_said(spark):
                                     (a.selectExpr("'x' AS a"), b.selectExpr("'y' AS b"), [("a", "<", "b")])):
         with pytest.raises(ValueError):
             theta_join(left, right, conditions)
+
+
+@pytest.mark.parametrize("signs, piece_rows", [(("<", ">="), 9), ((">", "<="), 10_000), (("<=", "<"), 40), ((">=", ">"), 7)])
+def test_totals_equal_those_of_all_pairs(spark, signs, piece_rows):
+    rng = random.Random(piece_rows)
+
+    def rows(n):
+        return [(i % 50, rng.choice([5, 5, rng.randrange(40), None]), rng.choice([1.5, -0.0, 0.0, float("nan"), rng.random() * 9, None]))
+                for i in range(n)]
+
+    left, right = rows(90), rows(70)
+    found = theta_totals(
+        spark.createDataFrame(left, "a int, x int, u double"), spark.createDataFrame(right, "b int, y int, v double"),
+        [("x", signs[0], "y"), ("u", signs[1], "v")],
+        {"n": ("count", F.lit(1)), "s": ("sum", F.col("a")), "low": ("min", F.col("a")), "high": ("max", F.col("a"))}, piece_rows)
+    assert found.columns == ["b", "y", "v", "n", "s", "low", "high"]
+
+    def fulfils(a, b):  # NaN is the greatest number
+        sides = [(x, y) if x == x and y == y else (x != x, y != y) for x, y in zip(a[1:], b[1:])]
+        return None not in (*a[1:], *b[1:]) and all(OPS[s](x, y) for (x, y), s in zip(sides, signs))
+
+    wanted = []
+    for b in right:
+        own = [a[0] for a in left if fulfils(a, b)]
+        wanted += [(*b, len(own), sum(own), min(own), max(own))] if own else []
+    assert sorted(map(repr, map(tuple, found.collect()))) == sorted(map(repr, wanted)) and len(wanted) > 10
+
+
+@pytest.mark.parametrize("conditions", [1, 3])
+def test_totals_of_one_and_three_conditions(spark, conditions):
+    rng = random.Random(conditions)
+    left, right = ([(i, *(rng.randrange(12) for _ in range(3))) for i in range(n)] for n in (60, 40))
+    signs = [("x1", "<", "y1"), ("x2", ">=", "y2"), ("x3", "<=", "y3")][:conditions]
+    found = theta_totals(
+        spark.createDataFrame(left, "a int, x1 int, x2 int, x3 int"), spark.createDataFrame(right, "b int, y1 int, y2 int, y3 int"),
+        signs, {"n": ("count", F.lit(1))}, 25)
+    pairs = _brute([a[:conditions + 1] for a in left], [b[:conditions + 1] for b in right], [s for _, s, _ in signs])
+    wanted = {b: sum(p[1] == b for p in pairs) for b in {p[1] for p in pairs}}
+    assert {r["b"]: r["n"] for r in found.collect()} == wanted
+    assert theta_totals(spark.createDataFrame([], "x1 int"), found.select("y1"), signs[:1], {"n": ("count", F.lit(1))}).collect() == []
+
+
+def test_totals_make_no_pairs(spark):
+    """Two sides of 100,000 rows have five thousand million pairs."""
+    left, right = spark.range(100_000).toDF("a"), spark.range(100_000).toDF("b")
+    found = theta_totals(left.withColumn("c", -F.col("a")), right.withColumn("d", -F.col("b")),
+                         [("a", "<", "b"), ("c", ">", "d")], {"n": ("count", F.lit(1))})
+    assert found.where("n <> b").count() == 0 and found.count() == 99_999

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from tierlake.checks import Check, table
-from tierlake.operators.joins import range_join, theta_join
+from tierlake.operators.joins import range_join, theta_totals
 from tierlake.operators.scans import asof_join, first_value, in_pieces, range_sum
 from tierlake.plans.sqlsession import SqlSession
 from tierlake.session import scratch_root
@@ -94,9 +94,11 @@ def below_both(spark, folder):
     """Per supplier the parts that cost less than its balance and are no larger than its nation's number."""
     parts = table(spark, folder, "part").select("p_partkey", "p_size", "p_retailprice")
     suppliers = table(spark, folder, "supplier").select("s_suppkey", "s_nationkey", "s_acctbal")
-    pairs = theta_join(parts, suppliers, [("p_retailprice", "<", "s_acctbal"), ("p_size", "<=", "s_nationkey")])
-    return pairs.groupBy("s_suppkey").agg(
-        F.count(F.lit(1)).alias("parts"), F.sum("p_size").alias("sizes"), F.max("p_partkey").alias("largest_key"))
+    below = theta_totals(
+        parts, suppliers, [("p_retailprice", "<", "s_acctbal"), ("p_size", "<=", "s_nationkey")],
+        {"parts": ("count", F.lit(1)), "sizes": ("sum", F.col("p_size")), "largest_key": ("max", F.col("p_partkey"))})
+    return below.groupBy("s_suppkey").agg(
+        F.sum("parts").alias("parts"), F.sum("sizes").alias("sizes"), F.max("largest_key").alias("largest_key"))
 
 
 CHECKS = {

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tierlake.functions.columns import named
+from tierlake.operators.scans import PIECE_ROWS, in_pieces, running_max, running_min, running_sum
 from tierlake.session import materialize
 
 SALT = "_salt"
@@ -204,3 +205,62 @@ def theta_join(
         left = left.withColumn(key, F.explode(_meetings(values[0], cuts, sign[0] == ">", len(sign) == 2, False)))
         right = right.withColumn(key, F.explode(_meetings(values[1], cuts, sign[0] == ">", len(sign) == 2, True)))
     return lookup_join(left, right, keys, "inner", target_rows).where(hit).drop(*keys)
+
+
+_TOTALS = {"count": (F.count, F.sum, running_sum), "sum": (F.sum, F.sum, running_sum),
+           "min": (F.min, F.min, running_min), "max": (F.max, F.max, running_max)}
+
+
+def theta_totals(
+    left: DataFrame, right: DataFrame, conditions: list[tuple[str, str, str]], totals: dict[str, tuple[str, Column]],
+    piece_rows: int = PIECE_ROWS,
+) -> DataFrame:
+    """Right rows with ``totals`` over the left rows that fulfil all ``conditions``; those without any are left out.
+
+    ``conditions`` are those of ``theta_join``, and the result is what its pairs would give by right row, but no pair is
+    made: the cost is n log n for two conditions, with another log n for each further one. ``totals`` maps output
+    names to (``count``, ``sum``, ``min`` or ``max``, left column or expression).
+
+    Rows of equal values are one class. For each condition but the last the classes of both sides are put in one
+    order, where a left one precedes just the right ones it fulfils the condition with, and numbered. Of two
+    numbers the highest bit they differ in is 0 in the lower: so a left and a right class meet under one node, its bit and
+    what is above it. Inside a node the last condition is a running total in its own order.
+    """
+    if not conditions or not totals:
+        raise ValueError("totals of a theta join need a condition and a total")
+    for mine, _, other in conditions:
+        if left.schema[mine].dataType != right.schema[other].dataType:
+            raise ValueError(f"cast one side: {mine} and {other} have different types")
+        left, right = left.where(named(mine).isNotNull()), right.where(named(other).isNotNull())
+    values = [f"_v{n}" for n in range(len(conditions))]
+    mine = left.groupBy(*(named(c[0]).alias(v) for c, v in zip(conditions, values)))
+    mine = mine.agg(F.count(F.lit(1)).alias("_rows"), *(_TOTALS[kind][0](c).alias(f"_t_{name}") for name, (kind, c) in totals.items()))
+    asked = right.withColumns({v: named(c[2]) for c, v in zip(conditions, values)})
+    rows = mine.withColumn("_asks", F.lit(0)).unionByName(
+        asked.select(*values).distinct().withColumn("_asks", F.lit(1)), allowMissingColumns=True)
+
+    def order(number: int) -> list[Column]:
+        sign, by = conditions[number][1], F.col(values[number])
+        side = F.col("_asks").asc() if len(sign) == 2 else F.col("_asks").desc()
+        return [by.desc() if sign[0] == ">" else by.asc(), side, *(F.col(v).asc() for v in values if v != values[number])]
+
+    nodes = [f"_node{n}" for n in range(len(conditions) - 1)]
+    for number, node in enumerate(nodes):
+        rows = in_pieces(rows, [], order(number), piece_rows).numbered(node).result()
+    if nodes:
+        bits = F.sequence(F.lit(0), F.lit(max(rows.count().bit_length() - 1, 0)))
+    for node in nodes:
+        at, side = F.col(node), F.col("_asks")
+        meets = F.transform(
+            F.filter(bits, lambda b: F.call_function("shiftright", at, b).bitwiseAND(F.lit(1)) == side),
+            lambda b: F.struct(b.alias("bit"), F.call_function("shiftright", at, b + 1).alias("above")))
+        rows = rows.withColumn(node, F.explode(meets)).withColumns({f"{node}_bit": F.col(f"{node}.bit"), node: F.col(f"{node}.above")})
+    keys = [k for node in nodes for k in (f"{node}_bit", node)]
+    running = {"_rows": running_sum(F.col("_rows"))} | {
+        f"_t_{name}": _TOTALS[kind][2](F.col(f"_t_{name}")) for name, (kind, _) in totals.items()}
+    summed = in_pieces(rows, keys, order(len(conditions) - 1), piece_rows).running(
+        **{f"_r{c}": r for c, r in running.items()}).result()
+    found = summed.where((F.col("_asks") == 1) & (F.col("_r_rows") > 0)).groupBy(*values).agg(
+        *(_TOTALS[kind][1](f"_r_t_{name}").alias(name) for name, (kind, _) in totals.items()))
+    return lookup_join(asked, materialize(found), values, "inner").select(
+        *map(named, right.columns), *map(named, totals))
