@@ -3,7 +3,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tierlake.operators.joins import theta_join, theta_totals
+from tierlake.operators import joins
+from tierlake.operators.joins import pair_join, range_join, theta_join, theta_totals
 
 OPS = {"<": lambda a, b: a < b, "<=": lambda a, b: a <= b, ">": lambda a, b: a > b, ">=": lambda a, b: a >= b}
 
@@ -99,3 +100,27 @@ def test_totals_make_no_pairs(spark):
     found = theta_totals(left.withColumn("c", -F.col("a")), right.withColumn("d", -F.col("b")),
                          [("a", "<", "b"), ("c", ">", "d")], {"n": ("count", F.lit(1))})
     assert found.where("n <> b").count() == 0 and found.count() == 99_999
+
+
+@pytest.mark.parametrize("tile_pairs, task_pairs", [(7, 50), (200, 1), (1 << 22, 1 << 24)])
+def test_pairs_of_hot_keys_are_whole(spark, monkeypatch, tile_pairs, task_pairs):
+    monkeypatch.setattr(joins, "FEW_MATCHES", 2)
+    rng = random.Random(tile_pairs)
+
+    def rows(n):
+        return [(rng.choice(["hot", "hot", "b", "c", None]), rng.choice([1, 1, 2]), i // 2) for i in range(n)]
+
+    left, right = rows(80), rows(50)
+    joined = pair_join(spark.createDataFrame(left, "k string, j int, a int"), spark.createDataFrame(right, "k string, j int, b int"),
+                       ["k", "j"], tile_pairs, task_pairs)
+    assert joined.columns == ["k", "j", "a", "b"]
+    wanted = sorted((*x, y[2]) for x in left for y in right if x[:2] == y[:2] and x[0])
+    assert sorted(map(tuple, joined.collect())) == wanted
+
+
+def test_points_and_long_ranges_of_one_cell_are_many_tasks(spark):
+    points = spark.range(5000).select((F.col("id") / 5000).alias("p"))
+    ranges = spark.range(8000).select(F.col("id").alias("r"), F.lit(0.0).alias("low"), F.lit(1e6).alias("high"))
+    found = range_join(points, ranges, "p", "low", "high", 2.0)
+    tasks = [r["n"] for r in found.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n")).collect()]
+    assert sum(tasks) == 40_000_000 and max(tasks) <= 25_000_000

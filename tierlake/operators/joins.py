@@ -17,6 +17,10 @@ CELL_STEP = 16
 TARGET_ROWS = 1_000_000  # rows of one key that one task may join
 MOST_HOT = 100_000       # keys over the target, at most
 KEYLESS_SALTS = 4096
+TILE_PAIRS = 1 << 22     # pairs of rows of one key that stay together
+TASK_PAIRS = 1 << 24     # pairs that a task is meant to join
+MOST_TASKS = 20_000
+FEW_MATCHES = 64         # rows of a key on the right with which a join is a lookup
 _UNITS = {"": 1, "b": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
 
 
@@ -98,6 +102,46 @@ def salted_join(left: DataFrame, right: DataFrame, on: list[str], how: str, targ
     return salted_left.join(salted_right, [*on, SALT], how).drop(SALT)
 
 
+def pair_join(left: DataFrame, right: DataFrame, on: list[str], tile_pairs: int = TILE_PAIRS, task_pairs: int = TASK_PAIRS) -> DataFrame:
+    """Inner join of two sides that both repeat their keys, balanced by the pairs that its tasks make.
+
+    Rows say little here: a few thousand on each side make millions of pairs. Both sides are counted by key. The
+    pairs of a key with more than ``tile_pairs`` are a rectangle cut into tiles; a row is in one band of its side and
+    copied once per band of the other, so that each pair is in one tile. The tiles and the other keys are dealt over
+    as many tasks as there are ``task_pairs``, or ``spark.sql.shuffle.partitions`` if that is more. At most ``MOST_HOT``
+    keys are cut. Where no key has over ``FEW_MATCHES`` rows on the right, left rows say enough: that is a ``lookup_join``.
+    """
+    def counted(df: DataFrame, rows: str) -> DataFrame:
+        return df.groupBy(*map(named, on)).agg(F.count(F.lit(1)).alias(rows))
+
+    both = counted(left, "_mine").join(counted(right, "_other"), on).withColumn(
+        "_pairs", F.col("_mine").cast("double") * F.col("_other"))
+    counts = materialize(both)
+    pairs, matches = counts.agg(F.coalesce(F.sum("_pairs"), F.lit(0.0)), F.coalesce(F.max("_other"), F.lit(0))).first()
+    if matches <= FEW_MATCHES:
+        return lookup_join(left, right, on, "inner")
+    tasks = min(int(pairs // task_pairs) + 1, MOST_TASKS)
+    target = F.lit(max(tile_pairs, int(pairs) // MOST_HOT + 1, 1)).cast("long")
+    wide = F.least("_mine", F.greatest(F.floor(F.sqrt(target)), F.floor(target / F.col("_other"))))
+    high = F.greatest(F.floor(target / wide), F.lit(1))
+    hot = F.broadcast(counts.where(F.col("_pairs") > target).select(
+        *map(named, on), F.ceil(F.col("_mine") / wide).cast("int").alias("_bands"),
+        F.ceil(F.col("_other") / high).cast("int").alias("_others")))
+    if tasks == 1 and hot.isEmpty():
+        return left.join(right, on, "inner")
+    tasks = max(tasks, int(left.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    place = F.xxhash64(F.monotonically_increasing_id())  # hashed, as rows made of one row follow a beat
+
+    def dealt(df: DataFrame, own: str, bands: str, other: str, others: str) -> DataFrame:
+        banded = df.join(hot, on, "left").withColumn(own, F.pmod(place, F.coalesce(bands, F.lit(1))).cast("int"))
+        # a row's copies share its band, so it is made before them
+        cut = banded.withColumn(other, F.explode(F.sequence(F.lit(0), F.coalesce(others, F.lit(1)) - 1)))
+        return cut.drop("_bands", "_others").repartition(tasks, *map(named, on), F.col("_band"), F.col("_row"))
+
+    mine = dealt(left, "_band", "_bands", "_row", "_others")
+    return mine.join(dealt(right, "_row", "_others", "_band", "_bands"), [*on, "_band", "_row"], "inner").drop("_band", "_row")
+
+
 def range_join(
     points: DataFrame,
     ranges: DataFrame,
@@ -112,7 +156,7 @@ def range_join(
     of size ``width`` serve the usual range; a longer one uses cells 16 times as large as often
     as it takes to touch at most 17 of them. So no range is repeated more often than that, and a
     point is looked up once in each cell size that occurs. Choose ``width`` near the usual
-    range length.
+    range length. A cell may hold many points and many ranges; tasks are balanced by their pairs.
     """
     def cell(c: Column, level: Column) -> Column:
         return F.floor(c.cast("double") / (F.lit(float(width)) * F.pow(F.lit(float(CELL_STEP)), level)))
@@ -126,7 +170,7 @@ def range_join(
     left = points.withColumn("_level", F.explode(F.array(*map(F.lit, levels)).cast("array<int>"))).withColumn(
         "_cell", cell(named(point), F.col("_level")))
     hit = (named(point) >= named(low)) & (named(point) < named(high))
-    return lookup_join(left, celled, ["_level", "_cell"], "inner").where(hit).drop("_level", "_cell")
+    return pair_join(left, celled, ["_level", "_cell"]).where(hit).drop("_level", "_cell")
 
 
 def _ordinal(df: DataFrame, name: str) -> Column:
@@ -172,14 +216,15 @@ def _meetings(value: Column, cuts: list, falls: bool, or_equal: bool, upper: boo
 
 def theta_join(
     left: DataFrame, right: DataFrame, conditions: list[tuple[str, str, str]], pieces: int = 32,
-    target_rows: int = TARGET_ROWS,
+    target_rows: int = TILE_PAIRS,
 ) -> DataFrame:
     """Pairs of rows that fulfil all ``conditions``, each (left column, ``<`` ``<=`` ``>`` or ``>=``, right column).
 
     No nested loop: quantiles cut the values of each inequality into pieces, and a pair of pieces meets under one
     equality key (``_meetings``). A row is repeated at most eight times per inequality with 32 pieces, and two rows that
     share a key are a result unless they share a piece between two cuts, which holds about one row in ``2 * pieces``.
-    Frequent values are cuts, so a hot value costs results only. Keys with many rows are salted.
+    Frequent values are cuts, so a hot value costs results only. Tasks are balanced by pairs (``pair_join``), keys
+    with over ``target_rows`` pairs are cut.
     Both columns of a condition need one type, number, date or timestamp; null matches nothing, NaN is
     the greatest number. The sides may share no column name. Repeated rows give repeated pairs.
     """
@@ -204,7 +249,7 @@ def theta_join(
         keys.append(key)
         left = left.withColumn(key, F.explode(_meetings(values[0], cuts, sign[0] == ">", len(sign) == 2, False)))
         right = right.withColumn(key, F.explode(_meetings(values[1], cuts, sign[0] == ">", len(sign) == 2, True)))
-    return lookup_join(left, right, keys, "inner", target_rows).where(hit).drop(*keys)
+    return pair_join(left, right, keys, target_rows).where(hit).drop(*keys)
 
 
 _TOTALS = {"count": (F.count, F.sum, running_sum), "sum": (F.sum, F.sum, running_sum),
