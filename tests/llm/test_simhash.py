@@ -199,3 +199,45 @@ def test_verified_links_equal_brute_force(spark, monkeypatch, tile_rows, pruned)
     by = {bytes(r["node"]): None for r in prints.select("node").collect()}
     assert len(by) > 50 and len(set(wanted.values())) > 1
     assert all((group[names[a]] == group[names[b]]) == (wanted[names[a]] == wanted[names[b]]) for a in by for b in by)
+
+
+@pytest.mark.parametrize("tile_rows, pruned, block", [(4096, 256, 1024), (9, 0, 8)])
+@pytest.mark.parametrize("reach", [-1, 3, 6])
+def test_verified_links_need_fingerprints_within_reach(spark, monkeypatch, tile_rows, pruned, block, reach):
+    monkeypatch.setattr(S, "PRUNED", pruned)
+    monkeypatch.setattr(S, "BLOCK", block)
+    pick = np.random.default_rng(12)
+    base = [f"w{i}" for i in range(150)]
+    rows = [(at, " ".join(w if pick.random() > 0.01 else f"z{at}" for w in base)) for at in range(40)]
+    docs = spark.createDataFrame(rows, "id long, text string")
+    prints = S.fingerprints(docs, "id", "text", 5, 16, True)
+    held = {r["id"]: r for r in prints.collect()}
+    edges = S.verified_links(prints, docs.select(S._source("text").alias("source"), "text"), 5, 16, 6, 0.8, tile_rows, reach)
+    roots = {bytes(r["node"]): bytes(r["root"]) for r in connected_components(edges).collect()}
+
+    def apart(i, j):
+        return ((held[i]["fingerprint"] ^ held[j]["fingerprint"]) & (2 ** 64 - 1)).bit_count()
+
+    wanted = [(held[i]["node"], held[j]["node"]) for i, a in rows for j, b in rows
+              if i < j and apart(i, j) <= reach and jaccard(a, b) >= 0.8]
+    brute = connected_components(spark.createDataFrame(wanted, "a binary, b binary"))
+    assert roots == {bytes(r["node"]): bytes(r["root"]) for r in brute.collect()}
+    assert len(roots) < 40 and (reach < 0 or roots)
+
+
+def test_fingerprints_of_sets_do_not_count_repeats(spark):
+    words = " ".join(f"w{i}" for i in range(50))
+    docs = spark.createDataFrame([(1, words), (2, f"{words} {words}"), (3, None), (4, " ")], "id long, text string")
+    one, two, none, blank = (r["fingerprint"] for r in S.fingerprints(docs, "id", "text", 5, 16, True).orderBy("id").collect())
+    assert ((one ^ two) & (2 ** 64 - 1)).bit_count() <= 12 and none == blank == 0
+
+
+@pytest.mark.parametrize("least, most", [(4, 5), (8, 10), (40, 50), (90, 90)])
+def test_reach_holds_sets_of_similarity_point_eight(least, most):
+    pick, shared = np.random.default_rng(least), least if least < most else 80
+    missed = 0
+    for _ in range(3000):
+        hashes = pick.integers(0, 2 ** 64, least + most - shared, dtype=np.uint64)
+        a, b = (S._signature([own], 0)[0] for own in (hashes[:least], np.concatenate([hashes[:shared], hashes[least:]])))
+        missed += (a ^ b).bit_count() > S.SET_REACH
+    assert missed <= 1

@@ -12,8 +12,9 @@ min-hashes of its shingles, enough of which must agree for a link. Of ``mins`` w
 agree, at least one of the first ``mins - agreeing + 1`` does, so texts that share one of those make
 a group, and trees are grown inside groups only. A large group is compared tile by tile.
 
-Where a least Jaccard similarity of the shingle sets is asked for, min-hashes only propose pairs: each
-is then decided by the sets themselves. Fingerprints have no say, as they count repeats.
+Where a least Jaccard similarity of the shingle sets is asked for, fingerprints are those of the sets, each
+shingle once, and the tree and the min-hashes only propose pairs: what lies within reach and agrees is then
+decided by the sets themselves.
 """
 
 from __future__ import annotations
@@ -36,7 +37,9 @@ BLOCK = 1024          # fingerprints compared pair by pair
 WORDS_AT_ONCE = 65_536
 BANDS = 6             # min-hashes one of which texts must share to be compared by their shingles
 COMPARED_ROWS = 4096  # texts in a tile, and about as many in a shard, whose shingles are compared
+SET_REACH = 26        # bits in which fingerprints of sets with a Jaccard similarity of 0.8 may differ: some 10 do, with 3 about it
 PRUNED = 256          # groups up to this size lose what has no partner before shingles are fetched
+WIDEST = 0.7          # share of a group's texts in one side of a cut, at most: two such sides have fewer pairs than the whole
 _PAIRS = 100_000      # linked pairs held before their trees are united
 _MIXERS = np.random.Generator(np.random.PCG64(SEED)).integers(0, 2 ** 63, 64).astype(np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -86,7 +89,7 @@ def simhash(text: bytes, width: int, mins: int = 0) -> tuple[int, np.ndarray]:
 def fingerprints(docs: DataFrame, id_column: str, text_column: str, width: int, mins: int = 0, sets: bool = False) -> DataFrame:
     """(id, fingerprint, mins) of every row; 64 bits as a long, min-hashes as bytes. Null text is empty.
 
-    With ``sets`` also (node, source): digests of the shingle set and of the text.
+    With ``sets`` also (node, source): digests of the shingle set and of the text; the fingerprint is the set's then.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -94,8 +97,9 @@ def fingerprints(docs: DataFrame, id_column: str, text_column: str, width: int,
             for text in batch.column(1).cast(pa.binary()):
                 pieces = _hashes(text.as_py() or b"", width)
                 if sets:
-                    pieces = list(pieces)
-                    nodes.append(xxhash.xxh3_128_digest(shingle_set(pieces).tobytes()))
+                    own = shingle_set(pieces)
+                    nodes.append(xxhash.xxh3_128_digest(own.tobytes()))
+                    pieces = [own[low:low + WORDS_AT_ONCE] for low in range(0, len(own), WORDS_AT_ONCE)]
                 found, smallest = _signature(pieces, mins)
                 prints.append(found)
                 least.append(smallest.tobytes())
@@ -166,17 +170,18 @@ def route(nodes: list[tuple[int, int, int, int]], points: np.ndarray, reach: int
             waiting += [(inner, own[distance <= radius + reach]), (outer, own[distance > radius])]
 
 
-def close_pairs(points: np.ndarray, reach: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def close_pairs(points: np.ndarray, reach: int, widest: float = 0.9) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Positions (i, j) of all pairs at most ``reach`` bits apart, in pieces of bounded size.
 
-    A pair may come more than once. Points that no vantage separates are compared in blocks.
+    A pair may come more than once. Points that no vantage separates, with at most a share of ``widest`` on
+    either side, are compared in blocks.
     """
     waiting = [np.arange(len(points))]
     while waiting:
         own = waiting.pop()
         if len(own) > BLOCK:
             vantage, radius, larger = _best_cut(points[own], reach)
-            if larger <= 0.9 * len(own):
+            if larger <= widest * len(own):
                 distance = np.bitwise_count(points[own] ^ vantage)
                 waiting += [own[distance <= radius + reach], own[distance > radius]]
                 continue
@@ -285,19 +290,23 @@ def grouped_links(distinct: DataFrame, reach: int, mins: int, agreeing: int, sha
     return tiles.withColumn("shard", F.pmod("key", F.lit(shards))).groupBy("shard").applyInArrow(link, f"a {kind}, b {kind}")
 
 
-def _candidates(mins: np.ndarray, at: int, others: np.ndarray, band: int, agreeing: int) -> np.ndarray:
-    """Those of ``others`` that agree enough with ``at`` and share no band before ``band`` with it."""
-    same = mins[others] == mins[at]
-    return others[(same.sum(axis=1) >= agreeing) & ~same[:, :band].any(axis=1)]
+def _candidates(
+    points: np.ndarray, mins: np.ndarray, band: int, agreeing: int, reach: int,
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs (i, j) of a group's texts that the tree finds within ``reach``, that agree enough and share no band before ``band``."""
+    for i, j in close_pairs(points, reach, WIDEST):
+        for low in range(0, len(i), _PAIRS):
+            a, b = i[low:low + _PAIRS], j[low:low + _PAIRS]
+            same = mins[a] == mins[b]
+            near = (same.sum(axis=1) >= agreeing) & ~same[:, :band].any(axis=1)
+            yield a[near], b[near]
 
 
-def with_partner(mins: np.ndarray, band: int, agreeing: int) -> np.ndarray:
+def with_partner(points: np.ndarray, mins: np.ndarray, band: int, agreeing: int, reach: int) -> np.ndarray:
     """Which texts of a group that shares min-hash ``band`` have a candidate in it."""
     found = np.zeros(len(mins), bool)
-    for at in range(len(mins) - 1):
-        near = _candidates(mins, at, np.arange(at + 1, len(mins)), band, agreeing)
-        found[near] = True
-        found[at] |= len(near) > 0
+    for i, j in _candidates(points, mins, band, agreeing, reach):
+        found[i] = found[j] = True
     return found
 
 
@@ -311,59 +320,64 @@ def similar(a: np.ndarray, b: np.ndarray, least: float) -> bool:
     return shared >= least * (len(both) - shared) - 1e-9
 
 
-def similar_links(mins: np.ndarray, sets: list[np.ndarray], band: int, agreeing: int, least: float) -> np.ndarray:
+def similar_links(
+    points: np.ndarray, mins: np.ndarray, sets: list[np.ndarray], band: int, agreeing: int, least: float, reach: int,
+) -> np.ndarray:
     """For the texts of a group, the position of the first text each is linked to.
 
     Candidates are compared by their sets, unless they are linked already.
     """
     root = np.arange(len(sets))
-    for at in range(len(sets) - 1):
-        others = at + 1 + np.nonzero(root[at + 1:] != root[at])[0]
-        near = [j for j in _candidates(mins, at, others, band, agreeing) if similar(sets[at], sets[j], least)]
-        if near:
-            _join_roots(root, np.full(len(near), at), np.array(near))
+    for i, j in _candidates(points, mins, band, agreeing, reach):
+        for one, two in zip(i.tolist(), j.tolist()):
+            if root[one] != root[two] and similar(sets[one], sets[two], least):
+                _join_roots(root, np.array([one]), np.array([two]))
     return root
 
 
 def verified_links(
     distinct: DataFrame, texts: DataFrame, width: int, mins: int, agreeing: int, least: float, tile_rows: int = COMPARED_ROWS,
+    reach: int = SET_REACH,
 ) -> DataFrame:
-    """Edges (a, b) that connect just the ``distinct(node, mins, source)`` rows with a Jaccard of ``least``.
+    """Edges (a, b) that connect just the ``distinct(node, fingerprint, mins, source)`` rows with a Jaccard of ``least``.
 
-    Pairs are looked for among rows that share one of the first ``BANDS`` min-hashes and agree in
-    ``agreeing`` of ``mins``, each in the first band it shares. ``texts(source, text)`` gives the
+    Rows that share one of the first ``BANDS`` min-hashes are a group, in which the tree finds the pairs with
+    fingerprints at most ``reach`` bits apart. Those that agree in ``agreeing`` of ``mins`` are compared,
+    each in the first band it shares. ``texts(source, text)`` gives the
     shingles, of what has a candidate. Groups are cut and dealt as in ``grouped_links``.
     """
     values = F.expr(f"transform(sequence(0, {min(BANDS, mins) - 1}), i -> struct(i AS at, substring(mins, 8 * i + 1, 8) AS value))")
-    spread = distinct.select("node", "source", "mins", F.explode(values).alias("v")).select(
-        "node", "source", "mins", "v.at", "v.value")
+    spread = distinct.select("node", "source", "fingerprint", "mins", F.explode(values).alias("v")).select(
+        "node", "source", "fingerprint", "mins", "v.at", "v.value")
     sizes = spread.groupBy("at", "value").count().filter("count > 1")
     own = spread.join(sizes, ["at", "value"]).withColumn("chunks", F.ceil(F.col("count") / tile_rows))
     chunk = F.pmod(F.xxhash64("node"), F.col("chunks"))
     tiles = own.withColumn("chunk", chunk).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
     key = F.xxhash64("at", "value", F.least("chunk", "other"), F.greatest("chunk", "other"))
-    tiles = materialize(tiles.select(key.alias("key"), "at", "node", "source", "mins"))
+    tiles = materialize(tiles.select(key.alias("key"), "at", "node", "source", "fingerprint", "mins"))
     shards = max(1, -(-tiles.count() // tile_rows))
 
-    def groups(table: pa.Table) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        """(band, positions, min-hashes) of each group."""
+    def groups(table: pa.Table) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+        """(band, positions, fingerprints, min-hashes) of each group."""
+        points = table.column("fingerprint").to_numpy().view(np.uint64)
         keys, bands = table.column("key").to_numpy(), table.column("at").to_numpy()
         hashes = np.frombuffer(b"".join(table.column("mins").to_pylist()), np.uint64).reshape(len(keys), -1)
         order = np.lexsort((bands, keys))
         cuts = np.nonzero((np.diff(keys[order]) != 0) | (np.diff(bands[order]) != 0))[0] + 1
         for group in np.split(order, cuts):
-            yield int(bands[group[0]]), group, hashes[group]
+            yield int(bands[group[0]]), group, points[group], hashes[group]
 
     def prune(table: pa.Table) -> pa.Table:
-        kept = [group if len(group) > PRUNED else group[with_partner(own, band, agreeing)] for band, group, own in groups(table)]
-        return table.select(["key", "at", "node", "source", "mins", "shard"]).take(pa.array(np.concatenate(kept)))
+        kept = [group if len(group) > PRUNED else group[with_partner(points, own, band, agreeing, reach)]
+                for band, group, points, own in groups(table)]
+        return table.select(["key", "at", "node", "source", "fingerprint", "mins", "shard"]).take(pa.array(np.concatenate(kept)))
 
     def link(table: pa.Table) -> pa.Table:
         held = table.column("shingles").to_pylist()
         a, b = [], []
-        for band, group, own in groups(table):
+        for band, group, points, own in groups(table):
             sets = [np.frombuffer(held[k], np.uint64) for k in group]
-            root = similar_links(own, sets, band, agreeing, least)
+            root = similar_links(points, own, sets, band, agreeing, least, reach)
             linked = np.nonzero(root != np.arange(len(group)))[0]
             a.append(group[linked])
             b.append(group[root[linked]])
@@ -377,7 +391,7 @@ def verified_links(
 
     dealt = tiles.withColumn("shard", F.pmod("key", F.lit(shards)))
     left = materialize(dealt.groupBy("shard").applyInArrow(
-        prune, "key long, at int, node binary, source binary, mins binary, shard long"))
+        prune, "key long, at int, node binary, source binary, fingerprint long, mins binary, shard long"))
     needed = left.select("source").distinct()
     rows = texts.join(needed, "source", "left_semi").dropDuplicates(["source"]).select("source", "text")
     sets = rows.mapInArrow(shingles, "source binary, shingles binary")
@@ -391,9 +405,9 @@ def near_duplicate_groups(
     """(id, fingerprint, component) of every row: fingerprints at most ``reach`` bits apart link.
 
     ``width`` words make a shingle. With ``mins`` min-hashes at least ``agreeing`` of them must agree
-    too, also where fingerprints are equal. With ``least`` as well, texts link instead if their sets of
-    shingles (by 64-bit hashes) have a Jaccard similarity of ``least`` or more, which is counted for
-    those that agree; ``docs`` must give the same texts when it is read again then. The component is the smallest id that can be reached, the own included; null ids count
+    too, also where fingerprints are equal. With ``least`` as well, fingerprints are of the sets of shingles, and
+    of the texts within reach that agree those link whose sets (by 64-bit hashes) have a Jaccard similarity of
+    ``least`` or more; ``docs`` must give the same texts when it is read again then. The component is the smallest id that can be reached, the own included; null ids count
     only where a component has no other, and it is null then. Null and blank texts have fingerprint
     zero and link like any other. Repeated rows give repeated rows, an empty table an empty one.
     Other columns are not looked at.
@@ -410,7 +424,7 @@ def near_duplicate_groups(
         F.min("fingerprint").alias("fingerprint"), F.min("id").alias("first"), F.min("mins").alias("mins"), *source))
     if least is not None:
         texts = docs.select(_source(text_column).alias("source"), F.coalesce(F.col(text_column).cast("string"), F.lit("")).alias("text"))
-        edges = verified_links(classes, texts, width, mins, agreeing, least)
+        edges = verified_links(classes, texts, width, mins, agreeing, least, reach=reach)
     else:
         edges = grouped_links(classes, reach, mins, agreeing) if mins else links(classes, reach)
     roots = materialize(connected_components(edges))
@@ -421,14 +435,15 @@ def near_duplicate_groups(
 
 
 #: At a similarity of exactly 0.8 a pair shares none of six min-hashes in 0.2 ** 6 = 0.00006 of all
-#: cases and fewer than six of sixteen in some 0.00003; above it, more rarely.
-SIMILAR = {"width": 5, "mins": 16, "agreeing": 6, "least": 0.8}
+#: cases and fewer than six of sixteen in some 0.00003; above it, more rarely. Its fingerprints are more than
+#: ``SET_REACH`` bits apart in some 0.000001 (sets of five shingles and fewer: 0.00002).
+SIMILAR = {"width": 5, "reach": SET_REACH, "mins": 16, "agreeing": 6, "least": 0.8}
 
 
 def one_of_each_group(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """The rows of ``docs`` without near-duplicates: of each group the smallest id stays, once.
 
-    Groups are by ``SIMILAR``: a Jaccard similarity of 0.8 of five-word shingles links. ``docs`` must give the same rows in the same order when it is read
+    Groups are by ``SIMILAR``: SimHash fingerprints within reach, then a Jaccard similarity of 0.8 of five-word shingles, link. ``docs`` must give the same rows in the same order when it is read
     again, as files do. Null ids stay only where a group has no other. All columns are kept.
     """
     row = F.monotonically_increasing_id()
