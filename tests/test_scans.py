@@ -81,3 +81,12 @@ def test_empty_table(rows):
     none = rows.limit(0)
     pieces = in_pieces(none, ["k"], by_time()).numbered().ranked(F.col("t")).near(1, 1, x=lambda w: F.lag("v").over(w))
     assert pieces.result().collect() == [] and asof_join(none, none, "k", "t", {"v": "w"}).collect() == []
+
+
+def test_windows_of_many_pieces_are_many_tasks(spark):
+    df = spark.range(8000).select((F.col("id") % 50).alias("k"), "id")
+    order = [F.col("id").asc()]
+    for found in (in_pieces(df, ["k"], order, 500).running(s=running_sum(F.col("id"))), in_pieces(df, ["k"], order, 500).totals(),
+                  in_pieces(df, ["k"], order, 500).near(1, 0, b=lambda w: F.lag("id").over(w))):
+        tasks = [r["n"] for r in found.rows.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n")).collect()]
+        assert sum(tasks) == 8000 and max(tasks) <= 1500

@@ -23,6 +23,7 @@ from tierlake.functions.columns import named
 from tierlake.session import materialize
 
 PIECE_ROWS = 500_000  # rows a piece is meant to have
+TASKS = 2             # tasks that the windows of a piece are dealt over, by key
 
 
 @dataclass(frozen=True)
@@ -77,18 +78,24 @@ def last_known(c: Column) -> Running:
 class Pieces:
     """Rows in global order: ``_piece`` numbers the segments, ``_at`` the rows of a segment.
 
-    A step reads the rows several times, so what an earlier step has added is written first.
+    A step reads the rows several times, so what an earlier step has added is written first. Windows run in
+    ``tasks`` tasks: adaptive execution would put many pieces, whose sorted rows are small when compressed, in one.
     """
 
     rows: DataFrame
     key: tuple[str, ...]
+    tasks: int
     written: bool = False
 
     def _write(self) -> Pieces:
-        return self if self.written else Pieces(materialize(self.rows), self.key, True)
+        return self if self.written else Pieces(materialize(self.rows), self.key, self.tasks, True)
 
     def _step(self, rows: DataFrame) -> Pieces:
-        return Pieces(rows, self.key)
+        return Pieces(rows, self.key, self.tasks)
+
+    def _dealt(self) -> DataFrame:
+        """The rows as the windows of ``_spec`` want them."""
+        return self.rows.repartition(self.tasks, "_piece", *map(named, self.key))
 
     def _numbered(self) -> Pieces:
         """With ``_pos``, the row's number within its key."""
@@ -120,7 +127,7 @@ class Pieces:
         before = Window.partitionBy(*map(named, self.key)).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
         carried = summed.withColumns({f"_c_{n}": c.merge(F.col(f"_s_{n}"), before) for n, c in columns.items()})
         here = self._spec().rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        found = self.rows.withColumns({f"_h_{n}": c.here(here) for n, c in columns.items()})
+        found = self._dealt().withColumns({f"_h_{n}": c.here(here) for n, c in columns.items()})
         found = self._with(found, carried, [f"_c_{n}" for n in columns])
         joined = found.withColumns({n: c.join(F.col(f"_c_{n}"), F.col(f"_h_{n}")) for n, c in columns.items()})
         return self._step(joined.drop(*(f"_{x}_{n}" for x in "ch" for n in columns)))
@@ -135,7 +142,7 @@ class Pieces:
         summed = self._summaries({"_n": F.count(F.lit(1))})
         whole = summed.withColumn("_whole", F.sum("_n").over(Window.partitionBy(*map(named, self.key))))
         own = F.count(F.lit(1)).over(Window.partitionBy("_piece", *map(named, self.key)))
-        found = self._with(self.rows.withColumn("_own_rows", own), whole, ["_whole"])
+        found = self._with(self._dealt().withColumn("_own_rows", own), whole, ["_whole"])
         return self._step(found.withColumn(name, F.coalesce("_whole", "_own_rows")).drop("_whole", "_own_rows"))
 
     def ranked(self, peers: Column, rank: str = "rank", dense_rank: str = "dense_rank") -> Pieces:
@@ -176,7 +183,7 @@ class Pieces:
         halo = edges.join(F.broadcast(targets), on & reach).withColumn("_piece", F.col("_to")).select(
             *map(named, numbered.rows.columns), F.lit(True).alias("_halo"))
         whole = self._step(numbered.rows.withColumn("_halo", F.lit(False)).unionByName(halo))
-        found = whole.rows.withColumns({n: c(whole._spec("_pos")) for n, c in columns.items()})
+        found = whole._dealt().withColumns({n: c(whole._spec("_pos")) for n, c in columns.items()})
         return self._step(found.filter(~F.col("_halo")).drop("_halo"))
 
     def result(self) -> DataFrame:
@@ -195,7 +202,7 @@ def in_pieces(df: DataFrame, key: list[str], order: list[Column], piece_rows: in
     spread = df.coalesce(1) if pieces == 1 else df.repartitionByRange(pieces, *by)
     cut = spread.sortWithinPartitions(*by).withColumns({
         "_piece": F.spark_partition_id(), "_at": F.monotonically_increasing_id() % (1 << 33)})
-    return Pieces(materialize(cut), tuple(key), True)
+    return Pieces(materialize(cut), tuple(key), TASKS * pieces, True)
 
 
 def asof_join(
@@ -238,9 +245,10 @@ def range_sum(
     decimals, whose differences are exact. Rows without key or order get null.
     """
     numbered = in_pieces(df.withColumn("_value", value).withColumn("_below", below), [key], [named(order).asc_nulls_first()], piece_rows)
-    summed = numbered.running(_sum=running_sum(F.coalesce("_value", F.lit(0))), _row=running_count()).result()
+    # read several times by each join, so written
+    summed = materialize(numbered.running(_sum=running_sum(F.coalesce("_value", F.lit(0))), _row=running_count()).result())
     sums = summed.select(named(key), named(order), "_sum", "_row")
-    upper = asof_join(summed, sums, key, order, {"_sum": "_to"}, "_row", piece_rows)
+    upper = materialize(asof_join(summed, sums, key, order, {"_sum": "_to"}, "_row", piece_rows))
     lower = asof_join(upper.withColumnsRenamed({order: "_order", "_below": order}), sums, key, order, {"_sum": "_from"}, "_row", piece_rows)
     total = F.col("_to") - F.coalesce("_from", F.lit(0))
     return lower.drop(order).withColumnRenamed("_order", order).select(*map(named, df.columns), total.alias(name))
