@@ -291,12 +291,18 @@ def grouped_links(distinct: DataFrame, reach: int, mins: int, agreeing: int, sha
 
 
 def _candidates(
-    points: np.ndarray, mins: np.ndarray, band: int, agreeing: int, reach: int,
+    points: np.ndarray, mins: np.ndarray, band: int, agreeing: int, reach: int, root: np.ndarray | None = None,
 ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs (i, j) of a group's texts that the tree finds within ``reach``, that agree enough and share no band before ``band``."""
+    """Pairs (i, j) of a group's texts that the tree finds within ``reach``, that agree enough and share no band before ``band``.
+
+    Pairs that ``root``, which the caller may go on changing, has linked by then are left out.
+    """
     for i, j in close_pairs(points, reach, WIDEST):
         for low in range(0, len(i), _PAIRS):
             a, b = i[low:low + _PAIRS], j[low:low + _PAIRS]
+            if root is not None:
+                apart = root[a] != root[b]
+                a, b = a[apart], b[apart]
             same = mins[a] == mins[b]
             near = (same.sum(axis=1) >= agreeing) & ~same[:, :band].any(axis=1)
             yield a[near], b[near]
@@ -328,7 +334,7 @@ def similar_links(
     Candidates are compared by their sets, unless they are linked already.
     """
     root = np.arange(len(sets))
-    for i, j in _candidates(points, mins, band, agreeing, reach):
+    for i, j in _candidates(points, mins, band, agreeing, reach, root):
         for one, two in zip(i.tolist(), j.tolist()):
             if root[one] != root[two] and similar(sets[one], sets[two], least):
                 _join_roots(root, np.array([one]), np.array([two]))
